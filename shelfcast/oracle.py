@@ -148,7 +148,12 @@ def with_ctes(body: str, extra: dict[str, str] | None = None) -> str:
                 visit(defs[name])
     visit(body)
     parts = [f"{n} AS ({defs[n]}\n)" for n in order if n in needed]
-    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
+    if not parts:
+        return body
+    head = body.lstrip()
+    if head[:5].upper() == "WITH ":  # merge the body's own CTE list into ours
+        return "WITH " + ",\n".join(parts) + ",\n" + head[5:]
+    return "WITH " + ",\n".join(parts) + "\n" + body
 
 
 QUERIES: dict[str, str] = {}
@@ -159,5 +164,5 @@ def q(key: str, body: str, extra: dict[str, str] | None = None) -> None:
 
 
 def all_queries() -> dict[str, str]:
-    from . import oracle_core  # noqa: F401
+    from . import oracle_analytics, oracle_core  # noqa: F401
     return dict(QUERIES)
