@@ -157,12 +157,14 @@ def with_ctes(body: str, extra: dict[str, str] | None = None) -> str:
 
 
 QUERIES: dict[str, str] = {}
+BODIES: dict[str, str] = {}
 
 
 def q(key: str, body: str, extra: dict[str, str] | None = None) -> None:
+    BODIES[key] = body
     QUERIES[key] = with_ctes(body, extra)
 
 
 def all_queries() -> dict[str, str]:
-    from . import oracle_analytics, oracle_core  # noqa: F401
+    from . import oracle_analytics, oracle_core, oracle_quality  # noqa: F401
     return dict(QUERIES)

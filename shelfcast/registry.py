@@ -46,3 +46,4 @@ def stock_of(d: Domain) -> DataFrame:
 
 from . import queries_core  # noqa: E402,F401  (registers the query functions)
 from . import queries_analytics  # noqa: E402,F401
+from . import queries_quality  # noqa: E402,F401
