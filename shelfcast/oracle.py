@@ -166,5 +166,5 @@ def q(key: str, body: str, extra: dict[str, str] | None = None) -> None:
 
 
 def all_queries() -> dict[str, str]:
-    from . import oracle_analytics, oracle_core, oracle_quality  # noqa: F401
+    from . import oracle_analytics, oracle_core, oracle_quality, oracle_streaming  # noqa: F401
     return dict(QUERIES)

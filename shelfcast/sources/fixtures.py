@@ -41,7 +41,11 @@ def products(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def clickstream(spark: SparkSession, data_dir: str) -> DataFrame:
-    ev = load(spark, data_dir, "events")
+    return clickstream_from(load(spark, data_dir, "events"))
+
+
+def clickstream_from(ev: DataFrame) -> DataFrame:
+    """Map raw ``events`` rows (batch or streaming) to clickstream events."""
     no_product = F.col("event_type") == "signup"
     m = (F.col("user_id") * 3 + F.dayofmonth("ts")) % 20
     return ev.select(
@@ -58,9 +62,14 @@ def clickstream(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def competitor_prices(spark: SparkSession, data_dir: str) -> DataFrame:
     """Price observations; ``src_order``/``src_line`` are the tie-break of equal timestamps."""
-    li = load(spark, data_dir, "lineitem").select("l_partkey", "l_suppkey", "l_orderkey",
+    return competitor_prices_from(load(spark, data_dir, "lineitem"), load(spark, data_dir, "part"))
+
+
+def competitor_prices_from(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """Map raw ``lineitem`` rows (batch or streaming) joined to ``part`` (static)."""
+    li = lineitem.select("l_partkey", "l_suppkey", "l_orderkey",
                                                  "l_linenumber", "l_discount", "l_shipdate")
-    pt = load(spark, data_dir, "part").select("p_partkey", "p_retailprice")
+    pt = part.select("p_partkey", "p_retailprice")
     our = F.col("p_retailprice").cast("decimal(10,2)")
     comp = F.round(F.col("p_retailprice").cast("decimal(12,2)")
                    * (F.lit(0.8).cast("decimal(2,1)") + F.lit(4) * F.col("l_discount").cast("decimal(4,2)")),
@@ -86,7 +95,12 @@ def competitor_prices(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def inventory_events(spark: SparkSession, data_dir: str) -> DataFrame:
-    li = load(spark, data_dir, "lineitem").select(
+    return inventory_events_from(load(spark, data_dir, "lineitem"))
+
+
+def inventory_events_from(lineitem: DataFrame) -> DataFrame:
+    """Map raw ``lineitem`` rows (batch or streaming) to inventory events."""
+    li = lineitem.select(
         "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity",
         "l_returnflag", "l_linestatus", "l_shipdate")
     rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
