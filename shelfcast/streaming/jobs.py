@@ -56,12 +56,14 @@ def start(df: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None]
 # ---------------------------------------------------------------- snapshots
 
 class Snapshot:
-    """Versioned Parquet snapshot of a keyed table: ``<path>/v=<batch_id>``.
+    """Versioned Parquet snapshot of a keyed table: ``<path>/snapshot_version=<batch_id>``.
 
     A version only becomes visible once its write job committed, so a batch
     that failed half-way leaves nothing behind and is simply redone.
     """
 
+    VERSION = "snapshot_version"
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
@@ -76,14 +78,14 @@ class Snapshot:
         if df is None:
             return None
         if before is not None:
-            df = df.filter(F.col("v") < before)
-        last = df.agg(F.max("v")).first()[0]  # one scalar: the newest committed version
+            df = df.filter(F.col(self.VERSION) < before)
+        last = df.agg(F.max(self.VERSION)).first()[0]  # one scalar: the newest committed version
         if last is None:
             return None
-        return df.filter(F.col("v") == last).drop("v")
+        return df.filter(F.col(self.VERSION) == last).drop(self.VERSION)
 
     def write(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(os.path.join(self.path, f"v={batch_id}"))
+        df.write.mode("overwrite").parquet(os.path.join(self.path, f"{self.VERSION}={batch_id}"))
 
 
 def upsert_sink(snapshot: Snapshot, keys: Sequence[str], order: Sequence[str]):
