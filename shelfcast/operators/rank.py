@@ -2,18 +2,22 @@
 
 ``Window.orderBy(x)`` with no partitioning moves every row into one task. Here
 the rows are range-partitioned on the (total) order, sorted inside each
-partition, and numbered locally; a tiny per-partition count table (one row per
-partition, a proven broadcast bound) turns local numbers into global ranks.
-Every step is parallel; the ordering key must be unique (add a tie-break
-column) so the numbering is reproducible if a task is re-run.
+partition and numbered locally; the numbered rows are written once to the
+shared checkpoint folder (so the numbering is computed once and survives lost
+executors), and a tiny per-partition count table (one row per partition, a
+proven broadcast bound) turns local numbers into global ranks. The ordering
+key must be unique (add a tie-break column).
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def _partitions(df: DataFrame, n: int | None) -> int:
     if n:
@@ -23,7 +27,11 @@ def _partitions(df: DataFrame, n: int | None) -> int:
 
 def with_global_rank(df: DataFrame, order: Sequence[str | Column], rank_col: str = "rank",
                      num_partitions: int | None = None) -> DataFrame:
-    """Add ``rank_col`` = 1-based position of each row in ``order`` (ascending)."""
+    """Add ``rank_col`` = 1-based position of each row in ``order`` (ascending).
+
+    Runs one range shuffle and one write (eagerly) to the shared checkpoint
+    folder; the returned frame reads those files.
+    """
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     n = _partitions(df, num_partitions)
     part = (df.repartitionByRange(n, *order_cols)
@@ -31,6 +39,7 @@ def with_global_rank(df: DataFrame, order: Sequence[str | Column], rank_col: str
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_local", F.monotonically_increasing_id()
                           - F.shiftleft(F.col("_pid").cast("long"), 33)))
+    part = materialize(part, "ranked")
     counts = part.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
         "_pid",
@@ -41,68 +50,62 @@ def with_global_rank(df: DataFrame, order: Sequence[str | Column], rank_col: str
                 .drop("_pid", "_local", "_offset"))
 
 
-def with_group_rank(df: DataFrame, groups: Sequence[str], order: Sequence[str | Column],
-                    rank_col: str = "rank", count_col: str = "group_n",
-                    num_partitions: int | None = None) -> DataFrame:
-    """1-based rank within each group plus the group size.
-
-    Ranks over the total order (groups, order) globally, then subtracts each
-    group's first position (one row per group, joined back).
-    """
-    groups = list(groups)
-    ranked = with_global_rank(df, [*groups, *order], "_gpos", num_partitions)
-    starts = ranked.groupBy(*groups).agg(F.min("_gpos").alias("_start"),
-                                         F.count(F.lit(1)).alias(count_col))
-    return (ranked.join(starts, groups)
-                  .withColumn(rank_col, F.col("_gpos") - F.col("_start") + F.lit(1))
-                  .drop("_gpos", "_start"))
-
-
 def quantile_bins(df: DataFrame, value: str, tie: str, out_col: str, n_bins: int = 5,
                   descending_labels: bool = False) -> DataFrame:
     """``pd.qcut(series.rank(method='first'), q=n, labels=1..n)`` exactly.
 
     With N rows and n = min(n_bins, N) bins, rank r (1-based, ties broken by
     ``tie``) falls in bin max(1, ceil((r-1)*n/(N-1))); N = 1 gives bin 1.
-    ``descending_labels`` maps bin k to n+1-k.
+    ``descending_labels`` maps bin k to n+1-k. N is one scalar count.
     """
+    total = df.count()
+    nb = max(1, min(n_bins, total))
     ranked = with_global_rank(df, [value, tie], "_r")
-    total = df.agg(F.count(F.lit(1)).alias("_N"))
-    nb = F.least(F.lit(n_bins), F.col("_N"))
-    # ceil(a / b) in exact integer arithmetic: (a + b - 1) div b
-    k = F.when(F.col("_N") <= 1, F.lit(1)).otherwise(
-        F.greatest(F.lit(1), F.expr(f"((_r - 1) * least({int(n_bins)}, _N) + _N - 2) div (_N - 1)")))
-    label = (nb + 1 - k) if descending_labels else k
-    return (ranked.crossJoin(F.broadcast(total))
-                  .withColumn(out_col, label.cast("int"))
-                  .drop("_r", "_N"))
+    if total <= 1:
+        k = F.lit(1)
+    else:
+        # ceil(a / b) in exact integer arithmetic: (a + b - 1) div b
+        k = F.greatest(F.lit(1), F.expr(f"((_r - 1) * {nb} + {total - 2}) div {total - 1}"))
+    label = (F.lit(nb + 1) - k) if descending_labels else k
+    return ranked.withColumn(out_col, label.cast("int")).drop("_r")
 
 
 def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, tie: str,
-                    probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+                    probs: Sequence[float] = (0.25, 0.5, 0.75), sizes: list | None = None) -> DataFrame:
     """Linear-interpolated quantiles (pandas / SQL ``quantile_cont``) per group.
 
-    Only the two ranks around h = (N-1)p are needed for each p; they are picked
-    out of the distributed ranking by a join with a tiny (groups x probs) table.
-    Returns one row per group with columns ``q<100p>``.
+    For a bounded number of groups (competitors, segments). Only the two order
+    statistics around h = (N-1)p are needed for each p; their positions in the
+    global (groups, value, tie) order follow from the group sizes, so ONE
+    distributed ranking pass picks exactly those rows (at most
+    2 x groups x probs values reach the driver). Returns one row per group with
+    columns ``q<100p>``. ``sizes`` (rows with the group columns and ``_N`` =
+    non-null count) can be passed in when the caller already aggregated them.
     """
     groups = list(groups)
-    ranked = with_group_rank(df.filter(F.col(value).isNotNull()), groups, [value, tie], "_r", "_N")
-    sizes = ranked.select(*groups, "_N").distinct() if groups else ranked.select("_N").distinct()
-    probs_df = df.sparkSession.createDataFrame([(float(p), f"q{int(round(p * 100))}") for p in probs],
-                                               "_p double, _name string")
-    h = (F.col("_N") - 1) * F.col("_p")
-    need = (sizes.crossJoin(F.broadcast(probs_df))
-                 .withColumn("_h", h)
-                 .withColumn("_lo", F.floor("_h").cast("long") + 1)
-                 .withColumn("_hi", F.ceil("_h").cast("long") + 1))
-    lo = need.join(ranked.select(*groups, F.col("_r").alias("_lo"), F.col(value).cast("double").alias("_vlo")),
-                   [*groups, "_lo"])
-    both = lo.join(ranked.select(*groups, F.col("_r").alias("_hi"), F.col(value).cast("double").alias("_vhi")),
-                   [*groups, "_hi"])
-    q = F.col("_vlo") + (F.col("_h") - (F.col("_lo") - 1)) * (F.col("_vhi") - F.col("_vlo"))
-    picked = both.select(*groups, "_name", q.alias("_q"))
+    spark = df.sparkSession
+    d = df.filter(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v"),
+                                                   F.col(tie).alias("_t"))
+    if sizes is None:
+        sizes = d.groupBy(*groups).agg(F.count(F.lit(1)).alias("_N")).collect()
+    sizes = sorted(sizes, key=lambda r: tuple(r[g] for g in groups))
     names = [f"q{int(round(p * 100))}" for p in probs]
-    if groups:
-        return picked.groupBy(*groups).pivot("_name", names).agg(F.first("_q"))
-    return picked.groupBy().pivot("_name", names).agg(F.first("_q"))
+    plan, start = [], 0
+    for r in sizes:
+        n = r["_N"]
+        for p, name in zip(probs, names):
+            h = (n - 1) * p
+            lo, hi = start + math.floor(h) + 1, start + math.ceil(h) + 1
+            plan.append((tuple(r[g] for g in groups), name, h - math.floor(h), lo, hi))
+        start += n
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields if f.name in groups)
+    schema = (fields + ", " if fields else "") + ", ".join(f"{n} double" for n in names)
+    if not plan:
+        return spark.createDataFrame([], schema)
+    wanted = sorted({x for _, _, _, lo, hi in plan for x in (lo, hi)})
+    ranked = with_global_rank(d, [*groups, "_v", "_t"], "_pos")
+    vals = {r["_pos"]: r["_v"] for r in ranked.filter(F.col("_pos").isin(wanted)).select("_pos", "_v").collect()}
+    rows: dict[tuple, dict] = {}
+    for key, name, frac, lo, hi in plan:
+        rows.setdefault(key, {})[name] = vals[lo] + frac * (vals[hi] - vals[lo])
+    return spark.createDataFrame([(*k, *[v[n] for n in names]) for k, v in rows.items()], schema)

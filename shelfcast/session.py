@@ -44,9 +44,26 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
             except Exception:  # static conf on an existing session
                 pass
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``shelfcast`` importable in the Python workers (pandas functions).
+
+    The package is zipped once per session into the shared checkpoint folder
+    and added with ``addPyFile``, so executors on any host receive it.
+    """
+    if spark.conf.get("spark.shelfcast.shipped", "false") == "true":
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = scratch_path(spark, "pyfiles", f"shelfcast-{os.getpid()}")
+    archive = shutil.make_archive(base, "zip", root_dir=os.path.dirname(pkg_dir), base_dir="shelfcast")
+    spark.sparkContext.addPyFile(archive)
+    spark.conf.set("spark.shelfcast.shipped", "true")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -65,3 +82,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (never machine-local on a cluster)."""
     return os.path.join(ensure_checkpoint_dir(spark), *parts)
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage with a single write job (a reliable RDD checkpoint would
+    compute the plan twice), so later passes re-read files instead of
+    recomputing, and a lost executor never forces recomputation of
+    nondeterministic steps."""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, "materialized", f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
