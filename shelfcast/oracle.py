@@ -167,4 +167,5 @@ def q(key: str, body: str, extra: dict[str, str] | None = None) -> None:
 
 def all_queries() -> dict[str, str]:
     from . import oracle_analytics, oracle_core, oracle_quality, oracle_streaming  # noqa: F401
+    from . import registry  # noqa: F401  (primitive queries register their SQL with their code)
     return dict(QUERIES)

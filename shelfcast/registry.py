@@ -48,3 +48,4 @@ from . import queries_core  # noqa: E402,F401  (registers the query functions)
 from . import queries_analytics  # noqa: E402,F401
 from . import queries_quality  # noqa: E402,F401
 from . import queries_streaming  # noqa: E402,F401
+from . import queries_primitives  # noqa: E402,F401
