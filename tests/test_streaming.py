@@ -53,3 +53,48 @@ def test_upsert_snapshot_is_idempotent(spark):
     sink(b1, 1)  # replay of the same batch
     got = {r["k"]: r["v"] for r in snap.read().collect()}
     assert got == {1: "a", 2: "c"}
+
+
+def test_latest_price_ignores_late_older_observation(spark):
+    land, out = tempfile.mkdtemp(), tempfile.mkdtemp()
+    cols = "product_id long, competitor_name string, competitor_price decimal(10,2), our_price decimal(10,2), " \
+           "price_difference decimal(10,2), price_difference_pct decimal(6,2), timestamp timestamp, " \
+           "src_order long, src_line int"
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    rows1 = [(1, "TechMart", 10, 12, -2, -16.67, t + dt.timedelta(hours=2), 1, 1)]
+    rows2 = [(1, "TechMart", 9, 12, -3, -25.0, t + dt.timedelta(hours=1), 2, 1),   # late, older
+             (2, "TechMart", 5, 6, -1, -16.67, t, 3, 1)]
+    from decimal import Decimal as D
+    conv = lambda rs: [(a, b, D(c), D(e), D(f), D(str(g)), h, i, j) for a, b, c, e, f, g, h, i, j in rs]
+    spark.createDataFrame(conv(rows1), cols).write.parquet(land + "/f1")
+    spark.createDataFrame(conv(rows2), cols).write.parquet(land + "/f2")
+    schema = spark.read.parquet(land + "/f1").schema
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(land + "/*")
+    snap = jobs.Snapshot(spark, out + "/snap")
+    up = jobs.upsert_sink(snap, ["product_id", "competitor_name"], ["timestamp", "src_order", "src_line"])
+    q = jobs.start(jobs.latest_competitor_prices(s), out + "/ck", output_mode="update",
+                   trigger={"availableNow": True}, sink=up)
+    q.awaitTermination()
+    got = {r["product_id"]: float(r["competitor_price"]) for r in snap.read().collect()}
+    assert got == {1: 10.0, 2: 5.0}
+
+
+def test_guarded_stock_stream_equals_batch(spark):
+    from shelfcast.sources import fixtures
+    from shelfcast.sources.streams import table_stream
+    from shelfcast.operators.fold import guarded_fold
+    from shelfcast.plans.state import INVENTORY_ORDER
+    from conftest import SF_SMALL
+    out = tempfile.mkdtemp()
+    s = fixtures.inventory_events_from(table_stream(spark, SF_SMALL, "lineitem"))
+    snap = jobs.Snapshot(spark, out + "/s")
+    up = jobs.upsert_sink(snap, ["product_id", "warehouse_id"], ["_batch"])
+    q = jobs.start(jobs.guarded_stock(s), out + "/ck", output_mode="update", trigger={"availableNow": True},
+                   sink=lambda b, i: up(b.withColumn("_batch", F.lit(i)), i))
+    q.awaitTermination()
+    stream = {(r["product_id"], r["warehouse_id"]): r["current_stock"] for r in snap.read().collect()}
+    batch_df = guarded_fold(fixtures.inventory_events(spark, SF_SMALL), ["product_id", "warehouse_id"],
+                            INVENTORY_ORDER, "quantity_change")
+    batch = {(r["product_id"], r["warehouse_id"]): r["current_stock"] for r in batch_df.collect()}
+    assert stream == batch and len(batch) > 0
