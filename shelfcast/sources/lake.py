@@ -6,7 +6,7 @@ import os
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -17,7 +17,7 @@ def read_since(df: DataFrame, ts: str = "timestamp", since=None) -> DataFrame:
     On a lake table the filter also prunes ``date=`` partitions."""
     if since is None:
         return df
-    c = since if not isinstance(since, str) else F.lit(since).cast(df.schema[ts].dataType)
+    c = since if isinstance(since, Column) else F.lit(str(since)).cast(df.schema[ts].dataType)
     out = df.filter(F.col(ts) > c)
     if "date" in df.columns:
         out = out.filter(F.col("date") >= F.to_date(c))
