@@ -151,6 +151,8 @@ def with_ctes(body: str, extra: dict[str, str] | None = None) -> str:
     if not parts:
         return body
     head = body.lstrip()
+    if head[:15].upper() == "WITH RECURSIVE ":
+        return "WITH RECURSIVE " + ",\n".join(parts) + ",\n" + head[15:]
     if head[:5].upper() == "WITH ":  # merge the body's own CTE list into ours
         return "WITH " + ",\n".join(parts) + ",\n" + head[5:]
     return "WITH " + ",\n".join(parts) + "\n" + body

@@ -47,3 +47,22 @@ SELECT time_bucket(INTERVAL '1 hour', timestamp) AS window_start,
 FROM clickstream GROUP BY 1
 HAVING time_bucket(INTERVAL '1 hour', timestamp) + INTERVAL '1 hour' <= (SELECT t FROM ev_as_of) - INTERVAL '1 hour'""")
 q("t10_stream_lake_archive", "SELECT event_id, event_type, CAST(timestamp AS DATE) AS date FROM clickstream")
+
+# The skipped-change log re-derived with a recursive walk over each key's
+# ordered events (independent of the vectorised fold).
+q("t11_skipped_stock_changes", """
+WITH RECURSIVE ev AS (
+  SELECT *, row_number() OVER (PARTITION BY product_id, warehouse_id
+                               ORDER BY timestamp, src_order, src_line, quantity_change) AS rn
+  FROM inventory_events),
+walk(product_id, warehouse_id, rn, stock, applied) AS (
+  SELECT product_id, warehouse_id, rn, greatest(quantity_change, 0), quantity_change >= 0 FROM ev WHERE rn = 1
+  UNION ALL
+  SELECT e.product_id, e.warehouse_id, e.rn,
+         CASE WHEN w.stock + e.quantity_change >= 0 THEN w.stock + e.quantity_change ELSE w.stock END,
+         w.stock + e.quantity_change >= 0
+  FROM walk w JOIN ev e ON e.product_id = w.product_id AND e.warehouse_id = w.warehouse_id AND e.rn = w.rn + 1)
+SELECT e.product_id, e.warehouse_id, e.quantity_change, e.timestamp, e.src_order, e.src_line,
+       'would produce negative stock' AS reason
+FROM walk w JOIN ev e ON e.product_id = w.product_id AND e.warehouse_id = w.warehouse_id AND e.rn = w.rn
+WHERE NOT w.applied""")

@@ -101,10 +101,9 @@ def _s13(d):
     views = {"stg_clickstream": staging.stg_clickstream(ev), "stg_inventory": staging.stg_inventory(d.inventory_events())}
     tables = {"daily_funnel_metrics": marts.daily_funnel_metrics(ev, products),
               "hourly_demand": marts.hourly_demand(ev, products)}
-    made = lake.materialize(d.spark, views, tables, base)
+    lake.materialize(d.spark, views, tables, base)
     counts = [(n, "table", d.spark.read.parquet(f"{base}/{n}").count()) for n in tables] + \
              [(n, "view", d.spark.table(n).count()) for n in views]
-    del made
     return d.spark.createDataFrame(counts, "name string, kind string, n_rows bigint")
 
 

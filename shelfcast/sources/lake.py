@@ -1,7 +1,6 @@
 """Incremental, date-partitioned Parquet lake."""
 from __future__ import annotations
 
-import json
 import os
 from collections.abc import Sequence
 
@@ -92,7 +91,3 @@ def materialize(spark: SparkSession, views: dict[str, DataFrame], tables: dict[s
         rows.append((name, "table", path))
     rows += [(n, "view", None) for n in views]
     return spark.createDataFrame(rows, "name string, kind string, location string")
-
-
-def cursor_json(value) -> str:
-    return json.dumps({"cursor": None if value is None else str(value)})
