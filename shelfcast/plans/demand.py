@@ -18,12 +18,14 @@ def _per_hour_rate(n, first, last):
     return safe_div(n, seconds_between(last, first) / 3600.0)
 
 
-def demand_overview(ev: DataFrame) -> DataFrame:
-    """Purchases, buyers, products, first/last, purchases per hour."""
+def demand_overview(ev: DataFrame, approx: bool = False) -> DataFrame:
+    """Purchases, buyers, products, first/last, purchases per hour
+    (``approx`` = HyperLogLog++ distinct counts for very large inputs)."""
+    d = (lambda c: F.approx_count_distinct(c, 0.01)) if approx else F.count_distinct
     return _purchases(ev).agg(
         F.count(F.lit(1)).alias("total_purchases"),
-        F.count_distinct("user_id").alias("unique_buyers"),
-        F.count_distinct("product_id").alias("distinct_products_bought"),
+        d("user_id").alias("unique_buyers"),
+        d("product_id").alias("distinct_products_bought"),
         F.min("timestamp").alias("first_purchase"),
         F.max("timestamp").alias("last_purchase"),
         rnd(_per_hour_rate(F.count(F.lit(1)), F.min("timestamp"), F.max("timestamp")), 2).alias("purchases_per_hour"),

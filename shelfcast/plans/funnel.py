@@ -14,12 +14,18 @@ def _or_one(c):
     return F.when(c == 0, F.lit(1)).otherwise(c)
 
 
-def clickstream_overview(ev: DataFrame) -> DataFrame:
+def _distinct(col: str, approx: bool):
+    """Exact COUNT(DISTINCT) or, opt-in for very large inputs, a HyperLogLog++
+    estimate (one small sketch per task instead of a shuffle of distinct values)."""
+    return F.approx_count_distinct(col, 0.01) if approx else F.count_distinct(col)
+
+
+def clickstream_overview(ev: DataFrame, approx: bool = False) -> DataFrame:
     """Totals, distinct users / sessions, first and last date, span in seconds."""
     return ev.agg(
         F.count(F.lit(1)).alias("total_events"),
-        F.count_distinct("user_id").alias("unique_users"),
-        F.count_distinct("session_id").alias("unique_sessions"),
+        _distinct("user_id", approx).alias("unique_users"),
+        _distinct("session_id", approx).alias("unique_sessions"),
         F.to_date(F.min("timestamp")).alias("earliest_date"),
         F.to_date(F.max("timestamp")).alias("latest_date"),
         seconds_between(F.max("timestamp"), F.min("timestamp")).alias("data_span_seconds"),

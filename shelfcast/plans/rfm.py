@@ -14,13 +14,15 @@ def _purchases(ev: DataFrame) -> DataFrame:
     return ev.filter(F.col("event_type") == "purchase")
 
 
-def purchase_overview(ev: DataFrame) -> DataFrame:
-    """Purchase events, buyers, sessions, first/last date, AOV and GMV."""
+def purchase_overview(ev: DataFrame, approx: bool = False) -> DataFrame:
+    """Purchase events, buyers, sessions, first/last date, AOV and GMV
+    (``approx`` = HyperLogLog++ distinct counts for very large inputs)."""
     p = F.coalesce(F.col("product_price"), F.lit(0)).cast("double")
+    d = (lambda c: F.approx_count_distinct(c, 0.01)) if approx else F.count_distinct
     return _purchases(ev).agg(
         F.count(F.lit(1)).alias("total_purchase_events"),
-        F.count_distinct("user_id").alias("unique_buyers"),
-        F.count_distinct("session_id").alias("unique_purchase_sessions"),
+        d("user_id").alias("unique_buyers"),
+        d("session_id").alias("unique_purchase_sessions"),
         F.to_date(F.min("timestamp")).alias("first_purchase"),
         F.to_date(F.max("timestamp")).alias("last_purchase"),
         rnd(F.avg(p), 2).alias("avg_order_value"),

@@ -72,15 +72,25 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ship_package(spark: SparkSession) -> None:
     """Make ``shelfcast`` importable in the Python workers (pandas functions).
 
-    The package is zipped once per session into the shared checkpoint folder
-    and added with ``addPyFile``, so executors on any host receive it.
+    The package is zipped once per session and added with ``addPyFile`` (the
+    driver serves it to every executor). The archive goes to the shared
+    checkpoint folder when that is a local/NFS path, otherwise to a driver
+    temp file (code only, never data). Deployments that install the package
+    or pass it with ``--py-files`` can set ``spark.shelfcast.shipped=true``.
     """
     if spark.conf.get("spark.shelfcast.shipped", "false") == "true":
         return
     import shutil
+    from urllib.parse import urlparse
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    base = scratch_path(spark, "pyfiles", f"shelfcast-{os.getpid()}")
-    archive = shutil.make_archive(base, "zip", root_dir=os.path.dirname(pkg_dir), base_dir="shelfcast")
+    ckpt = ensure_checkpoint_dir(spark)
+    if urlparse(ckpt).scheme in ("", "file"):
+        base_dir = os.path.join(urlparse(ckpt).path or ckpt, "pyfiles")
+    else:
+        base_dir = tempfile.mkdtemp(prefix="shelfcast-pyfiles-")
+    os.makedirs(base_dir, exist_ok=True)
+    archive = shutil.make_archive(os.path.join(base_dir, f"shelfcast-{os.getpid()}"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="shelfcast")
     spark.sparkContext.addPyFile(archive)
     spark.conf.set("spark.shelfcast.shipped", "true")
 

@@ -73,3 +73,13 @@ def test_funnel_guards_zero_page_views(spark):
     assert rows["Page View"]["sessions"] == 0
     assert rows["Purchase"]["overall_cvr_pct"] == 100.0      # denominator 0 -> 1
     assert rows["Product View"]["step_cvr_pct"] == 100.0
+
+
+def test_approx_distinct_close_to_exact(spark):
+    from conftest import SF_ORACLE
+    from shelfcast.sources.fixtures import Domain
+    ev = Domain(spark, SF_ORACLE).clickstream()
+    exact = funnel.clickstream_overview(ev).first()
+    approx = funnel.clickstream_overview(ev, approx=True).first()
+    for c in ["unique_users", "unique_sessions"]:
+        assert abs(approx[c] - exact[c]) <= 0.03 * exact[c]
