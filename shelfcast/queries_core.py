@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .plans import marts, pricing, staging, state
+from .plans import marts, pricing, staging
 from .registry import (COMPETITOR_LOOKBACK, DEMAND_LOOKBACK, metrics_of, recs_of, register,
                        stock_of)
 
