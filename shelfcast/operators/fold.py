@@ -1,12 +1,14 @@
 """Order-dependent folds.
 
 guarded_fold (A18): stock per key where a change is applied only if the stock
-stays >= 0. The recurrence is not associative, so it runs as one ordered pass
-per key. The pass is streamed: rows are hash-partitioned by key and sorted
-inside each partition (Spark's external sort, spills to disk), then consumed
-batch by batch with ``mapInPandas``; memory is one Arrow batch plus one
-running state, never a whole group. Within a key run the fold is vectorised
-(cumulative sums until the first would-be-negative state).
+stays >= 0. The recurrence is not associative; it is split by time chunks
+(exact chunk summaries where the stock stays above the chunk's drawdown) and
+only the rest is one ordered pass per key. That pass is streamed: rows are
+hash-partitioned by key and sorted inside each partition (Spark's external
+sort, spills to disk), then consumed batch by batch with ``mapInPandas``;
+memory is one Arrow batch plus one running state, never a whole group. Within
+a key run the fold is vectorised (cumulative sums until the first
+would-be-negative state).
 
 ewm_last (A17): exponentially weighted mean (``adjust=False``) of a short,
 already aggregated series per key (hours x category), with a constant-size
@@ -18,7 +20,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -45,7 +47,7 @@ def fold_run(x: np.ndarray, state: int) -> tuple[int, np.ndarray]:
     return state, applied
 
 
-def _fold_partitions(keys: list[str], delta: str, ts: str, emit: str):
+def _fold_partitions(keys: list[str], delta: str, ts: str, emit: str, init_col: str | None = None):
     def run(batches):
         cur_key, state, n_ev, n_skip, last_ts = None, 0, 0, 0, None
         out_rows: list = []
@@ -68,7 +70,8 @@ def _fold_partitions(keys: list[str], delta: str, ts: str, emit: str):
                 key = tuple(kv[a])
                 if key != cur_key:
                     flush()
-                    cur_key, state, n_ev, n_skip, last_ts = key, 0, 0, 0, None
+                    start = int(pdf[init_col].iloc[a]) if init_col else 0
+                    cur_key, state, n_ev, n_skip, last_ts = key, start, 0, 0, None
                 state, applied = fold_run(x[a:b], state)
                 n_ev += b - a
                 n_skip += int((~applied).sum())
@@ -88,34 +91,99 @@ def _fold_partitions(keys: list[str], delta: str, ts: str, emit: str):
     return run
 
 
+def _sequential_fold(d: DataFrame, keys: list[str], order: Sequence[str], delta: str, ts: str,
+                     n: int, emit: str, init_col: str | None = None) -> DataFrame:
+    """Hash-partition by key, sort by (key, order), stream through ``mapInPandas``."""
+    d = d.repartition(n, *keys).sortWithinPartitions(*keys, *order)
+    if emit == "skipped":
+        return d.mapInPandas(_fold_partitions(keys, delta, ts, "skipped", init_col), d.schema)
+    key_fields = [f for f in d.schema.fields if f.name in keys]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields)
+    schema += f", current_stock bigint, events bigint, skipped bigint, last_event_at {d.schema[ts].dataType.simpleString()}"
+    return d.mapInPandas(_fold_partitions(keys, delta, ts, "state", init_col), schema)
+
+
+def _chunk_plan(d: DataFrame, keys: list[str], order: Sequence[str], delta: str, ts: str, chunk: str):
+    """Per key: fold the per-chunk summaries (total T, drawdown D).
+
+    A chunk entered with stock s >= D applies every change (no prefix can go
+    below zero), so it is exactly s + T. The fold over chunk summaries is
+    exact up to the first chunk entered below its drawdown ("dirty"); from
+    there the key needs the row-by-row pass. Returns (per-key plan, rows with
+    their chunk)."""
+    dc = d.withColumn("_chunk", F.date_trunc(chunk, ts))
+    w = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    meta = (dc.withColumn("_run", F.sum(delta).over(w))
+              .groupBy(*keys, "_chunk")
+              .agg(F.sum(delta).alias("T"), F.greatest(F.lit(0), -F.min("_run")).cast("long").alias("D"),
+                   F.count(F.lit(1)).alias("n"), F.max(ts).alias("last_ts")))
+    # one element per chunk of the key: bounded by the time span / chunk width
+    per_key = meta.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("_chunk", "T", "D", "last_ts"))).alias("c"),
+        F.sum("n").alias("events"))
+    init = F.struct(F.lit(0).cast("long").alias("s"), F.lit(None).cast(dc.schema["_chunk"].dataType).alias("dirty"),
+                    F.lit(None).cast(dc.schema[ts].dataType).alias("last"))
+
+    def step(acc, c):
+        clean = acc["dirty"].isNull() & (acc["s"] >= c["D"])
+        return F.when(clean, F.struct((acc["s"] + c["T"]).alias("s"), acc["dirty"].alias("dirty"),
+                                      c["last_ts"].alias("last"))) \
+                .when(acc["dirty"].isNull(), F.struct(acc["s"].alias("s"), c["_chunk"].alias("dirty"),
+                                                      acc["last"].alias("last"))) \
+                .otherwise(acc)
+    plan = per_key.select(*keys, "events", F.aggregate("c", init, step).alias("p")).select(
+        *keys, "events", F.col("p.s").alias("_s0"), F.col("p.dirty").alias("_dirty"), F.col("p.last").alias("_last"))
+    return plan, dc
+
+
 def guarded_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], delta: str,
-                 ts: str = "timestamp", num_partitions: int | None = None) -> DataFrame:
+                 ts: str = "timestamp", num_partitions: int | None = None, chunk: str = "day") -> DataFrame:
     """Per key: final state of the non-negative guarded fold over ``delta``.
 
     Output: keys, current_stock (long), events, skipped, last_event_at (time of
-    the last applied change).
-    ``order`` must make the order within a key total (tie-break columns).
+    the last applied change). ``order`` must start with ``ts`` and make the
+    order within a key total (tie-break columns).
+
+    Work is split by time chunks (``chunk`` = date_trunc unit): chunk
+    summaries are computed in parallel, keys whose stock never enters a chunk
+    below its drawdown are finished from the summaries alone, and only the
+    remaining keys, from their first such chunk on, are streamed row by row.
+    A hot key is therefore spread over its chunks instead of one task, except
+    for the part of its history where the stock runs near zero.
     """
     keys = list(keys)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = list(dict.fromkeys([*keys, *order, delta, ts]))
-    d = (df.select(*cols).withColumn(delta, F.col(delta).cast("long"))
-           .repartition(n, *keys).sortWithinPartitions(*keys, *order))
-    key_fields = [f for f in d.schema.fields if f.name in keys]
-    ts_type = d.schema[ts].dataType.simpleString()
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields)
-    schema += f", current_stock bigint, events bigint, skipped bigint, last_event_at {ts_type}"
-    return d.mapInPandas(_fold_partitions(keys, delta, ts, "state"), schema)
+    d = df.select(*cols).withColumn(delta, F.col(delta).cast("long"))
+    plan, dc = _chunk_plan(d, keys, order, delta, ts, chunk)
+    done = plan.filter(F.col("_dirty").isNull()).select(
+        *keys, F.col("_s0").alias("current_stock"), "events", F.lit(0).cast("long").alias("skipped"),
+        F.col("_last").alias("last_event_at"))
+    todo = plan.filter(F.col("_dirty").isNotNull()).select(*keys, "events", "_s0", "_dirty", "_last")
+    tail = (dc.join(todo.select(*keys, "_s0", "_dirty"), keys)
+              .filter(F.col("_chunk") >= F.col("_dirty"))
+              .select(*cols, "_s0"))
+    folded = _sequential_fold(tail, keys, order, delta, ts, n, "state", "_s0")
+    rest = folded.drop("events").join(todo.select(*keys, "events", "_last"), keys).select(
+        *keys, "current_stock", "events", "skipped",
+        F.coalesce(F.col("last_event_at"), F.col("_last")).alias("last_event_at"))
+    return done.unionByName(rest)
 
 
 def skipped_changes(df: DataFrame, keys: Sequence[str], order: Sequence[str], delta: str,
-                    ts: str = "timestamp", num_partitions: int | None = None) -> DataFrame:
-    """The input rows whose change was not applied (would have made stock < 0)."""
+                    ts: str = "timestamp", num_partitions: int | None = None, chunk: str = "day") -> DataFrame:
+    """The input rows whose change was not applied (would have made stock < 0).
+
+    Skips can only happen from a key's first dirty chunk on (see
+    ``guarded_fold``), so only those rows are streamed."""
     keys = list(keys)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    d = (df.withColumn(delta, F.col(delta).cast("long"))
-           .repartition(n, *keys).sortWithinPartitions(*keys, *order))
-    return d.mapInPandas(_fold_partitions(keys, delta, ts, "skipped"), d.schema)
+    d = df.withColumn(delta, F.col(delta).cast("long"))
+    plan, dc = _chunk_plan(d, keys, order, delta, ts, chunk)
+    todo = plan.filter(F.col("_dirty").isNotNull()).select(*keys, "_s0", "_dirty")
+    tail = dc.join(todo, keys).filter(F.col("_chunk") >= F.col("_dirty")).drop("_chunk", "_dirty")
+    out = _sequential_fold(tail, keys, order, delta, ts, n, "skipped", "_s0")
+    return out.drop("_s0")
 
 
 def ewm_state(series: Column, alpha: float, history: int = 4) -> Column:

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shelfcast.operators import (exact_quantiles, fold_run, guarded_fold, histogram, latest_by, quantile_bins,
-                                 with_global_rank)
+                                 skipped_changes, with_global_rank)
 from shelfcast.operators.fold import ewm_state
 
 
@@ -38,14 +38,28 @@ def test_fold_matches_loop(xs, s0):
             assert s >= 0
 
 
-def test_guarded_fold_distributed(spark):
-    rng = np.random.default_rng(7)
-    rows = [(int(k), int(t), int(rng.integers(-9, 10))) for t in range(400) for k in rng.integers(0, 5, 3)]
-    df = spark.createDataFrame(rows, "k long, t long, d long").withColumn("timestamp", F.col("t"))
-    got = {r["k"]: r["current_stock"] for r in guarded_fold(df, ["k"], ["t", "d"], "d").collect()}
+@pytest.mark.parametrize("drift", [-3, 0, 4])
+def test_guarded_fold_distributed(spark, drift):
+    """Chunked fold (clean chunks from summaries, dirty tails streamed) equals a
+    plain Python loop; one hot key holds most rows and spans many days."""
+    rng = np.random.default_rng(7 + drift)
+    t0 = pd.Timestamp("2024-01-01")
+    rows = []
+    for t in range(3000):
+        k = 0 if rng.random() < 0.6 else int(rng.integers(1, 6))      # key 0 is hot
+        rows.append((k, t0 + pd.Timedelta(minutes=37 * t), int(rng.integers(-20, 21)) + drift))
+    df = spark.createDataFrame(pd.DataFrame(rows, columns=["k", "timestamp", "d"]))
+    got = {r["k"]: (r["current_stock"], r["skipped"], r["events"])
+           for r in guarded_fold(df, ["k"], ["timestamp", "d"], "d").collect()}
     pdf = pd.DataFrame(rows, columns=["k", "t", "d"]).sort_values(["k", "t", "d"], kind="stable")
-    want = {k: py_fold(g["d"].tolist()) for k, g in pdf.groupby("k")}
+    want = {}
+    for k, g in pdf.groupby("k"):
+        st, applied = fold_run(g["d"].to_numpy(), 0)
+        assert st == py_fold(g["d"].tolist())
+        want[k] = (st, int((~applied).sum()), len(g))
     assert got == want
+    skipped = skipped_changes(df, ["k"], ["timestamp", "d"], "d").count()
+    assert skipped == sum(v[1] for v in want.values())
 
 
 @pytest.mark.parametrize("n", [1, 2, 4, 5, 6, 7, 13, 40])
