@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def fold_run(x: np.ndarray, state: int) -> tuple[int, np.ndarray]:
     """Apply deltas ``x`` in order from ``state``; return (final, applied mask)."""
@@ -104,86 +106,153 @@ def _sequential_fold(d: DataFrame, keys: list[str], order: Sequence[str], delta:
 
 
 def _chunk_plan(d: DataFrame, keys: list[str], order: Sequence[str], delta: str, ts: str, chunk: str):
-    """Per key: fold the per-chunk summaries (total T, drawdown D).
+    """Split each key's history into time chunks and decide, per chunk, whether
+    it can be taken from its summary.
+
+    Per (key, chunk): total T and drawdown D (how far the running sum dips
+    below the chunk's start). A chunk entered with stock s >= D applies every
+    change, so it is exactly s + T. The true stock is never below the
+    clamp-at-zero recursion L_k = max(0, L_{k-1} + T_k) (a skipped change only
+    ever leaves the stock higher), which has the closed form
+    L_k = C_k - min(0, min_{j<=k} C_j) over the running sum C of T: two running
+    windows over the chunk summaries. A chunk with L_{k-1} >= D is proven clean.
+    Before a key's first unproven chunk, L equals the exact stock.
 
-    A chunk entered with stock s >= D applies every change (no prefix can go
-    below zero), so it is exactly s + T. The fold over chunk summaries is
-    exact up to the first chunk entered below its drawdown ("dirty"); from
-    there the key needs the row-by-row pass. Returns (per-key plan, rows with
-    their chunk)."""
+    Returns (per-key plan, per-chunk summaries with ``proven``, rows with chunk).
+    The windows run over one row per (key, chunk): bounded by the time span.
+    """
     dc = d.withColumn("_chunk", F.date_trunc(chunk, ts))
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    meta = (dc.withColumn("_run", F.sum(delta).over(w))
-              .groupBy(*keys, "_chunk")
+    # one shuffle by (key, chunk) + sort; written once so later passes re-read it
+    dc = materialize(dc.withColumn("_run", F.sum(delta).over(w)), "fold-rows")
+    meta = (dc.groupBy(*keys, "_chunk")
               .agg(F.sum(delta).alias("T"), F.greatest(F.lit(0), -F.min("_run")).cast("long").alias("D"),
                    F.count(F.lit(1)).alias("n"), F.max(ts).alias("last_ts")))
-    # one element per chunk of the key: bounded by the time span / chunk width
-    per_key = meta.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("_chunk", "T", "D", "last_ts"))).alias("c"),
-        F.sum("n").alias("events"))
-    init = F.struct(F.lit(0).cast("long").alias("s"), F.lit(None).cast(dc.schema["_chunk"].dataType).alias("dirty"),
-                    F.lit(None).cast(dc.schema[ts].dataType).alias("last"))
-
-    def step(acc, c):
-        clean = acc["dirty"].isNull() & (acc["s"] >= c["D"])
-        return F.when(clean, F.struct((acc["s"] + c["T"]).alias("s"), acc["dirty"].alias("dirty"),
-                                      c["last_ts"].alias("last"))) \
-                .when(acc["dirty"].isNull(), F.struct(acc["s"].alias("s"), c["_chunk"].alias("dirty"),
-                                                      acc["last"].alias("last"))) \
-                .otherwise(acc)
-    plan = per_key.select(*keys, "events", F.aggregate("c", init, step).alias("p")).select(
-        *keys, "events", F.col("p.s").alias("_s0"), F.col("p.dirty").alias("_dirty"), F.col("p.last").alias("_last"))
-    return plan, dc
+    wk = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, 0)
+    meta = (meta.withColumn("_C", F.sum("T").over(wk))
+                .withColumn("_L", F.col("_C") - F.least(F.lit(0), F.min("_C").over(wk)))
+                .withColumn("_Lprev", F.coalesce(F.lag("_L").over(Window.partitionBy(*keys).orderBy("_chunk")),
+                                                 F.lit(0)))
+                .withColumn("proven", F.col("_Lprev") >= F.col("D")))
+    meta = materialize(meta, "fold-chunks")   # one row per (key, chunk)
+    first = meta.groupBy(*keys).agg(F.min(F.when(~F.col("proven"), F.col("_chunk"))).alias("_dirty"),
+                                    F.sum("n").alias("events"),
+                                    F.max_by("_L", "_chunk").alias("_final"),
+                                    F.max("last_ts").alias("_last_all"))
+    meta = meta.join(first.select(*keys, "_dirty"), keys)
+    start = (meta.filter(F.col("_chunk") == F.col("_dirty"))
+                 .select(*keys, F.col("_Lprev").alias("_s0")))
+    before = (meta.filter(F.col("_dirty").isNotNull() & (F.col("_chunk") < F.col("_dirty")))
+                  .groupBy(*keys).agg(F.max("last_ts").alias("_last_before")))
+    plan = (first.join(start, keys, "left").join(before, keys, "left"))
+    return plan, meta, dc.drop("_run")
+
+
+def _tail_rows(dc: DataFrame, meta: DataFrame, plan: DataFrame, keys: list[str], order: Sequence[str],
+               delta: str, ts: str, cols: list[str]) -> DataFrame:
+    """Rows the sequential pass must see, from each key's first unproven chunk:
+    every row of an unproven chunk, and ONE summary row (delta = T, placed at
+    the chunk's last timestamp) per proven chunk. A summary row can never be
+    skipped (its chunk is entered at or above its drawdown)."""
+    todo = plan.filter(F.col("_dirty").isNotNull()).select(*keys, "_s0")
+    decide = meta.filter(F.col("_chunk") >= F.col("_dirty")).select(*keys, "_chunk", "proven", "T", "last_ts")
+    raw = (dc.join(decide.filter(~F.col("proven")).select(*keys, "_chunk"), [*keys, "_chunk"])
+             .select(*cols, F.lit(False).alias("_summary")))
+    summary_cols = []
+    for c in cols:
+        if c in keys:
+            summary_cols.append(F.col(c))
+        elif c == delta:
+            summary_cols.append(F.col("T").cast(dc.schema[delta].dataType).alias(delta))
+        elif c == ts:
+            summary_cols.append(F.col("last_ts").alias(ts))
+        else:
+            summary_cols.append(F.lit(None).cast(dc.schema[c].dataType).alias(c))
+    summ = decide.filter(F.col("proven")).select(*summary_cols, F.lit(True).alias("_summary"))
+    return raw.unionByName(summ).join(todo, keys)
+
+
+HOT_KEY_ROWS = 1_000_000   # default; override with spark.shelfcast.fold.hotKeyRows
+
+
+def _hot_threshold(df: DataFrame, hot_rows: int | None) -> int:
+    if hot_rows is not None:
+        return int(hot_rows)
+    return int(df.sparkSession.conf.get("spark.shelfcast.fold.hotKeyRows", str(HOT_KEY_ROWS)))
+
+
+def _split_hot(d: DataFrame, keys: list[str], hot_rows: int):
+    """(hot rows, cold rows) or (None, d) when no key exceeds ``hot_rows``.
+
+    One partial-aggregated count per key; the hot-key list is broadcast only
+    when its size is checked to be small, else joined normally."""
+    hot = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
+    hot = materialize(hot, "fold-hot-keys")
+    n_hot = hot.count()
+    if n_hot == 0:
+        return None, d
+    side = F.broadcast(hot) if n_hot <= 100_000 else hot
+    return d.join(side, keys), d.join(side, keys, "left_anti")
 
 
 def guarded_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], delta: str,
-                 ts: str = "timestamp", num_partitions: int | None = None, chunk: str = "day") -> DataFrame:
+                 ts: str = "timestamp", num_partitions: int | None = None, chunk: str = "day",
+                 hot_rows: int | None = None) -> DataFrame:
     """Per key: final state of the non-negative guarded fold over ``delta``.
 
     Output: keys, current_stock (long), events, skipped, last_event_at (time of
     the last applied change). ``order`` must start with ``ts`` and make the
     order within a key total (tie-break columns).
 
-    Work is split by time chunks (``chunk`` = date_trunc unit): chunk
-    summaries are computed in parallel, keys whose stock never enters a chunk
-    below its drawdown are finished from the summaries alone, and only the
-    remaining keys, from their first such chunk on, are streamed row by row.
-    A hot key is therefore spread over its chunks instead of one task, except
-    for the part of its history where the stock runs near zero.
+    Keys with at most ``hot_rows`` rows take one ordered streamed pass (spread
+    over tasks by key hash). Hot keys are split by time chunks (``chunk`` =
+    date_trunc unit, see ``_chunk_plan``): chunk summaries are computed in
+    parallel, chunks proven clean are applied from their summaries, and only
+    the unproven chunks' rows (plus one summary row per proven chunk) are
+    streamed through the ordered per-key pass. A hot key thus spends
+    sequential row-by-row time only where its stock runs near zero.
     """
     keys = list(keys)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = list(dict.fromkeys([*keys, *order, delta, ts]))
     d = df.select(*cols).withColumn(delta, F.col(delta).cast("long"))
-    plan, dc = _chunk_plan(d, keys, order, delta, ts, chunk)
+    hot, cold = _split_hot(d, keys, _hot_threshold(df, hot_rows))
+    plain = _sequential_fold(cold, keys, order, delta, ts, n, "state")
+    if hot is None:
+        return plain
+    plan, meta, dc = _chunk_plan(hot, keys, order, delta, ts, chunk)
     done = plan.filter(F.col("_dirty").isNull()).select(
-        *keys, F.col("_s0").alias("current_stock"), "events", F.lit(0).cast("long").alias("skipped"),
-        F.col("_last").alias("last_event_at"))
-    todo = plan.filter(F.col("_dirty").isNotNull()).select(*keys, "events", "_s0", "_dirty", "_last")
-    tail = (dc.join(todo.select(*keys, "_s0", "_dirty"), keys)
-              .filter(F.col("_chunk") >= F.col("_dirty"))
-              .select(*cols, "_s0"))
-    folded = _sequential_fold(tail, keys, order, delta, ts, n, "state", "_s0")
-    rest = folded.drop("events").join(todo.select(*keys, "events", "_last"), keys).select(
-        *keys, "current_stock", "events", "skipped",
-        F.coalesce(F.col("last_event_at"), F.col("_last")).alias("last_event_at"))
-    return done.unionByName(rest)
+        *keys, F.col("_final").alias("current_stock"), "events", F.lit(0).cast("long").alias("skipped"),
+        F.col("_last_all").alias("last_event_at"))
+    tail = _tail_rows(dc, meta, plan, keys, order, delta, ts, cols)
+    folded = _sequential_fold(tail.drop("_summary"), keys, order, delta, ts, n, "state", "_s0")
+    rest = (folded.drop("events")
+                  .join(plan.filter(F.col("_dirty").isNotNull()).select(*keys, "events", "_last_before"), keys)
+                  .select(*keys, "current_stock", "events", "skipped",
+                          F.coalesce(F.col("last_event_at"), F.col("_last_before")).alias("last_event_at")))
+    return plain.unionByName(done).unionByName(rest)
 
 
 def skipped_changes(df: DataFrame, keys: Sequence[str], order: Sequence[str], delta: str,
-                    ts: str = "timestamp", num_partitions: int | None = None, chunk: str = "day") -> DataFrame:
+                    ts: str = "timestamp", num_partitions: int | None = None, chunk: str = "day",
+                    hot_rows: int | None = None) -> DataFrame:
     """The input rows whose change was not applied (would have made stock < 0).
 
-    Skips can only happen from a key's first dirty chunk on (see
-    ``guarded_fold``), so only those rows are streamed."""
+    Cold keys: one streamed pass. Hot keys: skips only happen inside unproven
+    chunks (see ``guarded_fold``), so only those rows (plus one summary row per
+    proven chunk after the first unproven one) are streamed; summary rows are
+    never skipped."""
     keys = list(keys)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     d = df.withColumn(delta, F.col(delta).cast("long"))
-    plan, dc = _chunk_plan(d, keys, order, delta, ts, chunk)
-    todo = plan.filter(F.col("_dirty").isNotNull()).select(*keys, "_s0", "_dirty")
-    tail = dc.join(todo, keys).filter(F.col("_chunk") >= F.col("_dirty")).drop("_chunk", "_dirty")
+    hot, cold = _split_hot(d, keys, _hot_threshold(df, hot_rows))
+    plain = _sequential_fold(cold, keys, order, delta, ts, n, "skipped")
+    if hot is None:
+        return plain
+    plan, meta, dc = _chunk_plan(hot, keys, order, delta, ts, chunk)
+    tail = _tail_rows(dc, meta, plan, keys, order, delta, ts, d.columns)
     out = _sequential_fold(tail, keys, order, delta, ts, n, "skipped", "_s0")
-    return out.drop("_s0")
+    return plain.unionByName(out.drop("_s0", "_summary"))
 
 
 def ewm_state(series: Column, alpha: float, history: int = 4) -> Column:

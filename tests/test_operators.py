@@ -38,8 +38,8 @@ def test_fold_matches_loop(xs, s0):
             assert s >= 0
 
 
-@pytest.mark.parametrize("drift", [-3, 0, 4])
-def test_guarded_fold_distributed(spark, drift):
+@pytest.mark.parametrize("drift,hot_rows", [(-3, 0), (0, 1000), (4, 0), (-3, 10**9)])
+def test_guarded_fold_distributed(spark, drift, hot_rows):
     """Chunked fold (clean chunks from summaries, dirty tails streamed) equals a
     plain Python loop; one hot key holds most rows and spans many days."""
     rng = np.random.default_rng(7 + drift)
@@ -50,7 +50,7 @@ def test_guarded_fold_distributed(spark, drift):
         rows.append((k, t0 + pd.Timedelta(minutes=37 * t), int(rng.integers(-20, 21)) + drift))
     df = spark.createDataFrame(pd.DataFrame(rows, columns=["k", "timestamp", "d"]))
     got = {r["k"]: (r["current_stock"], r["skipped"], r["events"])
-           for r in guarded_fold(df, ["k"], ["timestamp", "d"], "d").collect()}
+           for r in guarded_fold(df, ["k"], ["timestamp", "d"], "d", hot_rows=hot_rows).collect()}
     pdf = pd.DataFrame(rows, columns=["k", "t", "d"]).sort_values(["k", "t", "d"], kind="stable")
     want = {}
     for k, g in pdf.groupby("k"):
@@ -58,7 +58,7 @@ def test_guarded_fold_distributed(spark, drift):
         assert st == py_fold(g["d"].tolist())
         want[k] = (st, int((~applied).sum()), len(g))
     assert got == want
-    skipped = skipped_changes(df, ["k"], ["timestamp", "d"], "d").count()
+    skipped = skipped_changes(df, ["k"], ["timestamp", "d"], "d", hot_rows=hot_rows).count()
     assert skipped == sum(v[1] for v in want.values())
 
 
