@@ -83,11 +83,26 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, tie: str,
     non-null count) can be passed in when the caller already aggregated them.
     """
     groups = list(groups)
-    spark = df.sparkSession
+    ranked = rank_for_quantiles(df, groups, value, tie)
+    if sizes is None:
+        sizes = ranked.groupBy(*groups).agg(F.count(F.lit(1)).alias("_N")).collect()
+    return quantiles_from_ranked(ranked, groups, sizes, probs)
+
+
+def rank_for_quantiles(df: DataFrame, groups: Sequence[str], value: str, tie: str) -> DataFrame:
+    """Non-null ``value`` as ``_v`` with its global position ``_pos`` in the
+    (groups, value, tie) order (materialized; see ``with_global_rank``)."""
+    groups = list(groups)
     d = df.filter(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v"),
                                                    F.col(tie).alias("_t"))
-    if sizes is None:
-        sizes = d.groupBy(*groups).agg(F.count(F.lit(1)).alias("_N")).collect()
+    return with_global_rank(d, [*groups, "_v", "_t"], "_pos")
+
+
+def quantiles_from_ranked(ranked: DataFrame, groups: Sequence[str], sizes: list,
+                          probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Pick the needed order statistics out of ``rank_for_quantiles`` output."""
+    groups = list(groups)
+    spark = ranked.sparkSession
     sizes = sorted(sizes, key=lambda r: tuple(r[g] for g in groups))
     names = [f"q{int(round(p * 100))}" for p in probs]
     plan, start = [], 0
@@ -98,12 +113,11 @@ def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, tie: str,
             lo, hi = start + math.floor(h) + 1, start + math.ceil(h) + 1
             plan.append((tuple(r[g] for g in groups), name, h - math.floor(h), lo, hi))
         start += n
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields if f.name in groups)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema.fields if f.name in groups)
     schema = (fields + ", " if fields else "") + ", ".join(f"{n} double" for n in names)
     if not plan:
         return spark.createDataFrame([], schema)
     wanted = sorted({x for _, _, _, lo, hi in plan for x in (lo, hi)})
-    ranked = with_global_rank(d, [*groups, "_v", "_t"], "_pos")
     vals = {r["_pos"]: r["_v"] for r in ranked.filter(F.col("_pos").isin(wanted)).select("_pos", "_v").collect()}
     rows: dict[tuple, dict] = {}
     for key, name, frac, lo, hi in plan:

@@ -11,28 +11,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import rnd
-from ..session import materialize
-from .rank import exact_quantiles
+from .rank import exact_quantiles, quantiles_from_ranked, rank_for_quantiles
 
 
 def describe_by(df: DataFrame, groups: Sequence[str], value: str, tie: str, digits: int = 2) -> DataFrame:
     """pandas ``describe()`` of ``value`` per group (bounded number of groups):
     count, mean, std (sample), min, q25, q50, q75, max; rounded to ``digits``.
 
-    One aggregation pass gives the moments and group sizes; the quantiles
-    reuse the sizes and need one distributed ranking pass."""
+    One ranking pass writes the narrow (group, value, position) rows once; the
+    moments and group sizes are aggregated from that file and the quantiles
+    are picked from it by position."""
     groups = list(groups)
     spark = df.sparkSession
-    # narrow copy read by all three passes (moments, range sample, ranking)
-    df = materialize(df.select(*groups, F.col(value).cast("double").alias(value), tie), "describe")
-    v = F.col(value)
-    base = df.groupBy(*groups).agg(
+    ranked = rank_for_quantiles(df, groups, value, tie)
+    v = F.col("_v")
+    base = ranked.groupBy(*groups).agg(
         F.count(v).alias("_N"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max")).collect()
     fields = [f for f in df.schema.fields if f.name in groups]
     gschema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    moments = spark.createDataFrame([tuple(r) for r in base], (gschema + ", " if gschema else "") + "_N bigint, mean double, std double, min double, max double").withColumnRenamed("_N", "count")
-    q = exact_quantiles(df, groups, value, tie, sizes=[r for r in base if r["_N"] > 0])
+    moments = spark.createDataFrame(
+        [tuple(r) for r in base],
+        (gschema + ", " if gschema else "") + "count bigint, mean double, std double, min double, max double")
+    q = quantiles_from_ranked(ranked, groups, base)
     joined = moments.join(q, groups, "left") if groups else moments.crossJoin(q)
     return joined.select(*groups, F.col("count").cast("bigint").alias("count"),
                          *[rnd(c, digits).alias(c) for c in ["mean", "std", "min", "q25", "q50", "q75", "max"]])
