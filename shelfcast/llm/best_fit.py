@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, written
+from .common import shuffle_partitions, text_of, written
 from .tokens import ChunkTokenizer
 
 BUCKET_ROWS = 1_000_000
@@ -87,23 +87,22 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int,
               doc_id: str = "doc_id", with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]): a document's ids and the end
     id, cut into pieces of ``capacity`` if longer; the first piece takes the rest."""
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
+    fields = "piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(f"array<struct<{fields.replace(' ', ':').replace(',:', ', ')}>>")
+    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokenizer = ChunkTokenizer(tokenizer_path)
         end = np.array([end_id], tokenizer.dtype).tobytes()
-        names = [x.split()[0] for x in schema.split(", ")]
-        for pdf in batches:
+        names = [x.split()[0] for x in fields.split(", ")]
+        for texts in batches:
             out = []
-            for d, raw in zip(pdf["doc_id"], tokenizer.encode(list(pdf["text"]))):
+            for raw in tokenizer.encode(texts.tolist()):
                 ids = np.frombuffer(raw + end, tokenizer.dtype).astype("<u4")
                 cuts = [0, *range((len(ids) - 1) % capacity + 1, len(ids) + 1, capacity)]
-                for piece, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    data = ids[a:b].tobytes()
-                    row = (None if pd.isna(d) else int(d), piece, a, b - a, zlib.crc32(data))
-                    out.append((*row, data) if with_ids else row)
-            yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, schema)
+                data = [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+                out.append([dict(zip(names, (n, cuts[n], len(x) // 4, zlib.crc32(x), x))) for n, x in enumerate(data)])
+            yield pd.Series(out, index=texts.index, dtype=object)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.explode(cut(text_of(text))).alias("p")).select("doc_id", "p.*")
 
 
 def assign(pieces: DataFrame, capacity: int, order: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:

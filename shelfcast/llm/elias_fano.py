@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -138,14 +139,14 @@ def write_files(docs: DataFrame, tokenizer_path: str, end_id: int, text: str = "
     ordered = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
                .repartitionByRange(shuffle_partitions(docs.sparkSession), F.asc_nulls_first("doc_id"), F.xxhash64("text"))
                .sortWithinPartitions(F.asc_nulls_first("doc_id"), "text"))
-    manifest = written(ordered.mapInPandas(
+    manifest = written(ordered.mapInArrow(
         _writer(uri, tokenizer_path, end_id), "part int, seq int, path string, n_docs long, n_tokens long"), "token-manifest")
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).cast("long"))
 
 
 def _writer(uri: str, tokenizer_path: str, end_id: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, seq = TaskContext.get().partitionId(), 0
         tokenizer = ChunkTokenizer(tokenizer_path)
@@ -160,13 +161,13 @@ def _writer(uri: str, tokenizer_path: str, end_id: int):
             with store.open_output_stream(tmp := f"{name}.{uuid.uuid4().hex}") as out:
                 out.write(file_bytes(doc_ids, ids, tokenizer.width))
             store.move(tmp, name)
-            row = pd.DataFrame({"part": [part], "seq": [seq], "path": [name], "n_docs": [len(ids)],
-                                "n_tokens": [size // tokenizer.width]})
+            row = pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([name]), pa.array(
+                [len(ids)]), pa.array([size // tokenizer.width])], ["part", "seq", "path", "n_docs", "n_tokens"])
             doc_ids, ids, size, seq = [], [], 0, seq + 1
             return row
-        for pdf in batches:
-            for d, t in zip(pdf["doc_id"], tokenizer.encode(list(pdf["text"]))):
-                doc_ids.append(None if pd.isna(d) else int(d))
+        for batch in batches:
+            for d, t in zip(batch.column("doc_id").to_pylist(), tokenizer.encode(batch.column("text").to_pylist())):
+                doc_ids.append(d)
                 ids.append(t + end)
                 size += len(ids[-1])
                 if size >= FILE_TOKENS * tokenizer.width:

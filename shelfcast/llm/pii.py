@@ -47,18 +47,20 @@ AT_WORDS, DOT_WORDS = ("at", "arroba", "arobase"), ("dot", "punkt", "point", "pu
 _AT, _DOT = (f"(?i:{'|'.join(words)})" for words in (AT_WORDS, DOT_WORDS))
 _DIGIT = f"(?i:{'|'.join(sorted(DIGIT_WORDS, key=len, reverse=True))})"
 _NAME = r"[A-Za-z0-9][A-Za-z0-9-]{0,62}"
+_AFTER_DOT = f"(?i:{'|'.join(f'(?<={w} )' for w in DOT_WORDS)})"
 _CHAR = f"[{re.escape(''.join(LOOKALIKES))}]"
 RULES = re.compile("|".join((
     rf"(?P<char>{_CHAR})", rf"(?P<gone>[{INVISIBLE}])",
     rf"[ ]?[\[({{<][ ]?(?:(?P<at>{_AT}|@)|(?P<dot>{_DOT}|\.))[ ]?[\])}}>][ ]?",
-    rf"(?P<bare>(?<=[A-Za-z0-9])[ ]{_AT}[ ](?={_NAME}[ ]{_DOT}[ ]{_NAME}))",
+    rf"(?P<bare>(?<=[A-Za-z0-9])[ ]{_AT}[ ](?={_NAME}[ ]{_DOT}[ ](?!{_DOT}\b){_NAME}))",
     rf"(?P<baredot>(?<=[A-Za-z0-9])[ ]{_DOT}[ ](?=[A-Za-z0-9]))",
     rf"\b(?P<plus>(?i:plus)[ ])(?=[0-9]|{_DIGIT}\b)",
-    rf"\b(?P<spelled>(?:{_DIGIT}\b[ -]?){{3,}})")))
+    rf"\b(?P<spelled>{_DIGIT}\b(?:[ -]{_DIGIT}\b){{2,}}|{_DIGIT}\b(?:[ -]{_DIGIT}\b)?(?=[ ]{_DOT}[ ](?:[0-9]|{_DIGIT}\b))"
+    rf"|{_AFTER_DOT}{_DIGIT}\b(?:[ -]{_DIGIT}\b)?)")))
 # Rewriting matters only where one of these occurs; a lone dot word leads to nothing.
 GATE = re.compile("|".join((
     _CHAR, f"[{INVISIBLE}]", rf"[\[({{<][ ]?(?:{_AT}|{_DOT}|@|\.)[ ]?[\])}}>]", rf"[ ]{_AT}[ ]{_NAME}[ ]{_DOT}[ ]",
-    rf"\b{_DIGIT}(?:[ -]{_DIGIT}\b){{2}}", rf"[0-9][ ]{_DOT}[ ][0-9]", r"\b(?i:plus)[ ][0-9]")))
+    rf"\b{_DIGIT}(?:[ -]{_DIGIT}\b){{2}}", rf"(?:[0-9]|\b{_DIGIT})[ ]{_DOT}[ ](?:[0-9]|{_DIGIT}\b)", r"\b(?i:plus)[ ][0-9]")))
 
 
 def luhn(digits: str) -> bool:
@@ -122,9 +124,6 @@ class Normalised:
                 for w in re.finditer(r"\w+", m[0]):
                     a = m.start() + w.start()
                     self._add(DIGIT_WORDS.get(w[0].lower(), w[0]), a, a + len(w[0]), True)
-                if m[0][-1] in " -":
-                    if not re.match(r"[0-9]", source[done:done + 1]):
-                        self._add(m[0][-1], done - 1, done, False)
         self._add(source[done:], done, len(source), False)
         self.text = "".join(self.pieces)
 

@@ -23,6 +23,7 @@ from collections import defaultdict
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -123,7 +124,7 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", page_id: str = "
     rules = (rules.select(*[F.col(c).cast("string").alias(c) for c in ("host", "path", "verdict")]).dropna()
              .withColumn("range", F.explode(ranges_met("host"))))
     out = urls.select(*kept, "host", "path").schema.add("rule", "string").add("verdict", "string")
-    found = rules.groupBy("range").cogroup(dealt.groupBy("range")).applyInPandas(_sweeper(kept), out)
+    found = rules.groupBy("range").cogroup(dealt.groupBy("range")).applyInArrow(_sweeper(kept), out)
     return found.select(*[F.col(k).alias(c) for c, k in zip(carried, kept)], "host", "path", "rule",
                         F.coalesce("verdict", F.lit(default)).alias("verdict"))
 
@@ -140,7 +141,11 @@ def _cuts(urls: DataFrame) -> list[tuple[Key, str, str]]:
 
 
 def _sweeper(kept: list[str]):
-    def run(rules: pd.DataFrame, dealt: pd.DataFrame) -> pd.DataFrame:
-        found = sweep(list(zip(rules["host"], rules["path"], rules["verdict"])), list(zip(dealt["host"], dealt["path"])))
-        return dealt[[*kept, "host", "path"]].assign(rule=[f and f[0] for f in found], verdict=[f and f[1] for f in found])
+    def run(rules: pa.Table, dealt: pa.Table) -> pa.Table:
+        found = sweep(list(zip(*(rules[c].to_pylist() for c in ("host", "path", "verdict")))),
+                      list(zip(dealt["host"].to_pylist(), dealt["path"].to_pylist())))
+        out = dealt.select([*kept, "host", "path"])
+        for i, name in enumerate(("rule", "verdict")):
+            out = out.append_column(name, pa.array([f and f[i] for f in found], pa.string()))
+        return out
     return run
