@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import shuffle_partitions, text_of, written
-from .tokens import ChunkTokenizer
+from .tokens import chunk_tokenizer
 
 BUCKET_ROWS = 1_000_000
 
@@ -91,7 +91,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int,
 
     @F.pandas_udf(f"array<struct<{fields.replace(' ', ':').replace(',:', ', ')}>>")
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokenizer = ChunkTokenizer(tokenizer_path)
+        tokenizer = chunk_tokenizer(tokenizer_path)
         end = np.array([end_id], tokenizer.dtype).tobytes()
         names = [x.split()[0] for x in fields.split(", ")]
         for texts in batches:

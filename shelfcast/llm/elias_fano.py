@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import shuffle_partitions, stage_path, text_of, written
-from .tokens import ChunkTokenizer
+from .tokens import chunk_tokenizer
 
 MAGIC = 0x31304B5446453031
 SAMPLE = 64  # ones of the bit vector a directory entry
@@ -149,7 +149,7 @@ def _writer(uri: str, tokenizer_path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, seq = TaskContext.get().partitionId(), 0
-        tokenizer = ChunkTokenizer(tokenizer_path)
+        tokenizer = chunk_tokenizer(tokenizer_path)
         end = np.array([end_id], tokenizer.dtype).tobytes()
         doc_ids, ids, size = [], [], 0
 
