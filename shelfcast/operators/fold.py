@@ -105,154 +105,123 @@ def _sequential_fold(d: DataFrame, keys: list[str], order: Sequence[str], delta:
     return d.mapInPandas(_fold_partitions(keys, delta, ts, "state", init_col), schema)
 
 
-def _chunk_plan(d: DataFrame, keys: list[str], order: Sequence[str], delta: str, ts: str, chunk: str):
-    """Split each key's history into time chunks and decide, per chunk, whether
-    it can be taken from its summary.
-
-    Per (key, chunk): total T and drawdown D (how far the running sum dips
-    below the chunk's start). A chunk entered with stock s >= D applies every
-    change, so it is exactly s + T. The true stock is never below the
-    clamp-at-zero recursion L_k = max(0, L_{k-1} + T_k) (a skipped change only
-    ever leaves the stock higher), which has the closed form
-    L_k = C_k - min(0, min_{j<=k} C_j) over the running sum C of T: two running
-    windows over the chunk summaries. A chunk with L_{k-1} >= D is proven clean.
-    Before a key's first unproven chunk, L equals the exact stock.
-
-    Returns (per-key plan, per-chunk summaries with ``proven``, rows with chunk).
-    The windows run over one row per (key, chunk): bounded by the time span.
-    """
-    dc = d.withColumn("_chunk", F.date_trunc(chunk, ts))
+# Units at which chunks are proven in turn: what a day does not settle is tried by minute.
+CHUNKS = ("day", "minute")
+
+
+def _level(tail: DataFrame, keys: list[str], order: Sequence[str], delta: str, ts: str, unit: str):
+    """Settle what chunks of ``unit`` can settle; returns (finished keys, tail, starts,
+    chunk summaries).
+
+    ``tail`` has the rows still open, ``_s0`` the key's stock before them, ``_l0`` the
+    time of the last change before them and ``_summary`` for rows that stand for a
+    proven chunk; ``starts`` has ``_l0`` by key. Per (key, chunk): total T and
+    drawdown D (how far the running sum dips below the chunk's start). A chunk
+    entered with stock s >= D applies every change, so it is exactly s + T. The
+    true stock is never below the clamp-at-zero recursion L_k = max(0, L_{k-1} + T_k)
+    from s0 (a skipped change only ever leaves the stock higher), which has the
+    closed form L_k = s0 + C_k - min(0, min_{j<=k} (s0 + C_j)) over the running sum
+    C of T: two running windows over the chunk summaries, one row per (key, chunk).
+    A chunk with L_{k-1} >= D is proven; before a key's first unproven chunk, L is
+    the stock. A proven chunk becomes one row (delta T at its last time), which is
+    never skipped; rows before the first unproven chunk go into ``_s0``.
+
+    Rows without a time come first and form a chunk of their own."""
+    first_time = F.lit("0001-01-01 00:00:00").cast(tail.schema[ts].dataType)
+    chunked = tail.withColumn("_chunk", F.coalesce(F.date_trunc(unit, ts), first_time))
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    # one shuffle by (key, chunk) + sort; written once so later passes re-read it
-    dc = materialize(dc.withColumn("_run", F.sum(delta).over(w)), "fold-rows")
-    meta = (dc.groupBy(*keys, "_chunk")
-              .agg(F.sum(delta).alias("T"), F.greatest(F.lit(0), -F.min("_run")).cast("long").alias("D"),
-                   F.count(F.lit(1)).alias("n"), F.max(ts).alias("last_ts")))
-    wk = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, 0)
-    meta = (meta.withColumn("_C", F.sum("T").over(wk))
-                .withColumn("_L", F.col("_C") - F.least(F.lit(0), F.min("_C").over(wk)))
-                .withColumn("_Lprev", F.coalesce(F.lag("_L").over(Window.partitionBy(*keys).orderBy("_chunk")),
-                                                 F.lit(0)))
-                .withColumn("proven", F.col("_Lprev") >= F.col("D")))
-    meta = materialize(meta, "fold-chunks")   # one row per (key, chunk)
-    first = meta.groupBy(*keys).agg(F.min(F.when(~F.col("proven"), F.col("_chunk"))).alias("_dirty"),
-                                    F.sum("n").alias("events"),
-                                    F.max_by("_L", "_chunk").alias("_final"),
-                                    F.max("last_ts").alias("_last_all"))
-    meta = meta.join(first.select(*keys, "_dirty"), keys)
-    start = (meta.filter(F.col("_chunk") == F.col("_dirty"))
-                 .select(*keys, F.col("_Lprev").alias("_s0")))
-    before = (meta.filter(F.col("_dirty").isNotNull() & (F.col("_chunk") < F.col("_dirty")))
-                  .groupBy(*keys).agg(F.max("last_ts").alias("_last_before")))
-    plan = (first.join(start, keys, "left").join(before, keys, "left"))
-    return plan, meta, dc.drop("_run")
-
-
-def _tail_rows(dc: DataFrame, meta: DataFrame, plan: DataFrame, keys: list[str], order: Sequence[str],
-               delta: str, ts: str, cols: list[str]) -> DataFrame:
-    """Rows the sequential pass must see, from each key's first unproven chunk:
-    every row of an unproven chunk, and ONE summary row (delta = T, placed at
-    the chunk's last timestamp) per proven chunk. A summary row can never be
-    skipped (its chunk is entered at or above its drawdown)."""
-    todo = plan.filter(F.col("_dirty").isNotNull()).select(*keys, "_s0")
-    decide = meta.filter(F.col("_chunk") >= F.col("_dirty")).select(*keys, "_chunk", "proven", "T", "last_ts")
-    raw = (dc.join(decide.filter(~F.col("proven")).select(*keys, "_chunk"), [*keys, "_chunk"])
-             .select(*cols, F.lit(False).alias("_summary")))
-    summary_cols = []
-    for c in cols:
-        if c in keys:
-            summary_cols.append(F.col(c))
-        elif c == delta:
-            summary_cols.append(F.col("T").cast(dc.schema[delta].dataType).alias(delta))
-        elif c == ts:
-            summary_cols.append(F.col("last_ts").alias(ts))
-        else:
-            summary_cols.append(F.lit(None).cast(dc.schema[c].dataType).alias(c))
-    summ = decide.filter(F.col("proven")).select(*summary_cols, F.lit(True).alias("_summary"))
-    return raw.unionByName(summ).join(todo, keys)
-
-
-HOT_KEY_ROWS = 1_000_000   # default; override with spark.shelfcast.fold.hotKeyRows
-
-
-def _hot_threshold(df: DataFrame, hot_rows: int | None) -> int:
-    if hot_rows is not None:
-        return int(hot_rows)
-    return int(df.sparkSession.conf.get("spark.shelfcast.fold.hotKeyRows", str(HOT_KEY_ROWS)))
-
-
-def _split_hot(d: DataFrame, keys: list[str], hot_rows: int):
-    """(hot rows, cold rows) or (None, d) when no key exceeds ``hot_rows``.
-
-    One partial-aggregated count per key; the hot-key list is broadcast only
-    when its size is checked to be small, else joined normally."""
-    hot = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
-    n_hot = hot.count()
-    if n_hot == 0:
-        return None, d
-    hot = materialize(hot, "fold-hot-keys")
-    side = F.broadcast(hot) if n_hot <= 100_000 else hot
-    return d.join(side, keys), d.join(side, keys, "left_anti")
+    rows = materialize(chunked.withColumn("_run", F.sum(delta).over(w)), "fold-rows")
+    meta = rows.groupBy(*keys, "_chunk").agg(
+        F.sum(delta).alias("T"), F.greatest(F.lit(0), -F.min("_run")).cast("long").alias("D"),
+        F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.min("_s0").alias("_s0"), F.min("_l0").alias("_l0"),
+        F.count(F.lit(1)).alias("_rows"))
+    by_key = Window.partitionBy(*keys).orderBy("_chunk")
+    up_to = by_key.rowsBetween(Window.unboundedPreceding, 0)
+    meta = (meta.withColumn("_C", F.col("_s0") + F.sum("T").over(up_to))
+            .withColumn("_L", F.col("_C") - F.least(F.lit(0), F.min("_C").over(up_to)))
+            .withColumn("_enter", F.coalesce(F.lag("_L").over(by_key), F.col("_s0")))
+            .withColumn("_proven", F.col("_enter") >= F.col("D")))
+    meta = materialize(meta, "fold-chunks")
+    first = meta.groupBy(*keys).agg(F.min(F.when(~F.col("_proven"), F.col("_chunk"))).alias("_dirty"),
+                                    F.max_by("_L", "_chunk").alias("current_stock"),
+                                    F.coalesce(F.max("_last"), F.min("_l0")).alias("last_event_at"))
+    finished = first.filter(F.col("_dirty").isNull()).drop("_dirty")
+    open_chunks = meta.join(first.filter(F.col("_dirty").isNotNull()).select(*keys, "_dirty"), keys)
+    at_dirty = F.col("_chunk") == F.col("_dirty")
+    starts = open_chunks.groupBy(*keys).agg(
+        F.min(F.when(at_dirty, F.col("_enter"))).alias("_s0"),
+        F.coalesce(F.max(F.when(F.col("_chunk") < F.col("_dirty"), F.col("_last"))), F.min("_l0")).alias("_l0"))
+    raw = rows.drop("_run", "_s0", "_l0").join(open_chunks.filter(~F.col("_proven")).select(*keys, "_chunk"), [*keys, "_chunk"])
+    known = {**{k: F.col(k) for k in keys}, delta: F.col("T").cast("long"), ts: F.col("_last"), "_summary": F.lit(True)}
+    settled = open_chunks.filter(F.col("_proven") & (F.col("_chunk") > F.col("_dirty"))).select(
+        *[known.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in tail.schema if f.name not in ("_s0", "_l0")])
+    return finished, raw.drop("_chunk").unionByName(settled).join(starts, keys), starts, meta
+
+
+def _settle(d: DataFrame, keys: list[str], order: Sequence[str], delta: str, ts: str, chunks: Sequence[str]):
+    """Apply ``_level`` per unit: (finished keys of every level, what is left, its
+    starts, rows by key). A finer unit is tried only if it can split an open chunk."""
+    tail = d.withColumn("_l0", F.lit(None).cast(d.schema[ts].dataType)).withColumn("_summary", F.lit(False))
+    finished, events = [], None
+    for unit in chunks:
+        done, tail, starts, meta = _level(tail, keys, order, delta, ts, unit)
+        finished.append(done)
+        if events is None:
+            events = meta.groupBy(*keys).agg(F.sum("_rows").alias("events"))
+        if meta.filter(~F.col("_proven") & (F.col("_first") < F.col("_last"))).isEmpty():
+            break
+    return finished, tail, starts, events
 
 
 def guarded_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], delta: str,
-                 ts: str = "timestamp", num_partitions: int | None = None, chunk: str = "day",
-                 hot_rows: int | None = None) -> DataFrame:
+                 ts: str = "timestamp", num_partitions: int | None = None,
+                 chunks: Sequence[str] = CHUNKS, init: DataFrame | None = None) -> DataFrame:
     """Per key: final state of the non-negative guarded fold over ``delta``.
 
     Output: keys, current_stock (long), events, skipped, last_event_at (time of
     the last applied change). ``order`` must start with ``ts`` and make the
-    order within a key total (tie-break columns).
-
-    Keys with at most ``hot_rows`` rows take one ordered streamed pass (spread
-    over tasks by key hash). Hot keys are split by time chunks (``chunk`` =
-    date_trunc unit, see ``_chunk_plan``): chunk summaries are computed in
-    parallel, chunks proven clean are applied from their summaries, and only
-    the unproven chunks' rows (plus one summary row per proven chunk) are
-    streamed through the ordered per-key pass. A hot key thus spends
-    sequential row-by-row time only where its stock runs near zero.
+    order within a key total (tie-break columns). A NULL change is a change of 0.
+    ``init`` (keys, ``stock``) gives the stock before the first row; 0 where absent.
+
+    All keys go the same way: chunks of time that provably skip nothing are taken
+    from their summaries (``chunks``: date_trunc units, coarse to fine), and only the
+    rows of the chunks left, where the stock runs near zero, are streamed in order.
     """
     keys = list(keys)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cols = list(dict.fromkeys([*keys, *order, delta, ts]))
-    d = df.select(*cols).withColumn(delta, F.col(delta).cast("long"))
-    hot, cold = _split_hot(d, keys, _hot_threshold(df, hot_rows))
-    plain = _sequential_fold(cold, keys, order, delta, ts, n, "state")
-    if hot is None:
-        return plain
-    plan, meta, dc = _chunk_plan(hot, keys, order, delta, ts, chunk)
-    done = plan.filter(F.col("_dirty").isNull()).select(
-        *keys, F.col("_final").alias("current_stock"), "events", F.lit(0).cast("long").alias("skipped"),
-        F.col("_last_all").alias("last_event_at"))
-    tail = _tail_rows(dc, meta, plan, keys, order, delta, ts, cols)
-    folded = _sequential_fold(tail.drop("_summary"), keys, order, delta, ts, n, "state", "_s0")
-    rest = (folded.drop("events")
-                  .join(plan.filter(F.col("_dirty").isNotNull()).select(*keys, "events", "_last_before"), keys)
-                  .select(*keys, "current_stock", "events", "skipped",
-                          F.coalesce(F.col("last_event_at"), F.col("_last_before")).alias("last_event_at")))
-    return plain.unionByName(done).unionByName(rest)
+    d = _prepared(df.select(*dict.fromkeys([*keys, *order, delta, ts])), keys, delta, init)
+    finished, tail, starts, sizes = _settle(d, keys, order, delta, ts, chunks)
+    zero = F.lit(0).cast("long")
+    parts = [f.select(*keys, "current_stock", zero.alias("skipped"), "last_event_at") for f in finished]
+    folded = _sequential_fold(tail.drop("_summary", "_l0"), keys, order, delta, ts, n, "state", "_s0")
+    parts.append(folded.join(starts.drop("_s0"), keys).select(
+        *keys, "current_stock", "skipped", F.coalesce("last_event_at", "_l0").alias("last_event_at")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.join(sizes, keys).select(*keys, "current_stock", "events", "skipped", "last_event_at")
+
+
+def _prepared(df: DataFrame, keys: list[str], delta: str, init: DataFrame | None) -> DataFrame:
+    d = df.withColumn(delta, F.coalesce(F.col(delta).cast("long"), F.lit(0)))
+    if init is None:
+        return d.withColumn("_s0", F.lit(0).cast("long"))
+    return d.join(init.select(*keys, F.col("stock").cast("long").alias("_s0")), keys, "left").withColumn(
+        "_s0", F.coalesce("_s0", F.lit(0)))
 
 
 def skipped_changes(df: DataFrame, keys: Sequence[str], order: Sequence[str], delta: str,
-                    ts: str = "timestamp", num_partitions: int | None = None, chunk: str = "day",
-                    hot_rows: int | None = None) -> DataFrame:
+                    ts: str = "timestamp", num_partitions: int | None = None,
+                    chunks: Sequence[str] = CHUNKS, init: DataFrame | None = None) -> DataFrame:
     """The input rows whose change was not applied (would have made stock < 0).
 
-    Cold keys: one streamed pass. Hot keys: skips only happen inside unproven
-    chunks (see ``guarded_fold``), so only those rows (plus one summary row per
-    proven chunk after the first unproven one) are streamed; summary rows are
-    never skipped."""
+    Skips only happen in chunks that ``guarded_fold`` leaves open, so only their
+    rows are streamed."""
     keys = list(keys)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    d = df.withColumn(delta, F.col(delta).cast("long"))
-    hot, cold = _split_hot(d, keys, _hot_threshold(df, hot_rows))
-    plain = _sequential_fold(cold, keys, order, delta, ts, n, "skipped")
-    if hot is None:
-        return plain
-    plan, meta, dc = _chunk_plan(hot, keys, order, delta, ts, chunk)
-    tail = _tail_rows(dc, meta, plan, keys, order, delta, ts, d.columns)
+    _, tail, _, _ = _settle(_prepared(df, keys, delta, init), keys, order, delta, ts, chunks)
     out = _sequential_fold(tail, keys, order, delta, ts, n, "skipped", "_s0")
-    return plain.unionByName(out.drop("_s0", "_summary"))
+    return out.select(*df.columns)
 
 
 def ewm_state(series: Column, alpha: float, history: int = 4) -> Column:

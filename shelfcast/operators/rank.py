@@ -1,4 +1,4 @@
-"""Exact global ranks and quantiles without a single-partition window.
+"""Exact global ranks without a single-partition window.
 
 ``Window.orderBy(x)`` with no partitioning moves every row into one task. Here
 the rows are range-partitioned on the (total) order, sorted inside each
@@ -10,7 +10,6 @@ key must be unique (add a tie-break column).
 """
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -68,58 +67,3 @@ def quantile_bins(df: DataFrame, value: str, tie: str, out_col: str, n_bins: int
         k = F.greatest(F.lit(1), F.expr(f"((_r - 1) * {nb} + {total - 2}) div {total - 1}"))
     label = (F.lit(nb + 1) - k) if descending_labels else k
     return ranked.withColumn(out_col, label.cast("int")).drop("_r")
-
-
-def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, tie: str,
-                    probs: Sequence[float] = (0.25, 0.5, 0.75), sizes: list | None = None) -> DataFrame:
-    """Linear-interpolated quantiles (pandas / SQL ``quantile_cont``) per group.
-
-    For a bounded number of groups (competitors, segments). Only the two order
-    statistics around h = (N-1)p are needed for each p; their positions in the
-    global (groups, value, tie) order follow from the group sizes, so ONE
-    distributed ranking pass picks exactly those rows (at most
-    2 x groups x probs values reach the driver). Returns one row per group with
-    columns ``q<100p>``. ``sizes`` (rows with the group columns and ``_N`` =
-    non-null count) can be passed in when the caller already aggregated them.
-    """
-    groups = list(groups)
-    ranked = rank_for_quantiles(df, groups, value, tie)
-    if sizes is None:
-        sizes = ranked.groupBy(*groups).agg(F.count(F.lit(1)).alias("_N")).collect()
-    return quantiles_from_ranked(ranked, groups, sizes, probs)
-
-
-def rank_for_quantiles(df: DataFrame, groups: Sequence[str], value: str, tie: str) -> DataFrame:
-    """Non-null ``value`` as ``_v`` with its global position ``_pos`` in the
-    (groups, value, tie) order (materialized; see ``with_global_rank``)."""
-    groups = list(groups)
-    d = df.filter(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v"),
-                                                   F.col(tie).alias("_t"))
-    return with_global_rank(d, [*groups, "_v", "_t"], "_pos")
-
-
-def quantiles_from_ranked(ranked: DataFrame, groups: Sequence[str], sizes: list,
-                          probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """Pick the needed order statistics out of ``rank_for_quantiles`` output."""
-    groups = list(groups)
-    spark = ranked.sparkSession
-    sizes = sorted(sizes, key=lambda r: tuple(r[g] for g in groups))
-    names = [f"q{int(round(p * 100))}" for p in probs]
-    plan, start = [], 0
-    for r in sizes:
-        n = r["_N"]
-        for p, name in zip(probs, names):
-            h = (n - 1) * p
-            lo, hi = start + math.floor(h) + 1, start + math.ceil(h) + 1
-            plan.append((tuple(r[g] for g in groups), name, h - math.floor(h), lo, hi))
-        start += n
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema.fields if f.name in groups)
-    schema = (fields + ", " if fields else "") + ", ".join(f"{n} double" for n in names)
-    if not plan:
-        return spark.createDataFrame([], schema)
-    wanted = sorted({x for _, _, _, lo, hi in plan for x in (lo, hi)})
-    vals = {r["_pos"]: r["_v"] for r in ranked.filter(F.col("_pos").isin(wanted)).select("_pos", "_v").collect()}
-    rows: dict[tuple, dict] = {}
-    for key, name, frac, lo, hi in plan:
-        rows.setdefault(key, {})[name] = vals[lo] + frac * (vals[hi] - vals[lo])
-    return spark.createDataFrame([(*k, *[v[n] for n in names]) for k, v in rows.items()], schema)

@@ -64,7 +64,7 @@ def price_gaps(cp: DataFrame, products: DataFrame) -> DataFrame:
 
 def gap_describe(gaps: DataFrame) -> DataFrame:
     """describe() of the gap per competitor."""
-    return describe_by(gaps, ["competitor_name"], "pct_above_competitor", "obs_key")
+    return describe_by(gaps, ["competitor_name"], "pct_above_competitor")
 
 
 def gap_histogram(gaps: DataFrame, n_bins: int = 40) -> DataFrame:
@@ -74,7 +74,7 @@ def gap_histogram(gaps: DataFrame, n_bins: int = 40) -> DataFrame:
 
 def gap_box(gaps: DataFrame) -> DataFrame:
     """Box-plot numbers of the gap per competitor."""
-    return box_summary(gaps, ["competitor_name"], "pct_above_competitor", "obs_key")
+    return box_summary(gaps, ["competitor_name"], "pct_above_competitor")
 
 
 def recommendation_table(recs: DataFrame) -> DataFrame:

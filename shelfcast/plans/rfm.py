@@ -58,7 +58,7 @@ def rfm_describe(raw: DataFrame) -> DataFrame:
     long = raw.select("user_id", F.inline(F.array(*[
         F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("v")) for c in
         ["recency_days", "frequency", "monetary"]])))
-    return describe_by(long, ["measure"], "v", "user_id")
+    return describe_by(long, ["measure"], "v")
 
 
 def rfm_scores(raw: DataFrame, n_bins: int = 5) -> DataFrame:

@@ -316,7 +316,7 @@ SELECT device_type, count(v) AS count, {R('avg(v)', 2)} AS mean, {R('stddev_samp
        {R('quantile_cont(v, 0.75)', 2)} AS q75, {R('max(v)', 2)} AS max
 FROM (SELECT device_type, CAST(product_price AS DOUBLE) AS v FROM clickstream WHERE {PUR}) GROUP BY 1""")
 def _a15(d):
-    return describe_by(_pur(d), ["device_type"], "product_price", "event_id")
+    return describe_by(_pur(d), ["device_type"], "product_price")
 
 
 @reg("a16_value_counts", "SELECT event_type, count(*) AS count FROM inventory_events GROUP BY 1")
@@ -378,7 +378,7 @@ SELECT g.device_type, {R('min(v)', 2)} AS min,
        count(*) FILTER (WHERE v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)) AS outliers
 FROM g JOIN qs ON g.device_type = qs.device_type GROUP BY g.device_type""")
 def _a21(d):
-    return box_summary(_pur(d), ["device_type"], "product_price", "event_id")
+    return box_summary(_pur(d), ["device_type"], "product_price")
 
 
 @reg("a22_share_of_group", f"""
