@@ -49,7 +49,7 @@ def fold_run(x: np.ndarray, state: int) -> tuple[int, np.ndarray]:
     return state, applied
 
 
-def _fold_partitions(keys: list[str], delta: str, ts: str, emit: str, init_col: str | None = None):
+def _fold_partitions(keys: list[str], delta: str, ts: str, emit: str):
     def run(batches):
         cur_key, state, n_ev, n_skip, last_ts = None, 0, 0, 0, None
         out_rows: list = []
@@ -63,6 +63,7 @@ def _fold_partitions(keys: list[str], delta: str, ts: str, emit: str, init_col:
                 continue
             kv = pdf[keys].to_numpy(dtype=object)
             x = pdf[delta].to_numpy(dtype=np.int64)
+            s0, events, l0 = pdf["_s0"].to_numpy(), pdf["_events"].to_numpy(), pdf["_l0"].array
             change = np.ones(len(pdf), dtype=bool)
             if len(pdf) > 1:
                 change[1:] = np.any(kv[1:] != kv[:-1], axis=1)
@@ -72,10 +73,8 @@ def _fold_partitions(keys: list[str], delta: str, ts: str, emit: str, init_col:
                 key = tuple(kv[a])
                 if key != cur_key:
                     flush()
-                    start = int(pdf[init_col].iloc[a]) if init_col else 0
-                    cur_key, state, n_ev, n_skip, last_ts = key, start, 0, 0, None
+                    cur_key, state, n_ev, n_skip, last_ts = key, int(s0[a]), int(events[a]), 0, l0[a]
                 state, applied = fold_run(x[a:b], state)
-                n_ev += b - a
                 n_skip += int((~applied).sum())
                 hit = np.flatnonzero(applied)
                 if hit.size:
@@ -94,83 +93,92 @@ def _fold_partitions(keys: list[str], delta: str, ts: str, emit: str, init_col:
 
 
 def _sequential_fold(d: DataFrame, keys: list[str], order: Sequence[str], delta: str, ts: str,
-                     n: int, emit: str, init_col: str | None = None) -> DataFrame:
+                     n: int, emit: str) -> DataFrame:
     """Hash-partition by key, sort by (key, order), stream through ``mapInPandas``."""
     d = d.repartition(n, *keys).sortWithinPartitions(*keys, *order)
     if emit == "skipped":
-        return d.mapInPandas(_fold_partitions(keys, delta, ts, "skipped", init_col), d.schema)
+        return d.mapInPandas(_fold_partitions(keys, delta, ts, "skipped"), d.schema)
     key_fields = [f for f in d.schema.fields if f.name in keys]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields)
     schema += f", current_stock bigint, events bigint, skipped bigint, last_event_at {d.schema[ts].dataType.simpleString()}"
-    return d.mapInPandas(_fold_partitions(keys, delta, ts, "state", init_col), schema)
+    return d.mapInPandas(_fold_partitions(keys, delta, ts, "state"), schema)
 
 
 # Units at which chunks are proven in turn: what a day does not settle is tried by minute.
 CHUNKS = ("day", "minute")
+# Open rows carry their key's stock (_s0) and the time of its last change (_l0) before
+# the first open row, its number of events, and whether the row stands for a chunk.
 
 
 def _level(tail: DataFrame, keys: list[str], order: Sequence[str], delta: str, ts: str, unit: str):
-    """Settle what chunks of ``unit`` can settle; returns (finished keys, tail, starts,
+    """Settle what chunks of ``unit`` can settle; returns (finished keys, open rows,
     chunk summaries).
 
-    ``tail`` has the rows still open, ``_s0`` the key's stock before them, ``_l0`` the
-    time of the last change before them and ``_summary`` for rows that stand for a
-    proven chunk; ``starts`` has ``_l0`` by key. Per (key, chunk): total T and
-    drawdown D (how far the running sum dips below the chunk's start). A chunk
-    entered with stock s >= D applies every change, so it is exactly s + T. The
-    true stock is never below the clamp-at-zero recursion L_k = max(0, L_{k-1} + T_k)
-    from s0 (a skipped change only ever leaves the stock higher), which has the
-    closed form L_k = s0 + C_k - min(0, min_{j<=k} (s0 + C_j)) over the running sum
-    C of T: two running windows over the chunk summaries, one row per (key, chunk).
-    A chunk with L_{k-1} >= D is proven; before a key's first unproven chunk, L is
-    the stock. A proven chunk becomes one row (delta T at its last time), which is
-    never skipped; rows before the first unproven chunk go into ``_s0``.
-
-    Rows without a time come first and form a chunk of their own."""
+    Per (key, chunk): total T and drawdown D (how far the running sum dips below the
+    chunk's start). A chunk entered with stock s >= D applies every change, so it is
+    exactly s + T. The true stock is never below the clamp-at-zero recursion
+    L_k = max(0, L_{k-1} + T_k) from s0 (a skipped change only ever leaves the stock
+    higher), which has the closed form L_k = s0 + C_k - min(0, min_{j<=k} (s0 + C_j))
+    over the running sum C of T. A chunk with L_{k-1} >= D is proven; before a key's
+    first unproven chunk, L is the stock. A proven chunk after that becomes one row
+    (delta T at its last time), which is never skipped.
+
+    The rows meet by (key, chunk), the summaries (one row each) by key. Rows without a
+    time come first and form a chunk of their own."""
     first_time = F.lit("0001-01-01 00:00:00").cast(tail.schema[ts].dataType)
-    chunked = tail.withColumn("_chunk", F.coalesce(F.date_trunc(unit, ts), first_time))
+    rows = tail.withColumn("_chunk", F.coalesce(F.date_trunc(unit, ts), first_time))
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = materialize(chunked.withColumn("_run", F.sum(delta).over(w)), "fold-rows")
-    meta = rows.groupBy(*keys, "_chunk").agg(
+    meta = (rows.withColumn("_run", F.sum(delta).over(w)).groupBy(*keys, "_chunk").agg(
         F.sum(delta).alias("T"), F.greatest(F.lit(0), -F.min("_run")).cast("long").alias("D"),
         F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.min("_s0").alias("_s0"), F.min("_l0").alias("_l0"),
-        F.count(F.lit(1)).alias("_rows"))
-    by_key = Window.partitionBy(*keys).orderBy("_chunk")
+        F.min("_events").alias("_events"), F.count(F.lit(1)).alias("_rows")))
+    key = Window.partitionBy(*keys)
+    by_key = key.orderBy("_chunk")
     up_to = by_key.rowsBetween(Window.unboundedPreceding, 0)
     meta = (meta.withColumn("_C", F.col("_s0") + F.sum("T").over(up_to))
             .withColumn("_L", F.col("_C") - F.least(F.lit(0), F.min("_C").over(up_to)))
             .withColumn("_enter", F.coalesce(F.lag("_L").over(by_key), F.col("_s0")))
-            .withColumn("_proven", F.col("_enter") >= F.col("D")))
+            .withColumn("_proven", F.col("_enter") >= F.col("D"))
+            .withColumn("_dirty", F.min(F.when(~F.col("_proven"), F.col("_chunk"))).over(key))
+            .withColumn("_s0", F.min(F.when(F.col("_chunk") == F.col("_dirty"), F.col("_enter"))).over(key))
+            .withColumn("_l0", F.coalesce(F.max(F.when(F.col("_dirty").isNull() | (F.col("_chunk") < F.col("_dirty")),
+                                                       F.col("_last"))).over(key), F.col("_l0")))
+            .withColumn("_events", F.coalesce("_events", F.sum("_rows").over(key)))
+            .withColumn("_end", F.col("_chunk") == F.max("_chunk").over(key)))
     meta = materialize(meta, "fold-chunks")
-    first = meta.groupBy(*keys).agg(F.min(F.when(~F.col("_proven"), F.col("_chunk"))).alias("_dirty"),
-                                    F.max_by("_L", "_chunk").alias("current_stock"),
-                                    F.coalesce(F.max("_last"), F.min("_l0")).alias("last_event_at"))
-    finished = first.filter(F.col("_dirty").isNull()).drop("_dirty")
-    open_chunks = meta.join(first.filter(F.col("_dirty").isNotNull()).select(*keys, "_dirty"), keys)
-    at_dirty = F.col("_chunk") == F.col("_dirty")
-    starts = open_chunks.groupBy(*keys).agg(
-        F.min(F.when(at_dirty, F.col("_enter"))).alias("_s0"),
-        F.coalesce(F.max(F.when(F.col("_chunk") < F.col("_dirty"), F.col("_last"))), F.min("_l0")).alias("_l0"))
-    raw = rows.drop("_run", "_s0", "_l0").join(open_chunks.filter(~F.col("_proven")).select(*keys, "_chunk"), [*keys, "_chunk"])
-    known = {**{k: F.col(k) for k in keys}, delta: F.col("T").cast("long"), ts: F.col("_last"), "_summary": F.lit(True)}
-    settled = open_chunks.filter(F.col("_proven") & (F.col("_chunk") > F.col("_dirty"))).select(
-        *[known.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in tail.schema if f.name not in ("_s0", "_l0")])
-    return finished, raw.drop("_chunk").unionByName(settled).join(starts, keys), starts, meta
-
-
-def _settle(d: DataFrame, keys: list[str], order: Sequence[str], delta: str, ts: str, chunks: Sequence[str]):
-    """Apply ``_level`` per unit: (finished keys of every level, what is left, its
-    starts, rows by key). A finer unit is tried only if it can split an open chunk."""
-    tail = d.withColumn("_l0", F.lit(None).cast(d.schema[ts].dataType)).withColumn("_summary", F.lit(False))
-    finished, events = [], None
-    for unit in chunks:
-        done, tail, starts, meta = _level(tail, keys, order, delta, ts, unit)
+    finished = meta.filter(F.col("_dirty").isNull() & F.col("_end")).select(
+        *keys, F.col("_L").alias("current_stock"), F.col("_events").alias("events"),
+        F.lit(0).cast("long").alias("skipped"), F.col("_l0").alias("last_event_at"))
+    todo = meta.filter(~F.col("_proven")).select(*keys, "_chunk", "_s0", "_l0", "_events")
+    raw = rows.drop("_s0", "_l0", "_events").join(todo, [*keys, "_chunk"]).select(*tail.columns)
+    known = {**{c: F.col(c) for c in (*keys, "_s0", "_l0", "_events")}, delta: F.col("T").cast("long"),
+             ts: F.col("_last"), "_summary": F.lit(True)}
+    settled = meta.filter(F.col("_proven") & (F.col("_chunk") > F.col("_dirty"))).select(
+        *[known.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in tail.schema])
+    return finished, raw.unionByName(settled), meta
+
+
+def _settle(df: DataFrame, keys: list[str], order: Sequence[str], delta: str, ts: str, chunks: Sequence[str],
+            init: DataFrame | None):
+    """Apply ``_level`` per unit: (finished keys of every level, open rows). A finer unit
+    is tried only if it can split an open chunk, which changes nothing else."""
+    tail = df.withColumn(delta, F.coalesce(F.col(delta).cast("long"), F.lit(0)))
+    if init is None:
+        tail = tail.withColumn("_s0", F.lit(0).cast("long"))
+    else:
+        tail = tail.join(init.select(*keys, F.col("stock").cast("long").alias("_s0")), keys, "left").withColumn(
+            "_s0", F.coalesce("_s0", F.lit(0)))
+    tail = (tail.withColumn("_l0", F.lit(None).cast(df.schema[ts].dataType))
+            .withColumn("_events", F.lit(None).cast("long")).withColumn("_summary", F.lit(False)))
+    finished = []
+    for i, unit in enumerate(chunks):
+        if i:
+            if meta.filter(~F.col("_proven") & (F.col("_first") < F.col("_last"))).isEmpty():  # noqa: F821
+                break
+            tail = materialize(tail, "fold-open")
+        done, tail, meta = _level(tail, keys, order, delta, ts, unit)
         finished.append(done)
-        if events is None:
-            events = meta.groupBy(*keys).agg(F.sum("_rows").alias("events"))
-        if meta.filter(~F.col("_proven") & (F.col("_first") < F.col("_last"))).isEmpty():
-            break
-    return finished, tail, starts, events
+    return finished, tail
 
 
 def guarded_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], delta: str,
@@ -189,25 +197,12 @@ def guarded_fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], delta
     """
     keys = list(keys)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    d = _prepared(df.select(*dict.fromkeys([*keys, *order, delta, ts])), keys, delta, init)
-    finished, tail, starts, sizes = _settle(d, keys, order, delta, ts, chunks)
-    zero = F.lit(0).cast("long")
-    parts = [f.select(*keys, "current_stock", zero.alias("skipped"), "last_event_at") for f in finished]
-    folded = _sequential_fold(tail.drop("_summary", "_l0"), keys, order, delta, ts, n, "state", "_s0")
-    parts.append(folded.join(starts.drop("_s0"), keys).select(
-        *keys, "current_stock", "skipped", F.coalesce("last_event_at", "_l0").alias("last_event_at")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.join(sizes, keys).select(*keys, "current_stock", "events", "skipped", "last_event_at")
-
-
-def _prepared(df: DataFrame, keys: list[str], delta: str, init: DataFrame | None) -> DataFrame:
-    d = df.withColumn(delta, F.coalesce(F.col(delta).cast("long"), F.lit(0)))
-    if init is None:
-        return d.withColumn("_s0", F.lit(0).cast("long"))
-    return d.join(init.select(*keys, F.col("stock").cast("long").alias("_s0")), keys, "left").withColumn(
-        "_s0", F.coalesce("_s0", F.lit(0)))
+    finished, tail = _settle(df.select(*dict.fromkeys([*keys, *order, delta, ts])), keys, order, delta, ts, chunks, init)
+    out = _sequential_fold(tail, keys, order, delta, ts, n, "state").select(
+        *keys, "current_stock", "events", "skipped", "last_event_at")
+    for part in finished:
+        out = out.unionByName(part)
+    return out
 
 
 def skipped_changes(df: DataFrame, keys: Sequence[str], order: Sequence[str], delta: str,
@@ -219,9 +214,8 @@ def skipped_changes(df: DataFrame, keys: Sequence[str], order: Sequence[str], de
     rows are streamed."""
     keys = list(keys)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    _, tail, _, _ = _settle(_prepared(df, keys, delta, init), keys, order, delta, ts, chunks)
-    out = _sequential_fold(tail, keys, order, delta, ts, n, "skipped", "_s0")
-    return out.select(*df.columns)
+    _, tail = _settle(df, keys, order, delta, ts, chunks, init)
+    return _sequential_fold(tail, keys, order, delta, ts, n, "skipped").select(*df.columns)
 
 
 def ewm_state(series: Column, alpha: float, history: int = 4) -> Column:
