@@ -17,10 +17,14 @@ q("s10_coerce_for_lake", """
 SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id,
        CAST(product_id AS VARCHAR) AS product_id, product_price FROM clickstream""")
 q("s12_export_all", """
-SELECT 'clickstream_events' AS "table", CAST(0 AS BIGINT) AS exported_rows,
-       strftime((SELECT max(timestamp) FROM clickstream), '%Y-%m-%d %H:%M:%S.%f') AS cursor
-UNION ALL SELECT 'inventory_events', 0, strftime((SELECT max(timestamp) FROM inventory_events), '%Y-%m-%d %H:%M:%S')
-UNION ALL SELECT 'competitor_prices', 0, strftime((SELECT max(timestamp) FROM competitor_prices), '%Y-%m-%d %H:%M:%S')""")
+SELECT "table", CASE run WHEN 1 THEN n ELSE 0 END AS exported_rows, cursor, run FROM (
+  SELECT 'clickstream_events' AS "table", count(*) AS n, strftime(max(timestamp), '%Y-%m-%d %H:%M:%S.%f') AS cursor FROM clickstream
+  UNION ALL SELECT 'inventory_events', count(*), strftime(max(timestamp), '%Y-%m-%d %H:%M:%S') FROM inventory_events
+  UNION ALL SELECT 'competitor_prices', count(*), strftime(max(timestamp), '%Y-%m-%d %H:%M:%S') FROM competitor_prices)
+CROSS JOIN (VALUES (1), (2)) r(run)""")
+q("s7_seed_metrics", """
+SELECT product_id, CAST(0 AS BIGINT) AS total_views, CAST(0 AS BIGINT) AS total_cart_adds, CAST(0 AS BIGINT) AS total_purchases,
+       CAST(0 AS DOUBLE) AS conversion_rate, CAST(0 AS DOUBLE) AS revenue FROM products""")
 q("t2_stream_dedup", "SELECT DISTINCT event_id, event_type, timestamp FROM clickstream")
 COUNTERS = """
 SELECT product_id,

@@ -157,15 +157,17 @@ def default_rules(n_products: Callable[[], Column], n_warehouses: int = len(WARE
                              lambda: F.count_if(F.col("timestamp") > ts_limit()), "eq", 0))
     # Q15-Q17 schema tests
     rules += not_null_rules("Schema", "stg_clickstream",
-                            ["event_id", "user_id", "session_id", "event_type", "device_type", "event_timestamp"])
+                            ["event_id", "user_id", "session_id", "event_type", "device_type", "event_timestamp",
+                             "hour_of_day", "day_of_week"])
     rules += not_null_rules("Schema", "stg_inventory",
-                            ["product_id", "warehouse_id", "event_type", "quantity_change", "event_timestamp"])
+                            ["product_id", "warehouse_id", "event_type", "quantity_change", "event_timestamp",
+                             "absolute_quantity"])
     rules += not_null_rules("Schema", "stg_competitor_prices",
-                            ["product_id", "competitor_name", "competitor_price", "observed_at"])
+                            ["product_id", "competitor_name", "competitor_price", "observed_at", "our_price"])
     rules += not_null_rules("Schema", "daily_funnel_metrics", ["day", "category"])
     rules += not_null_rules("Schema", "hourly_demand", ["hour_bucket", "category"])
-    rules += not_null_rules("Schema", "product_performance", ["product_id"])
-    rules += not_null_rules("Schema", "pricing_analysis", ["product_id", "price_position"])
+    rules += not_null_rules("Schema", "product_performance", ["product_id", "product_name", "category"])
+    rules += not_null_rules("Schema", "pricing_analysis", ["product_id", "price_position", "our_price"])
     rules += [
         Rule("Schema", "unique stg_clickstream.event_id", "dup_stg_clickstream", _count, "eq", 0),
         Rule("Schema", "unique product_performance.product_id", "dup_product_performance", _count, "eq", 0),

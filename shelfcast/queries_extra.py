@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .functions.columns import recommend
 from .operators.upsert import upsert
 from .oracle import q
-from .plans import marts, staging
+from .plans import demand, marts, staging
 from .plans.pricing import avg_competitor_price, demand_velocity
 from .registry import DEMAND_LOOKBACK, recs_of, register
 from .session import scratch_path
@@ -120,16 +120,71 @@ def _t1(d):
     return d.spark.read.parquet(base + "/sizes").drop("b")
 
 
-@reg("t9_dead_letter_isolation", "SELECT event_id, user_id, event_type FROM events")
+def _json_landing(d, base, files=4):
+    """``events`` as JSON lines in several files; every 97th line is cut short."""
+    ev = load(d.spark, d.data_dir, "events")
+    line = F.to_json(F.struct(*ev.columns))
+    broken = F.when(F.col("event_id") % 97 == 0, F.substring(line, 1, 20)).otherwise(line)
+    ev.select(F.pmod("event_id", F.lit(files)).alias("_f"), broken.alias("value")).repartition(files, "_f") \
+        .drop("_f").write.text(base + "/landing")
+    return streams.parse_events(streams.json_lines_stream(d.spark, base + "/landing", max_files_per_trigger=1), ev.schema)
+
+
+@reg("t9_dead_letter_isolation", """
+SELECT event_id, user_id, event_type, CAST(NULL AS VARCHAR) AS raw_message FROM events WHERE event_id % 97 <> 0
+UNION ALL SELECT NULL, NULL, NULL, substr('{"event_id":' || event_id || ',"ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S'), 1, 20)
+FROM events WHERE event_id % 97 = 0""")
 def _t9(d):
     """Messages land as JSON lines; the stream decodes them and routes any
-    undecodable line to a dead-letter folder instead of failing."""
+    undecodable line to a dead-letter folder instead of failing. Returns both."""
     base = _run_dir(d, "t9")
-    ev = load(d.spark, d.data_dir, "events")
-    ev.select(F.to_json(F.struct(*ev.columns)).alias("value")).write.text(base + "/landing")
-    good, bad = streams.parse_events(streams.json_lines_stream(d.spark, base + "/landing"), ev.schema)
+    good, bad = _json_landing(d, base)
     jobs.start(good.select("event_id", "user_id", "event_type"), base + "/ckpt", trigger={"availableNow": True},
                fmt="parquet", path=base + "/good").awaitTermination()
     jobs.start(bad, base + "/ckpt_bad", trigger={"availableNow": True}, fmt="parquet",
                path=base + "/dead_letter").awaitTermination()
-    return d.spark.read.parquet(base + "/good")
+    return d.spark.read.parquet(base + "/good").unionByName(
+        d.spark.read.parquet(base + "/dead_letter"), allowMissingColumns=True)
+
+
+@reg("s1_json_source", "SELECT event_id, user_id, event_type, value FROM events WHERE event_id % 97 <> 0")
+def _s1_json(d):
+    """JSON message source: typed columns of the decodable lines, one file a batch."""
+    base = _run_dir(d, "s1j")
+    good, _ = _json_landing(d, base)
+    jobs.start(good.select("event_id", "user_id", "event_type", "value"), base + "/ckpt", trigger={"availableNow": True},
+               fmt="parquet", path=base + "/out").awaitTermination()
+    return d.spark.read.parquet(base + "/out")
+
+
+@reg("t1_trigger_files", "SELECT count(DISTINCT event_id % 4) AS n_batches, count(*) AS n_rows FROM events")
+def _t1_files(d):
+    """One micro-batch a landed file: the number of batches that had rows, and rows."""
+    base = _run_dir(d, "t1f")
+    ev = load(d.spark, d.data_dir, "events").withColumn("f", F.col("event_id") % 4)
+    ev.repartition(1, "f").write.partitionBy("f").parquet(base + "/landing")
+    s = d.spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(base + "/landing")
+
+    def sink(batch, batch_id):
+        batch.agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{base}/sizes/b={batch_id}")
+    jobs.start(s, base + "/ckpt", sink=sink, trigger={"availableNow": True}).awaitTermination()
+    return d.spark.read.parquet(base + "/sizes").agg(F.count_if(F.col("n") > 0).alias("n_batches"), F.sum("n").alias("n_rows"))
+
+
+def _forecast_ctes():
+    from . import oracle_analytics
+    from .oracle import BODIES
+    return {**oracle_analytics.HC, "fc": BODIES["g9_demand_forecast"]}
+
+
+# The categories (part types) of the catalogue.
+CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
+@reg("h4_forecast_wide", "SELECT hour, " + ", ".join(
+    f"max(forecast_purchases) FILTER (WHERE category = '{c}') AS \"{c}\"" for c in CATEGORIES) + " FROM fc GROUP BY hour",
+    _forecast_ctes())
+def _h4_forecast(d):
+    """The forecast with one column per category."""
+    hourly = demand.hourly_category_demand(d.clickstream(), d.products())
+    return demand.forecast_wide(demand.demand_forecast(hourly), CATEGORIES)

@@ -471,9 +471,9 @@ def _w7(d):
 # ---------------------------------------------------------------- L: sorts / limits
 @reg("l1_order_by_nulls_last", """
 SELECT product_id, CAST(revenue AS DOUBLE) AS revenue FROM metrics
-ORDER BY revenue DESC NULLS LAST, product_id LIMIT 20""")
+ORDER BY revenue DESC NULLS LAST, product_id""")
 def _l1(d):
-    return metrics_of(d).orderBy(F.desc_nulls_last("revenue"), "product_id").limit(20).select(
+    return metrics_of(d).orderBy(F.desc_nulls_last("revenue"), "product_id").select(
         "product_id", F.col("revenue").cast("double").alias("revenue"))
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from .plans import marts, quality, staging
 from .plans.common import as_of_col
-from .registry import COMPETITOR_LOOKBACK, metrics_of, recs_of, register, stock_of
+from .registry import COMPETITOR_LOOKBACK, QUALITY_AS_OF, metrics_of, recs_of, register, stock_of
 
 
 def _tables(d):
@@ -24,7 +24,7 @@ def _tables(d):
 def _rules(d):
     products, ev = d.products(), d.clickstream()
     return quality.default_rules(lambda: products.agg(F.count(F.lit(1))).scalar(),
-                                 as_of=lambda: as_of_col(ev))
+                                 as_of=lambda: as_of_col(ev, QUALITY_AS_OF))
 
 
 def _report(d, pick=None):

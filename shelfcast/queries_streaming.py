@@ -13,7 +13,7 @@ from .operators.upsert import append_dedup, upsert
 from .operators.latest import latest_by
 from .plans.pricing import pricing_cycle
 from .plans.staging import COMPETITOR_ORDER
-from .plans.state import seed_inventory, skipped_stock_changes
+from .plans.state import seed_inventory, seed_metrics, skipped_stock_changes
 from .registry import DEMAND_LOOKBACK, register
 from .session import scratch_path
 from .sources import fixtures, lake, streams
@@ -72,6 +72,11 @@ def _s7(d):
     return seed_inventory(d.products(), d.warehouses())
 
 
+@register("s7_seed_metrics")
+def _s7_metrics(d):
+    return seed_metrics(d.products()).withColumn("revenue", F.col("revenue").cast("double"))
+
+
 @register("s8_read_since")
 def _s8(d):
     ev = d.clickstream()
@@ -98,24 +103,34 @@ def _s12(d):
     targets = {"clickstream_events": (d.clickstream(), "timestamp"),
                "inventory_events": (d.inventory_events(), "timestamp"),
                "competitor_prices": (d.competitor_prices(), "timestamp")}
-    lake.export_all(d.spark, targets, root + "/data", root + "/state")
+    first = lake.export_all(d.spark, targets, root + "/data", root + "/state")
     second = lake.export_all(d.spark, targets, root + "/data", root + "/state")  # nothing new: cursors hold
-    return second
+    return first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
 
 
 # ---------------------------------------------------------------- streaming
+def _replayed_events(d, base, files=3):
+    """``events`` as a landing folder in which every message lies twice, dealt over
+    files by hash: each micro-batch (one file) has late and repeated messages."""
+    ev = fixtures.load(d.spark, d.data_dir, "events")
+    again = ev.withColumn("_f", F.pmod(F.xxhash64("event_id", F.lit(1)), F.lit(files)))
+    both = ev.withColumn("_f", F.pmod(F.xxhash64("event_id"), F.lit(files))).unionByName(again)
+    both.repartition(files, "_f").drop("_f").write.parquet(base + "/landing")
+    s = d.spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(base + "/landing")
+    return fixtures.clickstream_from(s)
+
+
 @register("t2_stream_dedup")
 def _t2(d):
     base = _run_dir(d, "t2")
-    s = fixtures.clickstream_from(streams.table_stream(d.spark, d.data_dir, "events"))
-    out = jobs.dedup(s).select("event_id", "event_type", "timestamp")
-    _await(jobs.start(out, base + "/ckpt", trigger=AVAILABLE_NOW, fmt="parquet", path=base + "/out"))
-    return _ntz(d.spark.read.parquet(base + "/out"), "timestamp")
+    _await(jobs.start(_replayed_events(d, base), base + "/ckpt", sink=jobs.log_sink(base + "/log"), trigger=AVAILABLE_NOW))
+    return d.spark.read.parquet(base + "/log").select("event_id", "event_type", "timestamp")
 
 
 def _metrics_stream_result(d, key, fanout: bool):
     base = _run_dir(d, key)
-    s = fixtures.clickstream_from(streams.table_stream(d.spark, d.data_dir, "events"))
+    s = (_replayed_events(d, base) if fanout else
+         fixtures.clickstream_from(streams.table_stream(d.spark, d.data_dir, "events")))
     snap = jobs.Snapshot(d.spark, base + "/metrics")
     if fanout:
         sink = jobs.clickstream_fanout(d.spark, s, base + "/log", snap)
@@ -138,9 +153,7 @@ def _t5(d):
     base = _run_dir(d, "t5")
     s = fixtures.inventory_events_from(streams.table_stream(d.spark, d.data_dir, "lineitem"))
     snap = jobs.Snapshot(d.spark, base + "/stock")
-    up = jobs.upsert_sink(snap, ["product_id", "warehouse_id"], ["_batch"])
-    _await(jobs.start(jobs.guarded_stock(s), base + "/ckpt", output_mode="update", trigger=AVAILABLE_NOW,
-                      sink=lambda b, i: up(b.withColumn("_batch", F.lit(i)), i)))
+    _await(jobs.start(s, base + "/ckpt", sink=jobs.stock_sink(snap), trigger=AVAILABLE_NOW))
     return snap.read().select("product_id", "warehouse_id", "current_stock")
 
 
@@ -160,19 +173,20 @@ def _t6(d):
 
 @register("t7_stream_pricing")
 def _t7(d):
-    """Every trigger appends the batch to the date-partitioned event log and
-    recomputes the recommendations; the demand look-back only reads the log
-    partitions it needs (partition pruning on ``date``)."""
+    """Every trigger adds the batch's new messages to the event log and recomputes the
+    recommendations as of the newest event so far; the demand look-back only reads the
+    log partitions it needs (partition pruning on ``date``)."""
     base = _run_dir(d, "t7")
-    s = fixtures.clickstream_from(streams.table_stream(d.spark, d.data_dir, "events"))
+    s = _replayed_events(d, base)
     recs = jobs.Snapshot(d.spark, base + "/recs")
     log = base + "/log"
     spark = d.spark
 
     def build(batch, batch_id):
-        batch.withColumn("date", F.to_date("timestamp")).write.mode("append").partitionBy("date").parquet(log)
-        as_of = batch.agg(F.max("timestamp")).first()[0]        # one scalar per trigger
-        events = spark.read.parquet(log)
+        new = jobs.append_new(batch, log, batch_id)
+        newest = batch.agg(F.to_date(F.max("timestamp"))).first()[0]        # one scalar per trigger
+        events = jobs.event_log(spark, log, new.schema).filter(F.col("batch") <= batch_id).drop("batch")
+        as_of = events.filter(F.col("date") >= newest).agg(F.max("timestamp")).first()[0]
         recent = lake.read_since(events, "timestamp",
                                  F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL '{DEMAND_LOOKBACK}'"))
         return pricing_cycle(d.products(), recent.drop("date"), d.competitor_prices(),

@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # Oracle-run parameters (test data spans 30 days of events, years of prices).
 DEMAND_LOOKBACK = "7 days"
 COMPETITOR_LOOKBACK = "365 days"
+QUALITY_AS_OF = "2024-02-01 00:00:00"  # the time of the quality run
 STOCKOUT_CRITICAL_H = 3000.0
 STOCKOUT_WARNING_H = 9000.0
 

@@ -35,48 +35,65 @@ def coerce_for_lake(df: DataFrame, id_cols: Sequence[str] = (), decimals_to_doub
     return out
 
 
+def _write_by_date(df: DataFrame, path: str, ts: str, mode: str) -> None:
+    """``path/date=YYYY-MM-DD/``; rows are gathered by date, and AQE splits a large
+    day over several tasks and files."""
+    (df.withColumn("date", F.to_date(ts)).hint("rebalance", "date")
+       .write.mode(mode).partitionBy("date").parquet(path))
+
+
 def export_table(df: DataFrame, path: str, ts: str = "timestamp", since=None) -> None:
     """Append the rows newer than ``since`` under ``path/date=YYYY-MM-DD/``.
 
     New files are added next to earlier exports of the same day (the
-    reference replaced the day's single file and lost rows). Rows are
-    clustered by date so each task writes few files."""
-    new = read_since(df, ts, since).withColumn("date", F.to_date(ts))
-    new.repartition("date").write.mode("append").partitionBy("date").parquet(path)
+    reference replaced the day's single file and lost rows)."""
+    _write_by_date(read_since(df, ts, since), path, ts, "append")
 
 
-def load_cursor(spark: SparkSession, state_path: str, table: str):
-    """The last exported event time of ``table`` (None when absent)."""
+def _last_run(spark: SparkSession, state_path: str, table: str):
+    """(run, cursor) of the newest published cursor, (-1, None) without one."""
     try:
-        rows = spark.read.json(os.path.join(state_path, f"cursor_{table}")).collect()
+        rows = spark.read.schema("cursor string, run int").json(os.path.join(state_path, f"cursor_{table}")).collect()
     except AnalysisException:
-        return None
-    return rows[0]["cursor"] if rows and rows[0]["cursor"] is not None else None
+        return -1, None
+    return max(((r["run"], r["cursor"]) for r in rows), default=(-1, None))
+
+
+def load_cursor(spark: SparkSession, state_path: str, table: str):
+    """The last exported event time of ``table`` (None when absent)."""
+    return _last_run(spark, state_path, table)[1]
 
 
-def save_cursor(spark: SparkSession, state_path: str, table: str, value) -> None:
-    """Store the cursor as a one-row JSON file (overwritten atomically per write job)."""
+def save_cursor(spark: SparkSession, state_path: str, table: str, value, run: int | None = None) -> None:
+    """Publish the cursor of a run under a new name; earlier ones stay, so there
+    is one at any time."""
+    run = _last_run(spark, state_path, table)[0] + 1 if run is None else run
     spark.createDataFrame([(None if value is None else str(value),)], "cursor string") \
-        .coalesce(1).write.mode("overwrite").json(os.path.join(state_path, f"cursor_{table}"))
+        .coalesce(1).write.mode("overwrite").json(os.path.join(state_path, f"cursor_{table}", f"run={run}"))
 
 
 def export_all(spark: SparkSession, targets: dict[str, tuple[DataFrame, str]], lake_root: str,
                state_path: str, reset: bool = False) -> DataFrame:
     """Export every target incrementally from its cursor, then advance it.
 
-    ``targets``: name -> (frame, timestamp column). Returns one row per table
+    ``targets``: name -> (frame, timestamp column). A run takes the rows after the
+    cursor up to the newest time seen when it began, and writes them under its own
+    ``run=N/date=...``; the cursor comes last. A run that failed before that is
+    repeated under the same number and replaces its files. Returns one row per table
     (table, exported_rows, cursor)."""
     out = []
     for name, (df, ts) in targets.items():
-        since = None if reset else load_cursor(spark, state_path, name)
+        last, cursor = _last_run(spark, state_path, name)
+        since = None if reset else cursor
         new = read_since(df, ts, since)
-        stats = new.agg(F.count(F.lit(1)).alias("n"), F.max(ts).alias("m")).first()
-        if stats["n"]:
-            new.withColumn("date", F.to_date(ts)).repartition("date").write.mode("append") \
-               .partitionBy("date").parquet(os.path.join(lake_root, name))
-            save_cursor(spark, state_path, name, stats["m"])
-        out.append((name, int(stats["n"]), None if stats["m"] is None and since is None else
-                    str(stats["m"] if stats["m"] is not None else since)))
+        upto = new.agg(F.max(ts)).first()[0]
+        n = 0
+        if upto is not None:
+            path = os.path.join(lake_root, name, f"run={last + 1}")
+            _write_by_date(new.filter(F.col(ts) <= F.lit(str(upto)).cast(df.schema[ts].dataType)), path, ts, "overwrite")
+            n = spark.read.parquet(path).count()
+            save_cursor(spark, state_path, name, upto, last + 1)
+        out.append((name, n, since if upto is None else str(upto)))
     return spark.createDataFrame(out, "table string, exported_rows bigint, cursor string")
 
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .tables import load
 
@@ -42,13 +42,15 @@ def json_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int
 def parse_events(raw: DataFrame, schema: StructType, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """Decode JSON messages into typed columns.
 
-    Missing keys become NULL and unknown keys are ignored (PERMISSIVE mode);
-    messages that are not valid JSON objects go to the second (dead-letter)
-    frame with the raw text, instead of failing the batch.
+    Missing keys become NULL and unknown keys are ignored. A message that is no
+    JSON object, or has a value of another type than its column, goes to the
+    second (dead-letter) frame with its raw text instead of failing the batch.
     """
-    parsed = raw.select(F.col(value_col).alias("_raw"),
-                        F.from_json(F.col(value_col), schema, {"mode": "PERMISSIVE"}).alias("_m"))
-    ok = F.col("_m").isNotNull() & F.col("_raw").startswith("{") & F.col("_raw").rlike(r"\}\s*$")
-    good = parsed.filter(ok).select("_m.*")
-    bad = parsed.filter(~ok | F.col("_m").isNull()).select(F.col("_raw").alias("raw_message"))
+    corrupt = "_corrupt_record"
+    parsed = raw.select(F.col(value_col).alias("_raw"), F.from_json(
+        F.col(value_col), StructType([*schema.fields, StructField(corrupt, StringType())]),
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}).alias("_m"))
+    ok = F.col("_m").isNotNull() & F.col(f"_m.{corrupt}").isNull()
+    good = parsed.filter(ok).select("_m.*").drop(corrupt)
+    bad = parsed.filter(~ok).select(F.col("_raw").alias("raw_message"))
     return good, bad

@@ -2,25 +2,23 @@
 
 Every job is a source -> transformations -> sink with a checkpoint in the
 shared checkpoint folder, so a restarted (or partially failed) query resumes
-exactly where it stopped. Keyed state is either Spark's own aggregation state
-or ``applyInPandasWithState``; results land in versioned Parquet snapshots
-written by ``foreachBatch`` (one version per batch id, so a replayed batch
-overwrites its own version and is idempotent).
+exactly where it stopped. Keyed state is Spark's own aggregation state or a
+versioned Parquet snapshot, and messages pass an event log that keeps each once;
+both are written by ``foreachBatch`` under the batch id, so a replayed batch
+replaces what it wrote before.
 """
 from __future__ import annotations
 
 import os
 from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.types import LongType, StructField, StructType
 
-from ..operators.fold import fold_run
+from ..operators.fold import guarded_fold
 from ..operators.latest import latest_by
 from ..plans.staging import COMPETITOR_ORDER
 from ..plans.state import INVENTORY_ORDER
@@ -32,7 +30,8 @@ def event_time(df: DataFrame, ts: str = "timestamp") -> DataFrame:
 
 
 def dedup(stream: DataFrame, key: str = "event_id", ts: str = "timestamp", delay: str = "1 hour") -> DataFrame:
-    """Drop repeated ``key`` within the watermark delay (state is bounded by it)."""
+    """Drop repeated ``key`` within the watermark delay (state is bounded by it, rows older
+    than the watermark are dropped; ``append_new`` keeps them)."""
     return event_time(stream, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
@@ -107,7 +106,7 @@ def additive_sink(snapshot: Snapshot, keys: Sequence[str], sums: Sequence[str],
     def run(batch: DataFrame, batch_id: int) -> None:
         prev = snapshot.read(before=batch_id)
         both = batch if prev is None else prev.unionByName(batch)
-        merged = both.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in maxes])
+        merged = both.groupBy(*keys).agg(*[F.sum(c).cast(batch.schema[c].dataType).alias(c) for c in sums], *[F.max(c).alias(c) for c in maxes])
         snapshot.write(merged, batch_id)
     return run
 
@@ -126,50 +125,77 @@ def product_counts(events: DataFrame) -> DataFrame:
                            F.lit(0)).cast("decimal(20,2)").alias("revenue")))
 
 
-def running_product_metrics(events: DataFrame) -> DataFrame:
-    """T4: streaming aggregation of the counters (update mode, Spark-managed state)."""
-    return product_counts(events)
+def append_new(batch: DataFrame, log_path: str, batch_id: int, key: str = "event_id", ts: str = "timestamp") -> DataFrame:
+    """Write the batch's rows whose ``key`` is in no earlier batch to the event log,
+    ``<log>/batch=N/date=...``, and return them.
+
+    A repeated message finds itself in the log however late it comes (a repetition
+    has the same time, so only the batch's dates are read), a late message is a row
+    like any other, and a replayed batch replaces its own files."""
+    spark = batch.sparkSession
+    rows = batch.withColumn("date", F.to_date(ts)).dropDuplicates([key])
+    lo, hi = rows.agg(F.min("date"), F.max("date")).first()
+    seen = event_log(spark, log_path, rows.schema)
+    if seen is not None and lo is not None:
+        seen = seen.filter((F.col("batch") < batch_id) & F.col("date").between(lo, hi)).select(key)
+        rows = rows.join(seen, key, "left_anti")
+    path = os.path.join(log_path, f"batch={batch_id}")
+    schema = rows.schema
+    rows.write.mode("overwrite").partitionBy("date").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def event_log(spark: SparkSession, log_path: str, schema: StructType) -> DataFrame | None:
+    """All batches of the event log (columns of ``schema``, ``batch``), or None."""
+    try:
+        return spark.read.schema(StructType([*schema.fields, StructField("batch", LongType())])).parquet(log_path)
+    except AnalysisException:
+        return None
+
+
+def log_sink(log_path: str):
+    """foreachBatch sink that keeps every message once."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        append_new(batch, log_path, batch_id)
+    return run
 
 
 def clickstream_fanout(spark: SparkSession, events: DataFrame, log_path: str, metrics: Snapshot):
-    """One read of the clickstream feeds both the append-only event log
-    (date-partitioned) and the product counters."""
+    """One read of the clickstream feeds both the event log and the product
+    counters; a message counts once however often it is delivered."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        (batch.withColumn("date", F.to_date("timestamp"))
-              .write.mode("append").partitionBy("date").parquet(os.path.join(log_path, f"batch={batch_id}")))
+        new = append_new(batch, log_path, batch_id)
         additive_sink(metrics, ["product_id"],
-                      ["total_views", "total_cart_adds", "total_purchases", "revenue"])(product_counts(batch), batch_id)
-        batch.unpersist()
+                      ["total_views", "total_cart_adds", "total_purchases", "revenue"])(product_counts(new), batch_id)
     return run
 
 
-def _stock_state_fn(keys: Sequence[str]):
-    def fn(key, pdfs, state):
-        stock, skipped, events = (state.get if state.exists else (0, 0, 0))
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        pdf = pdf.sort_values(list(INVENTORY_ORDER), kind="stable")
-        new_stock, applied = fold_run(pdf["quantity_change"].to_numpy(dtype=np.int64), int(stock))
-        skipped = int(skipped) + int((~applied).sum())
-        events = int(events) + len(pdf)
-        state.update((new_stock, skipped, events))
-        yield pd.DataFrame([{**dict(zip(keys, key)), "current_stock": new_stock,
-                             "skipped_changes": skipped, "events": events}])
-    return fn
-
-
-def guarded_stock(inv_events: DataFrame) -> DataFrame:
-    """Guarded stock per (product, warehouse) with arbitrary keyed state.
-
-    Within a micro-batch the key's rows are applied in (time, tie-break) order;
-    across batches in arrival order (equal to the batch fold when the feed is
-    time ordered)."""
-    keys = ["product_id", "warehouse_id"]
-    return inv_events.groupBy(*keys).applyInPandasWithState(
-        _stock_state_fn(keys),
-        "product_id bigint, warehouse_id string, current_stock bigint, skipped_changes bigint, events bigint",
-        "stock bigint, skipped bigint, events bigint",
-        "update", GroupStateTimeout.NoTimeout)
+def running_product_metrics(events: DataFrame) -> DataFrame:
+    """T4 on a feed without repetitions: streaming aggregation of the counters
+    (update mode, Spark-managed state)."""
+    return product_counts(events)
+
+
+STOCK_KEYS = ["product_id", "warehouse_id"]
+
+
+def stock_sink(snapshot: Snapshot):
+    """foreachBatch sink that folds a batch into the guarded stock.
+
+    Within a batch the rows are applied in (time, tie-break) order, across batches in
+    arrival order (equal to the batch fold when the feed is time ordered). The fold is
+    the batch one, seeded from the snapshot, so a hot key is no single frame."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        prev = snapshot.read(before=batch_id)
+        init = None if prev is None else prev.select(*STOCK_KEYS, F.col("current_stock").alias("stock"))
+        both = guarded_fold(batch, STOCK_KEYS, INVENTORY_ORDER, "quantity_change", init=init).select(
+            *STOCK_KEYS, "current_stock", F.col("skipped").alias("skipped_changes"), "events", F.lit(1).alias("_new"))
+        if prev is not None:
+            both = both.unionByName(prev.withColumn("_new", F.lit(0)))
+        snapshot.write(both.groupBy(*STOCK_KEYS).agg(
+            F.max_by("current_stock", "_new").alias("current_stock"),
+            F.sum("skipped_changes").alias("skipped_changes"), F.sum("events").alias("events")), batch_id)
+    return run
 
 
 def latest_competitor_prices(cp_stream: DataFrame) -> DataFrame:

@@ -89,12 +89,52 @@ def test_guarded_stock_stream_equals_batch(spark):
     out = tempfile.mkdtemp()
     s = fixtures.inventory_events_from(table_stream(spark, SF_SMALL, "lineitem"))
     snap = jobs.Snapshot(spark, out + "/s")
-    up = jobs.upsert_sink(snap, ["product_id", "warehouse_id"], ["_batch"])
-    q = jobs.start(jobs.guarded_stock(s), out + "/ck", output_mode="update", trigger={"availableNow": True},
-                   sink=lambda b, i: up(b.withColumn("_batch", F.lit(i)), i))
+    q = jobs.start(s, out + "/ck", sink=jobs.stock_sink(snap), trigger={"availableNow": True})
     q.awaitTermination()
     stream = {(r["product_id"], r["warehouse_id"]): r["current_stock"] for r in snap.read().collect()}
     batch_df = guarded_fold(fixtures.inventory_events(spark, SF_SMALL), ["product_id", "warehouse_id"],
                             INVENTORY_ORDER, "quantity_change")
     batch = {(r["product_id"], r["warehouse_id"]): r["current_stock"] for r in batch_df.collect()}
     assert stream == batch and len(batch) > 0
+
+
+def _events(spark, *rows):
+    return spark.createDataFrame(list(rows), "event_id long, event_type string, product_id long, product_price decimal(10,2), t string") \
+        .select("event_id", "event_type", "product_id", "product_price", F.col("t").cast("timestamp").alias("timestamp"))
+
+
+def test_event_log_survives_replays_repetitions_and_late_rows(spark):
+    base = tempfile.mkdtemp()
+    metrics = jobs.Snapshot(spark, base + "/m")
+    sink = jobs.clickstream_fanout(spark, None, base + "/log", metrics)
+    first = _events(spark, (1, "product_view", 7, None, "2024-01-02 00:00:00"), (1, "product_view", 7, None, "2024-01-02 00:00:00"),
+                    (2, "purchase", 7, None, "2024-01-02 00:00:00"))
+    late = _events(spark, (2, "purchase", 7, None, "2024-01-02 00:00:00"), (3, "product_view", 7, None, "2023-12-01 00:00:00"))
+    for batch, n in ((first, 0), (first, 0), (late, 1), (late, 1), (late, 2)):
+        sink(batch, n)
+    assert sorted(r["event_id"] for r in spark.read.parquet(base + "/log").collect()) == [1, 2, 3]
+    row = metrics.read().first()
+    assert (row["total_views"], row["total_purchases"]) == (2, 1)
+
+
+def test_stock_stream_continues_from_its_snapshot(spark):
+    import datetime as dt
+    base = tempfile.mkdtemp()
+    snap = jobs.Snapshot(spark, base + "/s")
+    sink = jobs.stock_sink(snap)
+
+    def batch(*changes):
+        return spark.createDataFrame([(k, "W", c, dt.datetime(2024, 1, 1), i, 1) for i, (k, c) in enumerate(changes)],
+                                     "product_id long, warehouse_id string, quantity_change int, timestamp timestamp, src_order long, src_line int")
+    sink(batch((1, 5), (2, 1)), 0)
+    sink(batch((1, -4), (1, -4)), 1)
+    sink(batch((1, -4), (1, -4)), 1)  # replay
+    got = {r["product_id"]: (r["current_stock"], r["skipped_changes"], r["events"]) for r in snap.read().collect()}
+    assert got == {1: (1, 1, 3), 2: (1, 0, 1)}
+
+
+def test_parse_events_splits_on_the_parser(spark):
+    lines = ['{"event_id": 2, bad}', '  {"event_id": 3}', '{"event_id": "x"}', '{"event_id": 4, "extra": 1}', "", "[1]"]
+    good, bad = parse_events(spark.createDataFrame([(x,) for x in lines], "value string"), spark.createDataFrame([], "event_id long").schema)
+    assert sorted(r["event_id"] for r in good.collect()) == [3, 4]
+    assert sorted(r["raw_message"] for r in bad.collect()) == ["", "[1]", '{"event_id": "x"}', '{"event_id": 2, bad}']
