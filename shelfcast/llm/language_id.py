@@ -30,6 +30,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 LONGEST = 4
 MEMO_WORDS = 200_000
@@ -94,8 +96,8 @@ def train(docs: DataFrame, usable: Column, text: str = "text", lang: str = "lang
     step = max(1, -(-n // sample_docs))
     sample = rows.where(F.col("lang").isin([r["lang"] for r in sizes])
                         & (F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(step)) == 0)) if n else rows.limit(0)
-    counts = (sample.select("lang", "text").mapInPandas(_counted, "lang string, n int, gram string, c long")
-              .groupBy("lang", "n", "gram").agg(F.sum("c").alias("c")))
+    counts = written(sample.select("lang", "text").mapInPandas(_counted, "lang string, n int, gram string, c long")
+                     .groupBy("lang", "n", "gram").agg(F.sum("c").alias("c")), "language-counts")
     totals = counts.groupBy("lang", "n").agg(F.sum("c").alias("total"), F.count("*").alias("types"))
     kept = (counts.where("n = 0").orderBy(F.desc("c"), "gram", "lang").limit(max_words)
             .union(counts.where("n > 0").orderBy(F.desc("c"), "gram", "lang").limit(max_words)))
@@ -149,4 +151,4 @@ def predictor(docs: DataFrame, model: Model):
         m = shared.value
         for texts in batches:
             yield pd.DataFrame([m.predict(t) for t in texts], columns=["lang", "score"], index=texts.index)
-    return predict
+    return predict.asNondeterministic()  # so that a filter on the result does not run it again
