@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -77,6 +78,12 @@ class PairTable:
         return found.reshape(keys.shape)
 
 
+@lru_cache(maxsize=2)
+def byte_bpe(path: str, pattern: str) -> ByteBPE:
+    """One table and memo for all tasks of a Python worker."""
+    return ByteBPE(path, pattern)
+
+
 class ByteBPE:
     def __init__(self, path: str, pattern: str):
         self.ranks = load_ranks(path)

@@ -65,7 +65,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        bpe = byte_bpe.ByteBPE(path, PATTERN)
+        bpe = byte_bpe.byte_bpe(path, PATTERN)
         names = {i: str(i) for i in bpe.bytes_of}
         for texts in batches:
             out = []
