@@ -19,10 +19,8 @@ WAREHOUSES = ["WH-LAGOS", "WH-ABUJA", "WH-PH"]
 COMPETITORS = ["TechMart", "GadgetZone", "ElectroHub"]
 RECOMMENDATIONS = ["raise", "lower", "hold"]
 PRICE_POSITIONS = ["cheaper", "pricier", "competitive"]
-INVENTORY_EVENT_TYPES = ["stock_received", "stock_returned", "stock_damaged", "manual_adjustment"]
 SEGMENT_ORDER = ["Champions", "Loyal Customers", "Potential Loyalists", "Big Spenders",
                  "At Risk", "Lost", "Needs Attention"]
-STOCKOUT_STATUSES = ["No Demand", "Out of Stock", "Critical (<24h)", "Warning (<72h)", "Healthy"]
 DEMAND_HIGH = 5      # purchases in the look-back -> "high demand"
 DEMAND_LOW = 2       # purchases in the look-back -> "low demand"
 GAP_THRESHOLD_PCT = 10.0
@@ -119,20 +117,6 @@ def stock_band(stock: Column) -> Column:
             .otherwise("green"))
 
 
-def stockout_status(stock: Column, rate: Column, hours_left: Column,
-                    critical: float = 24.0, warning: float = 72.0) -> Column:
-    """No Demand / Out of Stock / Critical / Warning / Healthy.
-
-    ``hours_left`` is NULL when there is no demand; 'Out of Stock' means the
-    rounded horizon is 0.
-    """
-    return (F.when(hours_left.isNull(), "No Demand")
-            .when(hours_left == 0, "Out of Stock")
-            .when(hours_left < F.lit(critical), "Critical (<24h)")
-            .when(hours_left < F.lit(warning), "Warning (<72h)")
-            .otherwise("Healthy"))
-
-
 def in_list_position(c: Column, values: list[str]) -> Column:
     """1-based position of ``c`` in a fixed list (for categorical ordering)."""
     return F.array_position(F.array(*[F.lit(v) for v in values]), c)

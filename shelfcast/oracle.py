@@ -14,6 +14,15 @@ def R(expr: str, n: int) -> str:
     return f"CAST(round(CAST(({expr}) AS DECIMAL(38,6)), {n}) AS DOUBLE)"
 
 
+def staged(keys: str, src: str = "clickstream", stages=("page_view", "product_view", "add_to_cart", "purchase"),
+           names=None) -> str:
+    """Sessions per funnel stage: distinct (keys, stage, session) rows, counted and laid out sideways."""
+    cols = ", ".join(f"count(session_id) FILTER (event_type = '{s}') AS {n}" for s, n in zip(stages, names or stages))
+    k = f"{keys}, " if keys else ""
+    return (f"SELECT {k}{cols} FROM (SELECT DISTINCT {k}event_type, session_id FROM {src})"
+            + (f" GROUP BY {keys}" if keys else ""))
+
+
 # Fixture mapping (same definitions as shelfcast.sources.fixtures).
 BASE_CTES = {
     "products": """

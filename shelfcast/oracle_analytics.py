@@ -1,17 +1,12 @@
 """Oracle SQL for funnel, RFM, demand, elasticity and dashboard analytics."""
 from __future__ import annotations
 
-from .oracle import R, q
+from .oracle import R, q, staged
 
 STAGES = [("page_view", "Page View"), ("product_view", "Product View"),
           ("add_to_cart", "Add to Cart"), ("purchase", "Purchase")]
 
 
-def cds(stage: str, alias: str = "") -> str:
-    p = f"{alias}." if alias else ""
-    return f"count(DISTINCT CASE WHEN {p}event_type = '{stage}' THEN {p}session_id END)"
-
-
 def or1(x: str) -> str:
     return f"(CASE WHEN {x} = 0 THEN 1 ELSE {x} END)"
 
@@ -45,34 +40,35 @@ FROM ({src}) GROUP BY ALL"""
 
 # ---------------------------------------------------------------- funnel
 q("u1_clickstream_overview", """
-SELECT count(*) AS total_events, count(DISTINCT user_id) AS unique_users,
-       count(DISTINCT session_id) AS unique_sessions, CAST(min(timestamp) AS DATE) AS earliest_date,
-       CAST(max(timestamp) AS DATE) AS latest_date,
-       epoch(max(timestamp) - min(timestamp)) AS data_span_seconds
-FROM clickstream""")
+WITH users AS (SELECT DISTINCT user_id FROM clickstream), visits AS (SELECT DISTINCT session_id FROM clickstream),
+times AS (SELECT count(*) AS n, min(timestamp) AS a, max(timestamp) AS b FROM clickstream)
+SELECT n AS total_events, (SELECT count(user_id) FROM users) AS unique_users,
+       (SELECT count(session_id) FROM visits) AS unique_sessions, CAST(a AS DATE) AS earliest_date,
+       CAST(b AS DATE) AS latest_date, (epoch_us(b) - epoch_us(a)) / 1e6 AS data_span_seconds
+FROM times""")
 
 q("u2_event_distribution", f"""
-SELECT event_type, count(*) AS event_count, count(DISTINCT session_id) AS sessions,
-       {R('count(*) * 100.0 / sum(count(*)) OVER ()', 1)} AS pct_of_events
-FROM clickstream GROUP BY event_type""")
+WITH visits AS (SELECT event_type, session_id, count(*) AS n FROM clickstream GROUP BY ALL),
+total AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM clickstream)
+SELECT event_type, CAST(sum(v.n) AS BIGINT) AS event_count, count(session_id) AS sessions,
+       {R('100 * CAST(sum(v.n) AS DOUBLE) / any_value(total.n)', 1)} AS pct_of_events
+FROM visits v, total GROUP BY event_type""")
 
-_stage_cols = ", ".join(f"{cds(s)} AS {s}" for s, _ in STAGES)
 _funnel_rows = []
 for i, (s, label) in enumerate(STAGES):
     step = "100.0" if i == 0 else R(f"{s} / {or1(STAGES[i - 1][0])} * 100.0", 1)
     _funnel_rows.append(f"SELECT {i + 1} AS stage_order, '{label}' AS stage, {s} AS sessions, "
                         f"{R(f'{s} / {or1(STAGES[0][0])} * 100.0', 1)} AS overall_cvr_pct, {step} AS step_cvr_pct FROM sc")
-q("u3_funnel", f"WITH sc AS (SELECT {_stage_cols} FROM clickstream)\n" + "\nUNION ALL\n".join(_funnel_rows),
+q("u3_funnel", f"WITH sc AS ({staged('')})\n" + "\nUNION ALL\n".join(_funnel_rows),
   )
 
 q("u4_funnel_summary", f"""
 SELECT {R(f"add_to_cart / {or1('product_view')} * 100.0", 1)} AS product_view_to_cart_pct,
        {R(f"purchase / {or1('add_to_cart')} * 100.0", 1)} AS cart_to_purchase_pct,
        {R(f"purchase / {or1('page_view')} * 100.0", 2)} AS overall_conversion_pct
-FROM (SELECT {_stage_cols} FROM clickstream)""")
+FROM ({staged('')})""")
 
-_by_device = f"""
-SELECT device_type, {_stage_cols} FROM clickstream GROUP BY device_type"""
+_by_device = staged("device_type")
 q("u5_funnel_by_device", f"""
 SELECT device_type, page_view, product_view, add_to_cart, purchase,
        {R('product_view / nullif(page_view, 0) * 100.0', 1)} AS product_view_cvr,
@@ -85,11 +81,8 @@ SELECT device_type, {R('purchase / nullif(page_view, 0) * 100.0', 1)} AS purchas
 FROM ({_by_device}) WHERE page_view > 0
 ORDER BY purchase_cvr DESC, device_type LIMIT 1""")
 
-_by_cat = f"""
-SELECT p.category, {cds('product_view', 'c')} AS product_view, {cds('add_to_cart', 'c')} AS add_to_cart,
-       {cds('purchase', 'c')} AS purchase
-FROM clickstream c JOIN products p ON c.product_id = p.product_id
-WHERE c.product_id IS NOT NULL GROUP BY p.category"""
+_by_cat = staged("category", "(SELECT * FROM clickstream JOIN products USING (product_id))",
+                 ("product_view", "add_to_cart", "purchase"))
 q("u6_funnel_by_category", f"""
 SELECT *, {R('purchase / nullif(product_view, 0) * 100.0', 1)} AS purchase_cvr FROM ({_by_cat})""")
 q("u6_funnel_long", f"""
@@ -106,11 +99,12 @@ SELECT CAST(hour(timestamp) AS INTEGER) AS hour, count(*) AS event_count
 FROM clickstream WHERE event_type = 'purchase' GROUP BY 1 ORDER BY event_count DESC, hour LIMIT 3""")
 
 _sessions = f"""
-SELECT session_id, device_type, count(*) AS event_count, count(DISTINCT event_type) AS distinct_event_types,
-       min(timestamp) AS session_start, max(timestamp) AS session_end,
-       {R('epoch(max(timestamp) - min(timestamp)) / 60.0', 2)} AS duration_min,
-       bool_or(event_type = 'purchase') AS converted
-FROM clickstream GROUP BY session_id, device_type"""
+SELECT session_id, device_type, CAST(sum(n) AS BIGINT) AS event_count, count(event_type) AS distinct_event_types,
+       min(a) AS session_start, max(b) AS session_end,
+       {R('(epoch_us(max(b)) - epoch_us(min(a))) / 6e7', 2)} AS duration_min, max(event_type = 'purchase') AS converted
+FROM (SELECT session_id, device_type, event_type, count(*) AS n, min(timestamp) AS a, max(timestamp) AS b
+      FROM clickstream GROUP BY ALL)
+GROUP BY session_id, device_type"""
 q("u8_sessions", _sessions)
 q("u9_session_totals", f"""
 SELECT count(*) AS total_sessions, count_if(converted) AS converted_sessions,
@@ -132,12 +126,17 @@ q("u12_session_event_histogram", hist(
 
 # ---------------------------------------------------------------- RFM
 q("r1_purchase_overview", f"""
-SELECT count(*) AS total_purchase_events, count(DISTINCT user_id) AS unique_buyers,
-       count(DISTINCT session_id) AS unique_purchase_sessions,
-       CAST(min(timestamp) AS DATE) AS first_purchase, CAST(max(timestamp) AS DATE) AS last_purchase,
-       {R('avg(CAST(coalesce(product_price, 0) AS DOUBLE))', 2)} AS avg_order_value,
-       {R('sum(coalesce(product_price, 0))', 2)} AS total_gmv
-FROM clickstream WHERE event_type = 'purchase'""")
+WITH visits AS (
+  SELECT user_id, session_id, count(*) AS n, sum(coalesce(product_price, 0)) AS spent,
+         min(timestamp) AS a, max(timestamp) AS b
+  FROM clickstream WHERE event_type = 'purchase' GROUP BY ALL)
+SELECT CAST(sum(n) AS BIGINT) AS total_purchase_events,
+       (SELECT count(*) FROM (SELECT user_id FROM visits GROUP BY user_id)) AS unique_buyers,
+       (SELECT count(*) FROM (SELECT session_id FROM visits GROUP BY session_id)) AS unique_purchase_sessions,
+       CAST(min(a) AS DATE) AS first_purchase, CAST(max(b) AS DATE) AS last_purchase,
+       {R('CAST(sum(spent) AS DOUBLE) / CAST(sum(n) AS DOUBLE)', 2)} AS avg_order_value,
+       {R('sum(spent)', 2)} AS total_gmv
+FROM visits""")
 q("r2_purchases_per_user", """
 SELECT purchases, count(*) AS user_count FROM (
   SELECT user_id, count(*) AS purchases FROM clickstream WHERE event_type = 'purchase' GROUP BY user_id)
@@ -220,11 +219,15 @@ GROUP BY segment""", PREF_CTES)
 
 # ---------------------------------------------------------------- demand
 q("g1_demand_overview", f"""
-SELECT count(*) AS total_purchases, count(DISTINCT user_id) AS unique_buyers,
-       count(DISTINCT product_id) AS distinct_products_bought, min(timestamp) AS first_purchase,
-       max(timestamp) AS last_purchase,
-       {R('count(*) / nullif(epoch(max(timestamp) - min(timestamp)) / 3600.0, 0)', 2)} AS purchases_per_hour
-FROM clickstream WHERE event_type = 'purchase'""")
+WITH bought AS (
+  SELECT user_id, product_id, count(*) AS n, min(timestamp) AS a, max(timestamp) AS b
+  FROM clickstream WHERE event_type = 'purchase' GROUP BY ALL)
+SELECT CAST(sum(n) AS BIGINT) AS total_purchases,
+       (SELECT count(*) FROM (SELECT user_id FROM bought GROUP BY user_id)) AS unique_buyers,
+       (SELECT count(product_id) FROM (SELECT product_id FROM bought GROUP BY product_id)) AS distinct_products_bought,
+       min(a) AS first_purchase, max(b) AS last_purchase,
+       {R('CAST(sum(n) AS DOUBLE) / nullif((epoch_us(max(b)) - epoch_us(min(a))) / 3.6e9, 0)', 2)} AS purchases_per_hour
+FROM bought""")
 q("g2_daily_purchases", """
 SELECT CAST(timestamp AS DATE) AS day, count(*) AS purchases FROM clickstream
 WHERE event_type = 'purchase' GROUP BY 1""")

@@ -94,12 +94,13 @@ def recommendation_split(recs: DataFrame) -> DataFrame:
 
 
 def competitor_landscape(cp: DataFrame, products: DataFrame) -> DataFrame:
-    """Per (competitor, product) observations and how often they were cheaper."""
-    j = cp.join(products.select("product_id", "product_name", "category"), "product_id")
-    cheaper = F.when(F.col("competitor_price") < F.col("our_price"), 1).otherwise(0)
+    """Per (competitor, product) observations and how often they were cheaper.
+    Observations are counted by product before the catalogue joins."""
+    counts = cp.groupBy("competitor_name", "product_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("competitor_price") < F.col("our_price")).alias("c"))
+    j = counts.join(products.select("product_id", "product_name", "category"), "product_id")
     return j.groupBy("competitor_name", "product_name", "category").agg(
-        F.count(F.lit(1)).alias("observations"),
-        F.sum(cheaper).cast("bigint").alias("times_cheaper"),
+        F.sum("n").alias("observations"), F.sum("c").alias("times_cheaper"),
     ).withColumn("pct_cheaper", rnd(safe_div(F.col("times_cheaper") * 100.0, F.col("observations")), 0))
 
 

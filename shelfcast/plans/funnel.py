@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import FUNNEL_LABELS, FUNNEL_STAGES, rnd, safe_div, seconds_between, title_words
-from ..operators.funnel import stage_sessions
+from ..operators.funnel import count_flags, stage_flags, stage_sessions
 from ..operators.stats import histogram
 
 
@@ -91,11 +91,11 @@ def best_device(by_device: DataFrame) -> DataFrame:
 
 
 def funnel_by_category(ev: DataFrame, products: DataFrame) -> DataFrame:
-    """Product-linked stage sessions per category, purchase CVR vs product views."""
-    j = (ev.filter(F.col("product_id").isNotNull())
-           .join(products.select("product_id", "category"), "product_id"))
+    """Product-linked stage sessions per category, purchase CVR vs product views.
+    The catalogue joins (product, session) flags, not events."""
     stages = ["product_view", "add_to_cart", "purchase"]
-    f = stage_sessions(j, ["category"], stages=stages)
+    flags = stage_flags(ev.filter(F.col("product_id").isNotNull()), ["product_id"], stages)
+    f = count_flags(flags.join(products.select("product_id", "category"), "product_id"), ["category"], stages)
     return f.withColumn("purchase_cvr", rnd(safe_div(F.col("purchase"), F.col("product_view")) * 100.0, 1))
 
 

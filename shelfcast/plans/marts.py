@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import price_position, rnd, safe_div
+from ..operators.funnel import count_flags, stage_flags
 from ..operators.latest import latest_by
 from .common import within_lookback
 
@@ -36,30 +37,16 @@ def daily_funnel_metrics(ev: DataFrame, products: DataFrame) -> DataFrame:
     Events are first reduced to (day, product, session) stage flags. Rows
     without a product (every page view) skip the catalogue join instead of
     piling onto one NULL join key; the rest join on product_id. The two parts
-    are unioned and reduced per (day, category, session), then summed.
+    are unioned and reduced per (day, category, session), then summed. Rows
+    without a session keep their group alive and reach no stage.
     """
     names = ["page_views", "product_views", "cart_adds", "purchases"]
-    stages = ["page_view", "product_view", "add_to_cart", "purchase"]
-    t = F.col("event_type")
-    flags = [F.max(F.when(t == s, 1).otherwise(0)).alias(n) for s, n in zip(stages, names)]
-    pre = (ev.filter(F.col("session_id").isNotNull())
-             .groupBy(F.to_date("timestamp").alias("day"), "product_id", "session_id").agg(*flags))
-    linked = (pre.filter(F.col("product_id").isNotNull())
-                 .join(products.select("product_id", "category"), "product_id", "left")
-                 .withColumn("category", F.coalesce(F.col("category"), F.lit("unknown"))))
-    unlinked = pre.filter(F.col("product_id").isNull()).withColumn("category", F.lit("unknown"))
-    cols = ["day", "category", "session_id", *names]
-    per_session = (linked.select(*cols).unionByName(unlinked.select(*cols))
-                   .groupBy("day", "category", "session_id").agg(*[F.max(n).alias(n) for n in names]))
-    f = per_session.groupBy("day", "category").agg(*[F.sum(n).cast("bigint").alias(n) for n in names])
-    # groups whose rows all lack a session still exist in SQL with zero counts
-    no_session = (ev.filter(F.col("session_id").isNull())
-                    .join(products.select("product_id", "category"), "product_id", "left")
-                    .select(F.to_date("timestamp").alias("day"),
-                            F.coalesce(F.col("category"), F.lit("unknown")).alias("category")).distinct()
-                    .join(f.select("day", "category"), ["day", "category"], "left_anti")
-                    .select("day", "category", *[F.lit(0).cast("bigint").alias(n) for n in names]))
-    f = f.unionByName(no_session)
+    flags = stage_flags(ev.withColumn("day", F.to_date("timestamp")), ["day", "product_id"], names=names)
+    linked = (flags.filter(F.col("product_id").isNotNull())
+                   .join(products.select("product_id", "category"), "product_id", "left"))
+    unlinked = flags.filter(F.col("product_id").isNull()).withColumn("category", F.lit("unknown"))
+    cols = ["day", F.coalesce("category", F.lit("unknown")).alias("category"), "session_id", *names]
+    f = count_flags(linked.select(*cols).unionByName(unlinked.select(*cols)), ["day", "category"], names)
     return f.withColumn("conversion_rate", rnd(safe_div(F.col("purchases"), F.col("page_views")) * 100, 2))
 
 

@@ -10,7 +10,7 @@ from .functions.columns import (DEVICES, DOW_LABELS, EVENT_TYPES, FUNNEL_STAGES,
                                 iso_dow, rnd, safe_div, seconds_between, stock_band, title_words)
 from .operators import describe_by, histogram, box_summary, latest_by, quantile_bins, stage_sessions
 from .operators.grid import densify, int_axis
-from .oracle import R, q
+from .oracle import R, q, staged
 from .plans import demand as G
 from .plans import funnel as U
 from .plans.common import within_lookback
@@ -218,9 +218,7 @@ def _a3(d):
                                F.count_distinct("user_id", "device_type").alias("user_devices"))
 
 
-@reg("a4_conditional_distinct", "SELECT CAST(timestamp AS DATE) AS day, " + ", ".join(
-    f"count(DISTINCT CASE WHEN event_type = '{s}' THEN session_id END) AS {s}" for s in FUNNEL_STAGES)
-    + " FROM clickstream GROUP BY 1")
+@reg("a4_conditional_distinct", staged("day", "(SELECT *, CAST(timestamp AS DATE) AS day FROM clickstream)"))
 def _a4(d):
     return stage_sessions(d.clickstream().withColumn("day", F.to_date("timestamp")), ["day"])
 
@@ -457,8 +455,8 @@ def _w6(d):
 @reg("w7_previous_stage_ratio", "SELECT device_type, stage, " + R(
     "sessions * 100.0 / nullif(lag(sessions) OVER (PARTITION BY device_type ORDER BY stage_order), 0)", 1)
     + " AS step_cvr_pct FROM (" + " UNION ALL ".join(
-        f"SELECT device_type, {i + 1} AS stage_order, '{s}' AS stage, count(DISTINCT CASE WHEN event_type = '{s}' "
-        f"THEN session_id END) AS sessions FROM clickstream GROUP BY 1" for i, s in enumerate(FUNNEL_STAGES)) + ")")
+        f"SELECT device_type, {i + 1} AS stage_order, '{s}' AS stage, {s} AS sessions FROM ({staged('device_type')})"
+        for i, s in enumerate(FUNNEL_STAGES)) + ")")
 def _w7(d):
     f = stage_sessions(d.clickstream(), ["device_type"])
     rows = [F.struct(F.lit(s).alias("stage"),
@@ -612,9 +610,7 @@ def _f12(d):
 
 
 # ---------------------------------------------------------------- H: reshape
-@reg("h1_melt", " UNION ALL ".join(
-    f"SELECT device_type, '{s}' AS stage, count(DISTINCT CASE WHEN event_type = '{s}' THEN session_id END) AS sessions "
-    f"FROM clickstream GROUP BY 1" for s in FUNNEL_STAGES))
+@reg("h1_melt", f"UNPIVOT ({staged('device_type')}) ON {', '.join(FUNNEL_STAGES)} INTO NAME stage VALUE sessions")
 def _h1(d):
     return U.funnel_by_device(d.clickstream()).unpivot("device_type", FUNNEL_STAGES, "stage", "sessions")
 
