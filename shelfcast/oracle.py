@@ -58,7 +58,8 @@ BASE_CTES = {
          timestamp, src_order, src_line
   FROM comp_hist""",
     "inventory_events": """
-  SELECT l_partkey AS product_id,
+  SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || CAST(l_shipdate AS DATE) AS event_id,
+         l_partkey AS product_id,
          CASE l_suppkey % 3 WHEN 0 THEN 'WH-LAGOS' WHEN 1 THEN 'WH-ABUJA' ELSE 'WH-PH' END AS warehouse_id,
          CASE WHEN l_returnflag = 'A' THEN 'stock_received' WHEN l_returnflag = 'R' THEN 'stock_returned'
               WHEN l_linestatus = 'O' THEN 'stock_damaged' ELSE 'manual_adjustment' END AS event_type,

@@ -10,7 +10,7 @@ SELECT event_id, user_id, session_id, event_type, product_id, product_price, dev
 FROM clickstream""")
 
 q("p2_stg_inventory", """
-SELECT product_id, warehouse_id, event_type, quantity_change, abs(quantity_change) AS absolute_quantity,
+SELECT event_id, product_id, warehouse_id, event_type, quantity_change, abs(quantity_change) AS absolute_quantity,
        timestamp AS event_timestamp
 FROM inventory_events""")
 

@@ -58,7 +58,7 @@ RULES = [
 NOT_NULL = {
     "stg_clickstream": ["event_id", "user_id", "session_id", "event_type", "device_type", "event_timestamp",
                         "hour_of_day", "day_of_week"],
-    "stg_inventory": ["product_id", "warehouse_id", "event_type", "quantity_change", "event_timestamp",
+    "stg_inventory": ["event_id", "product_id", "warehouse_id", "event_type", "quantity_change", "event_timestamp",
                       "absolute_quantity"],
     "stg_competitor_prices": ["product_id", "competitor_name", "competitor_price", "observed_at", "our_price"],
     "daily_funnel_metrics": ["day", "category"],
@@ -69,7 +69,7 @@ NOT_NULL = {
 for t, cols in NOT_NULL.items():
     for c in cols:
         RULES.append(("Schema", f"not_null {t}.{c}", f"SELECT count(*) FROM {t} WHERE {c} IS NULL", "eq", "0"))
-for t, k in [("stg_clickstream", "event_id"), ("product_performance", "product_id"),
+for t, k in [("stg_clickstream", "event_id"), ("stg_inventory", "event_id"), ("product_performance", "product_id"),
              ("pricing_analysis", "product_id")]:
     RULES.append(("Schema", f"unique {t}.{k}",
                   f"SELECT count(*) FROM (SELECT {k} FROM {t} GROUP BY {k} HAVING count(*) > 1)", "eq", "0"))

@@ -109,6 +109,7 @@ def quality_tables(products, stock, ev, cp, recs, stg_clickstream, stg_inventory
         "daily_funnel_metrics": daily_funnel, "product_performance": product_perf,
         "pricing_analysis": pricing, "hourly_demand": hourly,
         "dup_stg_clickstream": lambda: unique_table(stg_clickstream(), ["event_id"]),
+        "dup_stg_inventory": lambda: unique_table(stg_inventory(), ["event_id"]),
         "dup_product_performance": lambda: unique_table(product_perf(), ["product_id"]),
         "dup_pricing_analysis": lambda: unique_table(pricing(), ["product_id"]),
     }
@@ -160,8 +161,8 @@ def default_rules(n_products: Callable[[], Column], n_warehouses: int = len(WARE
                             ["event_id", "user_id", "session_id", "event_type", "device_type", "event_timestamp",
                              "hour_of_day", "day_of_week"])
     rules += not_null_rules("Schema", "stg_inventory",
-                            ["product_id", "warehouse_id", "event_type", "quantity_change", "event_timestamp",
-                             "absolute_quantity"])
+                            ["event_id", "product_id", "warehouse_id", "event_type", "quantity_change",
+                             "event_timestamp", "absolute_quantity"])
     rules += not_null_rules("Schema", "stg_competitor_prices",
                             ["product_id", "competitor_name", "competitor_price", "observed_at", "our_price"])
     rules += not_null_rules("Schema", "daily_funnel_metrics", ["day", "category"])
@@ -170,6 +171,7 @@ def default_rules(n_products: Callable[[], Column], n_warehouses: int = len(WARE
     rules += not_null_rules("Schema", "pricing_analysis", ["product_id", "price_position", "our_price"])
     rules += [
         Rule("Schema", "unique stg_clickstream.event_id", "dup_stg_clickstream", _count, "eq", 0),
+        Rule("Schema", "unique stg_inventory.event_id", "dup_stg_inventory", _count, "eq", 0),
         Rule("Schema", "unique product_performance.product_id", "dup_product_performance", _count, "eq", 0),
         Rule("Schema", "unique pricing_analysis.product_id", "dup_pricing_analysis", _count, "eq", 0),
         accepted_rule("Schema", "stg_clickstream", "event_type", EVENT_TYPES),

@@ -25,7 +25,7 @@ def stg_clickstream(ev: DataFrame) -> DataFrame:
 def stg_inventory(inv: DataFrame) -> DataFrame:
     """Inventory events with absolute quantity."""
     return inv.select(
-        "product_id", "warehouse_id", "event_type", "quantity_change",
+        "event_id", "product_id", "warehouse_id", "event_type", "quantity_change",
         F.abs("quantity_change").alias("absolute_quantity"),
         F.col("timestamp").alias("event_timestamp"),
     )

@@ -110,6 +110,8 @@ def inventory_events_from(lineitem: DataFrame) -> DataFrame:
            .when(F.col("l_linenumber") % 2 == 0, q)
            .otherwise(-q)).cast("int")
     return li.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                    F.col("l_shipdate").cast("date")).alias("event_id"),
         F.col("l_partkey").alias("product_id"),
         _case_map(F.col("l_suppkey") % 3, list(enumerate(WAREHOUSE_BY_MOD3))).alias("warehouse_id"),
         F.when(rf == "A", "stock_received").when(rf == "R", "stock_returned")

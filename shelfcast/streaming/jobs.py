@@ -125,15 +125,16 @@ def product_counts(events: DataFrame) -> DataFrame:
                            F.lit(0)).cast("decimal(20,2)").alias("revenue")))
 
 
-def append_new(batch: DataFrame, log_path: str, batch_id: int, key: str = "event_id", ts: str = "timestamp") -> DataFrame:
+def append_new(batch: DataFrame, log_path: str, batch_id: int, key: str = "event_id", ts: str = "timestamp",
+               unit: str = "day") -> DataFrame:
     """Write the batch's rows whose ``key`` is in no earlier batch to the event log,
-    ``<log>/batch=N/date=...``, and return them.
+    ``<log>/batch=N/date=...`` (the first date of the ``unit``), and return them.
 
     A repeated message finds itself in the log however late it comes (a repetition
     has the same time, so only the batch's dates are read), a late message is a row
     like any other, and a replayed batch replaces its own files."""
     spark = batch.sparkSession
-    rows = batch.withColumn("date", F.to_date(ts)).dropDuplicates([key])
+    rows = batch.withColumn("date", F.to_date(F.date_trunc(unit, ts))).dropDuplicates([key])
     lo, hi = rows.agg(F.min("date"), F.max("date")).first()
     seen = event_log(spark, log_path, rows.schema)
     if seen is not None and lo is not None:
@@ -179,13 +180,16 @@ def running_product_metrics(events: DataFrame) -> DataFrame:
 STOCK_KEYS = ["product_id", "warehouse_id"]
 
 
-def stock_sink(snapshot: Snapshot):
-    """foreachBatch sink that folds a batch into the guarded stock.
+def stock_sink(snapshot: Snapshot, log_path: str | None = None):
+    """foreachBatch sink that folds a batch into the guarded stock; with an
+    event log a change counts once however often its message is delivered.
 
     Within a batch the rows are applied in (time, tie-break) order, across batches in
     arrival order (equal to the batch fold when the feed is time ordered). The fold is
     the batch one, seeded from the snapshot, so a hot key is no single frame."""
     def run(batch: DataFrame, batch_id: int) -> None:
+        if log_path is not None:
+            batch = append_new(batch, log_path, batch_id, unit="month")
         prev = snapshot.read(before=batch_id)
         init = None if prev is None else prev.select(*STOCK_KEYS, F.col("current_stock").alias("stock"))
         both = guarded_fold(batch, STOCK_KEYS, INVENTORY_ORDER, "quantity_change", init=init).select(

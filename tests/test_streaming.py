@@ -133,6 +133,21 @@ def test_stock_stream_continues_from_its_snapshot(spark):
     assert got == {1: (1, 1, 3), 2: (1, 0, 1)}
 
 
+def test_stock_stream_counts_a_repeated_message_once(spark):
+    import datetime as dt
+    base = tempfile.mkdtemp()
+    snap = jobs.Snapshot(spark, base + "/s")
+    sink = jobs.stock_sink(snap, base + "/log")
+
+    def batch(*changes):
+        return spark.createDataFrame([(e, 1, "W", c, dt.datetime(2024, 1, e), e, 1) for e, c in changes],
+                                     "event_id long, product_id long, warehouse_id string, quantity_change int, timestamp timestamp, src_order long, src_line int")
+    for changes, n in ((((1, 5), (1, 5), (2, -2)), 0), (((2, -2), (3, -1)), 1), (((2, -2), (3, -1)), 1), (((1, 5), (3, -1)), 2)):
+        sink(batch(*changes), n)
+    row = snap.read().first()
+    assert (row["current_stock"], row["events"], row["skipped_changes"]) == (2, 3, 0)
+
+
 def test_parse_events_splits_on_the_parser(spark):
     lines = ['{"event_id": 2, bad}', '  {"event_id": 3}', '{"event_id": "x"}', '{"event_id": 4, "extra": 1}', "", "[1]"]
     good, bad = parse_events(spark.createDataFrame([(x,) for x in lines], "value string"), spark.createDataFrame([], "event_id long").schema)
