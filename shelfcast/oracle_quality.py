@@ -16,44 +16,50 @@ EXTRA = {
 
 
 def rule(group: str, name: str, value_sql: str, comparison: str, expected_sql: str) -> str:
-    op = {"eq": "=", "le": "<=", "ge": ">="}[comparison]
-    return (f"SELECT '{group}' AS rule_group, '{name}' AS rule_name, CAST(({value_sql}) AS BIGINT) AS value, "
-            f"CAST(({expected_sql}) AS BIGINT) AS expected, '{comparison}' AS comparison, "
-            f"coalesce(CAST(({value_sql}) AS BIGINT) {op} CAST(({expected_sql}) AS BIGINT), false) AS passed")
+    op, sign = {"eq": ("=", "exactly"), "le": ("<=", "at most"), "ge": (">=", "at least")}[comparison]
+    return (f"SELECT '{group}' AS rule_group, '{name}' AS rule_name, v AS value, e AS expected, '{comparison}' AS comparison, "
+            f"coalesce(v {op} e, false) AS passed, concat(v, ' against {sign} ', e) AS detail "
+            f"FROM (SELECT CAST(({value_sql}) AS BIGINT) AS v, CAST(({expected_sql}) AS BIGINT) AS e)")
 
 
 EV_TYPES = "('page_view', 'product_view', 'add_to_cart', 'remove_from_cart', 'purchase')"
 RULES = [
-    ("Inventory", "No negative stock", "SELECT count(*) FROM stock WHERE current_stock < 0", "eq", "0"),
-    ("Inventory", "All products have inventory rows", "SELECT count(*) FROM stock", "eq",
+    ("Inventory", "no_negative_stock", "SELECT count(*) FROM stock WHERE current_stock < 0", "eq", "0"),
+    ("Inventory", "inventory_row_count", "SELECT count(*) FROM stock", "eq",
      "SELECT count(*) * 3 FROM products"),
-    ("Inventory", "Stock values are reasonable (<= 100,000 per warehouse slot)",
+    ("Inventory", "max_stock",
      "SELECT coalesce(max(current_stock), 0) FROM stock", "le", "100000"),
-    ("Clickstream", "Valid event types only",
+    ("Clickstream", "valid_event_types",
      f"SELECT count(*) FROM clickstream WHERE event_type NOT IN {EV_TYPES}", "eq", "0"),
-    ("Clickstream", "Every event references a valid product_id",
+    ("Clickstream", "no_orphan_events",
      "SELECT count(*) FROM clickstream WHERE product_id IS NOT NULL "
      "AND product_id NOT IN (SELECT product_id FROM products)", "eq", "0"),
-    ("Clickstream", "No future timestamps (tolerance: 5 minutes)",
+    ("Clickstream", "no_future_timestamps",
      "SELECT count(*) FROM clickstream WHERE timestamp > TIMESTAMP '2024-02-01 00:05:00'", "eq", "0"),
-    ("Clickstream", "Table is not empty", "SELECT count(*) FROM clickstream", "ge", "1"),
-    ("Competitor Prices", "All competitor prices are positive",
+    ("Clickstream", "table_not_empty", "SELECT count(*) FROM clickstream", "ge", "1"),
+    ("Competitor Prices", "positive_competitor_prices",
      "SELECT count(*) FROM competitor_prices WHERE competitor_price <= 0", "eq", "0"),
-    ("Competitor Prices", "Price difference percentage within +-80%",
+    ("Competitor Prices", "price_diff_within_80pct",
      "SELECT count(*) FROM competitor_prices WHERE price_difference_pct < -80 OR price_difference_pct > 80", "eq", "0"),
-    ("Competitor Prices", "All competitor names are in the known list",
+    ("Competitor Prices", "known_competitors",
      "SELECT count(*) FROM competitor_prices WHERE competitor_name NOT IN ('TechMart', 'GadgetZone', 'ElectroHub')",
      "eq", "0"),
-    ("Pricing Recommendations", "All recommendation values are valid",
+    ("Pricing Recommendations", "valid_recommendations",
      "SELECT count(*) FROM recs WHERE recommendation NOT IN ('raise', 'lower', 'hold')", "eq", "0"),
-    ("Pricing Recommendations", "Confidence scores are between 0 and 1",
+    ("Pricing Recommendations", "confidence_in_range",
      "SELECT count(*) FROM recs WHERE confidence_score < 0 OR confidence_score > 1", "eq", "0"),
-    ("Pricing Recommendations", "Every recommendation references a valid product_id",
+    ("Pricing Recommendations", "no_orphan_recommendations",
      "SELECT count(*) FROM recs WHERE product_id IS NOT NULL AND product_id NOT IN (SELECT product_id FROM products)",
      "eq", "0"),
     ("Constraints", "products.base_price > 0", "SELECT count(*) FROM products WHERE base_price <= 0", "eq", "0"),
     ("Constraints", "pricing_recommendations.recommended_price > 0",
      "SELECT count(*) FROM recs WHERE recommended_price <= 0", "eq", "0"),
+    ("Constraints", "pricing_recommendations.confidence_score in [0, 1]",
+     "SELECT count_if(confidence_score < 0 OR confidence_score > 1) FROM recs", "eq", "0"),
+    *[("Constraints", f"foreign key {named}.product_id",
+       f"SELECT count(*) FROM {t} t WHERE NOT EXISTS (FROM products p WHERE p.product_id = t.product_id)", "eq", "0")
+      for named, t in [("inventory_state", "stock"), ("inventory_events", "inventory_events"),
+                       ("competitor_prices", "competitor_prices")]],
 ]
 NOT_NULL = {
     "stg_clickstream": ["event_id", "user_id", "session_id", "event_type", "device_type", "event_timestamp",
@@ -88,23 +94,11 @@ def report(pred) -> str:
     return "\nUNION ALL\n".join(rule(*r) for r in RULES if pred(r))
 
 
-NAMES = {
-    "q2_no_negative_stock": "No negative stock",
-    "q3_inventory_row_count": "All products have inventory rows",
-    "q4_max_stock": "Stock values are reasonable (<= 100,000 per warehouse slot)",
-    "q5_valid_event_types": "Valid event types only",
-    "q6_no_orphan_events": "Every event references a valid product_id",
-    "q7_no_future_timestamps": "No future timestamps (tolerance: 5 minutes)",
-    "q8_table_not_empty": "Table is not empty",
-    "q9_positive_competitor_prices": "All competitor prices are positive",
-    "q10_price_diff_within_80pct": "Price difference percentage within +-80%",
-    "q11_known_competitors": "All competitor names are in the known list",
-    "q12_valid_recommendations": "All recommendation values are valid",
-    "q13_confidence_in_range": "Confidence scores are between 0 and 1",
-    "q14_no_orphan_recommendations": "Every recommendation references a valid product_id",
-}
-for k, n in NAMES.items():
-    q(k, report(lambda r, n=n: r[1] == n), EXTRA)
+for number, name in enumerate((
+        "no_negative_stock", "inventory_row_count", "max_stock", "valid_event_types", "no_orphan_events",
+        "no_future_timestamps", "table_not_empty", "positive_competitor_prices", "price_diff_within_80pct",
+        "known_competitors", "valid_recommendations", "confidence_in_range", "no_orphan_recommendations"), 2):
+    q(f"q{number}_{name}", report(lambda r, name=name: r[1] == name), EXTRA)
 q("q1_quality_report", report(lambda r: True), EXTRA)
 q("q15_not_null", report(lambda r: r[1].startswith("not_null")), EXTRA)
 q("q16_unique", report(lambda r: r[1].startswith("unique")), EXTRA)

@@ -126,16 +126,16 @@ def revenue_simulation(recs: DataFrame, products: DataFrame, metrics: DataFrame,
     lower = latest_by(recs.filter(F.col("recommendation") == "lower"), ["product_id"], ["timestamp"])
     j = (lower.join(products.select("product_id", "category"), "product_id")
               .join(metrics.select("product_id", "total_purchases", "revenue"), "product_id"))
-    price_chg = rnd(safe_div(F.col("recommended_price") - F.col("current_price"), F.col("current_price")) * 100.0, 2)
-    s = j.select("product_id", "product_name", "category", "current_price", "recommended_price",
-                 "total_purchases", price_chg.alias("price_chg_pct"))
-    s = s.withColumn("demand_chg_pct", rnd(F.col("price_chg_pct") * F.lit(elasticity), 2))
-    s = s.withColumn("proj_purchases", rnd(F.greatest(F.lit(0.0), F.col("total_purchases")
-                                                       * (1 + F.col("demand_chg_pct") / 100.0)), 0))
-    s = s.withColumn("current_rev", rnd(F.col("current_price") * F.col("total_purchases"), 2))
-    s = s.withColumn("proj_rev", rnd(F.col("recommended_price") * F.col("proj_purchases"), 2))
-    s = s.withColumn("rev_delta", rnd(F.col("proj_rev") - F.col("current_rev"), 2))
-    return s.withColumn("rev_delta_pct", rnd(safe_div(F.col("rev_delta"), F.col("current_rev")) * 100.0, 1))
+    now, then, sold = F.col("current_price"), F.col("recommended_price"), F.col("total_purchases")
+    price = rnd(safe_div(then - now, now) * 100.0, 2)
+    demand = rnd(price * F.lit(elasticity), 2)
+    to_sell = rnd(F.greatest(F.lit(0.0), sold * (1 + demand / 100.0)), 0)
+    earned, to_earn = rnd(now * sold, 2), rnd(then * to_sell, 2)
+    gain = rnd(to_earn - earned, 2)
+    measures = {"price_chg_pct": price, "demand_chg_pct": demand, "proj_purchases": to_sell, "current_rev": earned,
+                "proj_rev": to_earn, "rev_delta": gain, "rev_delta_pct": rnd(safe_div(gain, earned) * 100.0, 1)}
+    return j.select("product_id", "product_name", "category", "current_price", "recommended_price", "total_purchases",
+                    *[c.alias(name) for name, c in measures.items()])
 
 
 def simulation_total(sim: DataFrame) -> DataFrame:

@@ -32,6 +32,10 @@ class Rule:
     expected: Callable[[], Column] | int
 
 
+# What ``detail`` writes between the value found and the one expected.
+SIGNS = {"eq": "against exactly", "le": "against at most", "ge": "against at least"}
+
+
 def _cmp(v: Column, op: str, e: Column) -> Column:
     return {"eq": v == e, "le": v <= e, "ge": v >= e}[op]
 
@@ -39,7 +43,7 @@ def _cmp(v: Column, op: str, e: Column) -> Column:
 def run_rules(tables: dict, rules: Sequence[Rule]) -> DataFrame:
     """Evaluate ``rules`` (tables may be DataFrames or zero-argument builders,
     so only the tables a rule set reads are planned); one row per rule:
-    (rule_group, rule_name, value, expected, comparison, passed)."""
+    (rule_group, rule_name, value, expected, comparison, passed, detail)."""
     out = None
     for tname in dict.fromkeys(r.table for r in rules):
         rs = [r for r in rules if r.table == tname]
@@ -49,11 +53,12 @@ def run_rules(tables: dict, rules: Sequence[Rule]) -> DataFrame:
         rows = []
         for i, r in enumerate(rs):
             e = r.expected() if callable(r.expected) else F.lit(r.expected)
-            v = F.col(f"m{i}")
+            v, e = F.col(f"m{i}"), e.cast("bigint")
             rows.append(F.struct(F.lit(r.group).alias("rule_group"), F.lit(r.name).alias("rule_name"),
-                                 v.alias("value"), e.cast("bigint").alias("expected"),
+                                 v.alias("value"), e.alias("expected"),
                                  F.lit(r.comparison).alias("comparison"),
-                                 F.coalesce(_cmp(v, r.comparison, e.cast("bigint")), F.lit(False)).alias("passed")))
+                                 F.coalesce(_cmp(v, r.comparison, e), F.lit(False)).alias("passed"),
+                                 F.concat_ws(" ", v, F.lit(SIGNS[r.comparison]), e).alias("detail")))
         part = one.select(F.inline(F.array(*rows)))
         out = part if out is None else out.unionByName(part)
     return out
@@ -105,6 +110,9 @@ def quality_tables(products, stock, ev, cp, recs, stg_clickstream, stg_inventory
         "competitor_prices": cp, "pricing_recommendations": recs,
         "orphan_events": lambda: orphans(ev(), products()),
         "orphan_recommendations": lambda: orphans(recs(), products()),
+        "orphan_stock": lambda: orphans(stock(), products()),
+        "orphan_inventory": lambda: orphans(stg_inventory(), products()),
+        "orphan_competitor_prices": lambda: orphans(cp(), products()),
         "stg_clickstream": stg_clickstream, "stg_inventory": stg_inventory, "stg_competitor_prices": stg_cp,
         "daily_funnel_metrics": daily_funnel, "product_performance": product_perf,
         "pricing_analysis": pricing, "hourly_demand": hourly,
@@ -121,40 +129,45 @@ def default_rules(n_products: Callable[[], Column], n_warehouses: int = len(WARE
     ts_limit = (lambda: as_of() + F.expr(f"INTERVAL '{FUTURE_TOLERANCE}'")) if as_of else None
     rules = [
         # Q2-Q4 inventory
-        Rule("Inventory", "No negative stock", "inventory_state",
+        Rule("Inventory", "no_negative_stock", "inventory_state",
              lambda: F.count_if(F.col("current_stock") < 0), "eq", 0),
-        Rule("Inventory", "All products have inventory rows", "inventory_state", _count, "eq",
+        Rule("Inventory", "inventory_row_count", "inventory_state", _count, "eq",
              lambda: n_products() * F.lit(n_warehouses)),
-        Rule("Inventory", "Stock values are reasonable (<= 100,000 per warehouse slot)", "inventory_state",
+        Rule("Inventory", "max_stock", "inventory_state",
              lambda: F.coalesce(F.max("current_stock"), F.lit(0)), "le", MAX_STOCK_PER_SLOT),
         # Q5-Q8 clickstream
-        Rule("Clickstream", "Valid event types only", "clickstream_events",
+        Rule("Clickstream", "valid_event_types", "clickstream_events",
              lambda: F.count_if(~F.col("event_type").isin(*EVENT_TYPES)), "eq", 0),
-        Rule("Clickstream", "Every event references a valid product_id", "orphan_events", _count, "eq", 0),
-        Rule("Clickstream", "Table is not empty", "clickstream_events", _count, "ge", 1),
+        Rule("Clickstream", "no_orphan_events", "orphan_events", _count, "eq", 0),
+        Rule("Clickstream", "table_not_empty", "clickstream_events", _count, "ge", 1),
         # Q9-Q11 competitor prices
-        Rule("Competitor Prices", "All competitor prices are positive", "competitor_prices",
+        Rule("Competitor Prices", "positive_competitor_prices", "competitor_prices",
              lambda: F.count_if(F.col("competitor_price") <= 0), "eq", 0),
-        Rule("Competitor Prices", "Price difference percentage within +-80%", "competitor_prices",
+        Rule("Competitor Prices", "price_diff_within_80pct", "competitor_prices",
              lambda: F.count_if((F.col("price_difference_pct") < -MAX_ABS_PRICE_DIFF_PCT)
                                 | (F.col("price_difference_pct") > MAX_ABS_PRICE_DIFF_PCT)), "eq", 0),
-        Rule("Competitor Prices", "All competitor names are in the known list", "competitor_prices",
+        Rule("Competitor Prices", "known_competitors", "competitor_prices",
              lambda: F.count_if(~F.col("competitor_name").isin(*COMPETITORS)), "eq", 0),
         # Q12-Q14 recommendations
-        Rule("Pricing Recommendations", "All recommendation values are valid", "pricing_recommendations",
+        Rule("Pricing Recommendations", "valid_recommendations", "pricing_recommendations",
              lambda: F.count_if(~F.col("recommendation").isin(*RECOMMENDATIONS)), "eq", 0),
-        Rule("Pricing Recommendations", "Confidence scores are between 0 and 1", "pricing_recommendations",
+        Rule("Pricing Recommendations", "confidence_in_range", "pricing_recommendations",
              lambda: F.count_if((F.col("confidence_score") < 0) | (F.col("confidence_score") > 1)), "eq", 0),
-        Rule("Pricing Recommendations", "Every recommendation references a valid product_id",
+        Rule("Pricing Recommendations", "no_orphan_recommendations",
              "orphan_recommendations", _count, "eq", 0),
         # Q18 DDL checks
         Rule("Constraints", "products.base_price > 0", "products",
              lambda: F.count_if(F.col("base_price") <= 0), "eq", 0),
         Rule("Constraints", "pricing_recommendations.recommended_price > 0", "pricing_recommendations",
              lambda: F.count_if(F.col("recommended_price") <= 0), "eq", 0),
+        Rule("Constraints", "pricing_recommendations.confidence_score in [0, 1]", "pricing_recommendations",
+             lambda: F.count_if(~F.col("confidence_score").between(0, 1)), "eq", 0),
+        Rule("Constraints", "foreign key inventory_state.product_id", "orphan_stock", _count, "eq", 0),
+        Rule("Constraints", "foreign key inventory_events.product_id", "orphan_inventory", _count, "eq", 0),
+        Rule("Constraints", "foreign key competitor_prices.product_id", "orphan_competitor_prices", _count, "eq", 0),
     ]
     if ts_limit is not None:
-        rules.insert(5, Rule("Clickstream", "No future timestamps (tolerance: 5 minutes)", "clickstream_events",
+        rules.insert(5, Rule("Clickstream", "no_future_timestamps", "clickstream_events",
                              lambda: F.count_if(F.col("timestamp") > ts_limit()), "eq", 0))
     # Q15-Q17 schema tests
     rules += not_null_rules("Schema", "stg_clickstream",

@@ -1,23 +1,29 @@
 """Query registrations for the data-quality rules (Q1-Q19)."""
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import functions as F
 
 from .plans import marts, quality, staging
 from .plans.common import as_of_col
 from .registry import COMPETITOR_LOOKBACK, QUALITY_AS_OF, metrics_of, recs_of, register, stock_of
+from .session import materialize
 
 
 def _tables(d):
+    """The stock and the recommendations cost a fold and a pricing cycle and are read by
+    several rules and marts: they are written once for a report."""
+    stock = cache(lambda: materialize(stock_of(d), "quality-stock"))
+    recs = cache(lambda: materialize(recs_of(d), "quality-recs"))
     return quality.quality_tables(
-        d.products, lambda: stock_of(d), d.clickstream, d.competitor_prices, lambda: recs_of(d),
+        d.products, stock, d.clickstream, d.competitor_prices, recs,
         lambda: staging.stg_clickstream(d.clickstream()),
         lambda: staging.stg_inventory(d.inventory_events()),
         lambda: staging.stg_competitor_prices(d.competitor_prices()),
         lambda: marts.daily_funnel_metrics(d.clickstream(), d.products()),
-        lambda: marts.product_performance(d.products(), metrics_of(d), stock_of(d)),
-        lambda: marts.pricing_analysis(d.products(), d.competitor_prices(), recs_of(d),
-                                       lookback=COMPETITOR_LOOKBACK),
+        lambda: marts.product_performance(d.products(), metrics_of(d), stock()),
+        lambda: marts.pricing_analysis(d.products(), d.competitor_prices(), recs(), lookback=COMPETITOR_LOOKBACK),
         lambda: marts.hourly_demand(d.clickstream(), d.products()))
 
 
@@ -34,24 +40,12 @@ def _report(d, pick=None):
     return quality.run_rules(_tables(d), rules)
 
 
-RULE_KEYS = {
-    "q2_no_negative_stock": "No negative stock",
-    "q3_inventory_row_count": "All products have inventory rows",
-    "q4_max_stock": "Stock values are reasonable (<= 100,000 per warehouse slot)",
-    "q5_valid_event_types": "Valid event types only",
-    "q6_no_orphan_events": "Every event references a valid product_id",
-    "q7_no_future_timestamps": "No future timestamps (tolerance: 5 minutes)",
-    "q8_table_not_empty": "Table is not empty",
-    "q9_positive_competitor_prices": "All competitor prices are positive",
-    "q10_price_diff_within_80pct": "Price difference percentage within +-80%",
-    "q11_known_competitors": "All competitor names are in the known list",
-    "q12_valid_recommendations": "All recommendation values are valid",
-    "q13_confidence_in_range": "Confidence scores are between 0 and 1",
-    "q14_no_orphan_recommendations": "Every recommendation references a valid product_id",
-}
-
-for _k, _name in RULE_KEYS.items():
-    register(_k)(lambda d, _name=_name: _report(d, lambda r: r.name == _name))
+RULE_KEYS = ["q2_no_negative_stock", "q3_inventory_row_count", "q4_max_stock", "q5_valid_event_types", "q6_no_orphan_events",
+             "q7_no_future_timestamps", "q8_table_not_empty", "q9_positive_competitor_prices", "q10_price_diff_within_80pct",
+             "q11_known_competitors", "q12_valid_recommendations", "q13_confidence_in_range", "q14_no_orphan_recommendations"]
+
+for _k in RULE_KEYS:  # a rule's name follows the number in its key
+    register(_k)(lambda d, _name=_k.split("_", 1)[1]: _report(d, lambda r: r.name == _name))
 
 register("q1_quality_report")(lambda d: _report(d))
 register("q15_not_null")(lambda d: _report(d, lambda r: r.name.startswith("not_null")))

@@ -24,7 +24,9 @@ def _tables(spark):
                                  "product_id long, recommendation string, confidence_score double, recommended_price double")
     return {"products": products, "inventory_state": stock, "clickstream_events": ev, "competitor_prices": cp,
             "pricing_recommendations": recs, "orphan_events": quality.orphans(ev, products),
-            "orphan_recommendations": quality.orphans(recs, products)}
+            "orphan_recommendations": quality.orphans(recs, products),
+            **dict.fromkeys(("orphan_stock", "orphan_inventory", "orphan_competitor_prices"),
+                            quality.orphans(spark.createDataFrame([(1,), (99,), (None,)], "product_id long"), products))}
 
 
 def test_each_reference_rule_fails_on_its_seeded_row(spark):
@@ -33,8 +35,10 @@ def test_each_reference_rule_fails_on_its_seeded_row(spark):
     rules = [r for r in quality.default_rules(lambda: F.lit(2),
                                               as_of=lambda: F.lit("2024-01-01 00:30:00").cast("timestamp"))
              if r.group != "Schema"]
-    rep = {r["rule_name"]: r["passed"] for r in quality.run_rules(tables, rules).collect()}
-    assert rep.pop("Table is not empty") is True
+    found = quality.run_rules(tables, rules).collect()
+    rep = {r["rule_name"]: r["passed"] for r in found}
+    assert {r["rule_name"]: r["detail"] for r in found}["foreign key inventory_state.product_id"] == "1 against exactly 0"
+    assert rep.pop("table_not_empty") is True
     assert rep.pop("pricing_recommendations.recommended_price > 0") is True
     assert all(v is False for v in rep.values()), rep
     summary = {r["rule_group"]: (r["passed"], r["failed"]) for r in quality.summarize(
@@ -45,7 +49,7 @@ def test_each_reference_rule_fails_on_its_seeded_row(spark):
 
 def test_empty_table_rule(spark):
     empty = spark.createDataFrame([], "event_id long, event_type string, product_id long, timestamp timestamp")
-    r = quality.Rule("Clickstream", "Table is not empty", "t", lambda: F.count(F.lit(1)), "ge", 1)
+    r = quality.Rule("Clickstream", "table_not_empty", "t", lambda: F.count(F.lit(1)), "ge", 1)
     assert quality.run_rules({"t": empty}, [r]).first()["passed"] is False
 
 
