@@ -55,15 +55,19 @@ def quantile_bins(df: DataFrame, value: str, tie: str, out_col: str, n_bins: int
 
     With N rows and n = min(n_bins, N) bins, rank r (1-based, ties broken by
     ``tie``) falls in bin max(1, ceil((r-1)*n/(N-1))); N = 1 gives bin 1.
-    ``descending_labels`` maps bin k to n+1-k. N is one scalar count.
+    ``descending_labels`` maps bin k to n+1-k. Only (value, tie) is ranked; the last
+    rows of the first n-1 bins come to the driver and every row of ``df`` gets its bin
+    by comparison with them, so ``df`` is neither shuffled nor written. It is read
+    three times: give a written table.
     """
     total = df.count()
-    nb = max(1, min(n_bins, total))
-    ranked = with_global_rank(df, [value, tie], "_r")
-    if total <= 1:
-        k = F.lit(1)
-    else:
-        # ceil(a / b) in exact integer arithmetic: (a + b - 1) div b
-        k = F.greatest(F.lit(1), F.expr(f"((_r - 1) * {nb} + {total - 2}) div {total - 1}"))
-    label = (F.lit(nb + 1) - k) if descending_labels else k
-    return ranked.withColumn(out_col, label.cast("int")).drop("_r")
+    n = max(1, min(n_bins, total))
+    last = [j * (total - 1) // n + 1 for j in range(1, n)]
+    ranked = with_global_rank(df.select(value, tie), [value, tie], "_r")
+    cuts = ranked.filter(F.col("_r").isin(last)).select(value, tie).collect() if last else []
+    row = F.struct(value, tie)
+    k = F.lit(1)
+    for cut in cuts:
+        k = k + (row > F.struct(*[F.lit(cut[c]).cast(df.schema[c].dataType).alias(c) for c in (value, tie)])).cast("int")
+    label = (F.lit(n + 1) - k) if descending_labels else k
+    return df.withColumn(out_col, label.cast("int"))

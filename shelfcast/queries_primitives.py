@@ -15,6 +15,7 @@ from .plans import demand as G
 from .plans import funnel as U
 from .plans.common import within_lookback
 from .registry import DEMAND_LOOKBACK, metrics_of, recs_of, register, stock_of
+from .session import materialize
 
 PUR = "event_type = 'purchase'"
 
@@ -439,7 +440,7 @@ FROM (SELECT user_id, count(*) OVER () AS N, row_number() OVER (ORDER BY monetar
             GROUP BY 1))""")
 def _w5(d):
     m = _pur(d).groupBy("user_id").agg(F.sum(F.coalesce(F.col("product_price"), F.lit(0))).alias("monetary"))
-    return quantile_bins(m, "monetary", "user_id", "M").select("user_id", "M")
+    return quantile_bins(materialize(m, "monetary"), "monetary", "user_id", "M").select("user_id", "M")
 
 
 @reg("w6_top_per_user", f"""

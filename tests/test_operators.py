@@ -137,3 +137,11 @@ def test_ewm_state_matches_pandas(spark):
     want = pd.Series(xs).ewm(span=4, adjust=False).mean()
     assert e["y"] == pytest.approx(want.iloc[-1])
     assert e["p4"] == pytest.approx(want.iloc[-5])
+
+
+def test_quantile_bins_leave_nulls_and_other_columns(spark):
+    """NULL values rank first; columns that the ranking does not name come through."""
+    df = spark.createDataFrame([("a", None, 1), ("b", 2.0, 2), ("c", 2.0, 3), ("d", 9.0, 4)], "uid string, v double, z int")
+    got = {r["uid"]: (r["q"], r["z"]) for r in quantile_bins(df, "v", "uid", "q", n_bins=2, descending_labels=True).collect()}
+    assert got == {"a": (2, 1), "b": (2, 2), "c": (1, 3), "d": (1, 4)}
+    assert quantile_bins(df.limit(0), "v", "uid", "q").count() == 0
