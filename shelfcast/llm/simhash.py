@@ -19,7 +19,9 @@ Defined results: a null text and one without a word have fingerprint zero and ar
 linked like any other; fewer words than a shingle make one shingle; repeated rows
 have the same fingerprint and so the same component; null doc_ids come back, but
 name no component (a component of nothing else has a null id); an empty table gives
-an empty result. Only the named columns are read.
+an empty result. Only the named columns are read. ``one_of_each`` goes by row: a
+component without an id keeps a row, and so does each of two that share their
+smallest id.
 """
 from __future__ import annotations
 
@@ -30,7 +32,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, written
@@ -76,12 +78,16 @@ def triples() -> list[tuple[int, int, int]]:
     return [t for t in combinations(range(8), 3) if listed(t)]
 
 
-def with_fingerprints(docs: DataFrame, text: str, doc_id: str, shingle: int) -> DataFrame:
+def _fingerprints(shingle: int):
     @F.pandas_udf("long")
     def fp(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64), index=texts.index)
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), fp(F.col(text)).alias("fp"))
+    return fp
+
+
+def with_fingerprints(docs: DataFrame, text: str, doc_id: str, shingle: int) -> DataFrame:
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), _fingerprints(shingle)(F.col(text)).alias("fp"))
 
 
 def links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
@@ -181,15 +187,36 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _labelled(rows: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, least, label) of every distinct fingerprint of ``rows``: the smallest doc_id
+    that has it and the smallest fingerprint of its component."""
+    nodes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
+    labels = components(links(nodes.select("fp"), max_bits))
+    return nodes.join(labels, nodes.fp == labels.node, "left").select(
+        "fp", "least", F.coalesce("label", "fp").alias("label"))
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4,
                     max_bits: int = 4) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``."""
     rows = written(with_fingerprints(docs, text, doc_id, shingle), "simhash-fingerprints")
-    nodes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
-    labels = components(links(nodes.select("fp"), max_bits))
-    labelled = nodes.join(labels, nodes.fp == labels.node, "left").select(
-        "fp", "least", F.coalesce("label", "fp").alias("label"))
+    labelled = _labelled(rows, max_bits)
     named = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
     of_node = written(labelled.join(named, "label").select("fp", "component_id"), "simhash-components")
     return rows.join(of_node, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4,
+                max_bits: int = 4) -> DataFrame:
+    """One row of ``docs`` for each component: of its smallest doc_id (null if it has no
+    other), then of its smallest fingerprint, then by a hash of the row."""
+    rows = written(with_fingerprints(docs, text, doc_id, shingle), "simhash-fingerprints")
+    first = F.min(F.struct(F.col("least").isNull().alias("none"), F.coalesce("least", F.lit(0)).alias("id"), "fp"))
+    stay = written(_labelled(rows, max_bits).groupBy("label").agg(first.alias("_s")).select(
+        F.col("_s.fp").alias("_fp"), F.col("_s.none").alias("_none"), F.col("_s.id").alias("_id")), "simhash-stay")
+    keys = ["_fp", "_none", "_id"]
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*docs.columns)))
+    own = F.col(doc_id).cast("long")
+    return (docs.withColumns({"_fp": _fingerprints(shingle)(F.col(text)), "_none": own.isNull(), "_id": F.coalesce(own, F.lit(0))})
+            .join(stay, keys).withColumn("_n", number).where("_n = 1").select(*docs.columns))

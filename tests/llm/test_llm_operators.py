@@ -398,3 +398,19 @@ def test_pipeline_drops_what_a_stage_rejects(spark):
     assert packed <= kept
     of = brute_components([(d, simhash.fingerprint(documents[d])) for d in kept])
     assert packed == {d for d in kept if of[d] == d}
+
+
+def test_pipeline_keeps_a_row_of_each_group(spark):
+    def text(seed):
+        rng = np.random.default_rng(seed)
+        return " ".join(f"w{i}" for i in rng.integers(0, 10_000, 200))
+    a, b, c, d = map(text, range(4))
+    near = b + " end"
+    assert 0 < (simhash.fingerprint(b) ^ simhash.fingerprint(near)).bit_count() <= 4
+    docs = docs_of(spark, [(None, c, "en", "s", 0), (None, c, "en", "s", 0), (None, d, "en", "s", 0), (5, a, "en", "s", 0),
+                           (5, near, "en", "s", 0), (3, b, "en", "s", 0)])
+    assert Counter(rows(corpus_pipeline.near_duplicate_stage(spark, docs, SF), "doc_id", "text")) == Counter(
+        [(None, c), (None, d), (5, a), (3, b)])
+    docs = docs_of(spark, [(5, a, "en", "s", 0), (5, b, "en", "s", 0), (9, near, "en", "s", 0)])
+    kept = Counter(rows(corpus_pipeline.near_duplicate_stage(spark, docs, SF), "doc_id", "text"))
+    assert kept == Counter([(5, a), (5, b)])
