@@ -47,20 +47,17 @@ AT_WORDS, DOT_WORDS = ("at", "arroba", "arobase"), ("dot", "punkt", "point", "pu
 _AT, _DOT = (f"(?i:{'|'.join(words)})" for words in (AT_WORDS, DOT_WORDS))
 _DIGIT = f"(?i:{'|'.join(sorted(DIGIT_WORDS, key=len, reverse=True))})"
 _NAME = r"[A-Za-z0-9][A-Za-z0-9-]{0,62}"
-_AFTER_DOT = f"(?i:{'|'.join(f'(?<={w} )' for w in DOT_WORDS)})"
+_GAP = r"\s{1,3}"  # a short run of white space stands around at and dot
+_AFTER_DOT = f"(?i:{'|'.join(rf'(?<={w}{r'\s' * n})' for w in DOT_WORDS for n in (1, 2, 3))})"
 _CHAR = f"[{re.escape(''.join(LOOKALIKES))}]"
 RULES = re.compile("|".join((
     rf"(?P<char>{_CHAR})", rf"(?P<gone>[{INVISIBLE}])",
-    rf"[ ]?[\[({{<][ ]?(?:(?P<at>{_AT}|@)|(?P<dot>{_DOT}|\.))[ ]?[\])}}>][ ]?",
-    rf"(?P<bare>(?<=[A-Za-z0-9])[ ]{_AT}[ ](?={_NAME}[ ]{_DOT}[ ](?!{_DOT}\b){_NAME}))",
-    rf"(?P<baredot>(?<=[A-Za-z0-9])[ ]{_DOT}[ ](?=[A-Za-z0-9]))",
+    rf"\s{{0,3}}[\[({{<]\s{{0,3}}(?:(?P<at>{_AT}|@)|(?P<dot>{_DOT}|\.))\s{{0,3}}[\])}}>]\s{{0,3}}",
+    rf"(?P<bare>\s(?<=[A-Za-z0-9]\s)\s{{0,2}}{_AT}{_GAP}(?={_NAME}{_GAP}{_DOT}{_GAP}(?!{_DOT}\b){_NAME}))",
+    rf"(?P<baredot>\s(?<=[A-Za-z0-9]\s)\s{{0,2}}{_DOT}{_GAP}(?=[A-Za-z0-9]))",
     rf"\b(?P<plus>(?i:plus)[ ])(?=[0-9]|{_DIGIT}\b)",
-    rf"\b(?P<spelled>{_DIGIT}\b(?:[ -]{_DIGIT}\b){{2,}}|{_DIGIT}\b(?:[ -]{_DIGIT}\b)?(?=[ ]{_DOT}[ ](?:[0-9]|{_DIGIT}\b))"
+    rf"\b(?={_DIGIT}\b)(?P<spelled>{_DIGIT}\b(?:[ -]{_DIGIT}\b){{2,}}|{_DIGIT}\b(?:[ -]{_DIGIT}\b)?(?={_GAP}{_DOT}{_GAP}(?:[0-9]|{_DIGIT}\b))"
     rf"|{_AFTER_DOT}{_DIGIT}\b(?:[ -]{_DIGIT}\b)?)")))
-# Rewriting matters only where one of these occurs; a lone dot word leads to nothing.
-GATE = re.compile("|".join((
-    _CHAR, f"[{INVISIBLE}]", rf"[\[({{<][ ]?(?:{_AT}|{_DOT}|@|\.)[ ]?[\])}}>]", rf"[ ]{_AT}[ ]{_NAME}[ ]{_DOT}[ ]",
-    rf"\b{_DIGIT}(?:[ -]{_DIGIT}\b){{2}}", rf"(?:[0-9]|\b{_DIGIT})[ ]{_DOT}[ ](?:[0-9]|{_DIGIT}\b)", r"\b(?i:plus)[ ][0-9]")))
 
 
 def luhn(digits: str) -> bool:
@@ -109,9 +106,10 @@ class Normalised:
         self.origin: list[tuple[int, int, bool]] = []  # its source span; whether it was rewritten
         self.size = 0
         done = 0
+        self.rewritten = False
         for m in RULES.finditer(source):
             self._add(source[done:m.start()], done, m.start(), False)
-            done = m.end()
+            done, self.rewritten = m.end(), True
             if m["char"]:
                 self._add(LOOKALIKES.get(m[0], m[0]), m.start(), m.end(), True)
             elif m["at"] or m["bare"]:
@@ -152,9 +150,9 @@ def detect(text: str | None) -> tuple[list[Span], list[Span]]:
     """The base spans and all spans (base and added), each in order of kind and start."""
     text = text or ""
     base = spans_of(text)
-    if not GATE.search(text):
-        return base, base
     copy = Normalised(text)
+    if not copy.rewritten:
+        return base, base
     added = []
     for kind, start, end in spans_of(copy.text):
         a, b, changed = copy.back(start, end)

@@ -250,6 +250,27 @@ def test_plain_text_stays_clean(text):
     assert pii.detect(text) == ([], [])
 
 
+@pytest.mark.parametrize("text, kind, found", [
+    ("mail jane@example dot com please", "email", "jane@example dot com"),
+    ("mail john dot doe@example.com", "email", "john dot doe@example.com"),
+    ("mail jane  at\nexample \tdot com now", "email", "jane  at\nexample \tdot com"),
+    ("mail jane (  at ) example [\ndot\n] com now", "email", "jane (  at ) example [\ndot\n] com"),
+    ("host 10 dot  one dot zero\ndot 7 up", "ip", "10 dot  one dot zero\ndot 7"),
+])
+def test_spelled_dots_beside_a_literal_at_and_runs_of_space(text, kind, found):
+    at = text.index(found)
+    assert (kind, at, at + len(found)) in pii.detect(text)[1]
+
+
+SAID = st.tuples(st.sampled_from(["jane", "10", "one", "plus", ""]), st.sampled_from([" dot ", "@", " at ", "[at]", ".", "  dot\n", " ", "@ "]))
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(SAID.map("".join), min_size=1, max_size=6).map(lambda t: "".join(t) + "com"))
+def test_unrelated_characters_change_no_span(text):
+    assert pii.detect(text) == pii.detect(text + " ; \u2013")
+
+
 def test_long_runs_take_linear_time():
     for t in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "a@" * 100_000, "+1" * 100_000, "one " * 60_000, "( at " * 50_000):
         pii.detect(t)
