@@ -4,8 +4,12 @@ One pass parses every page into blocks of text, each with the hashes of the
 element subtrees around it, and writes them. Spark counts, for every host and
 subtree hash, the distinct page contents that hold it; a subtree found in many
 pages of its host belongs to the site's template, and its blocks go. What is never
-text (scripts, styles, forms) and what names itself as navigation, header, footer,
-sidebar, notice, advert or reader comment goes while parsing.
+text (scripts, styles, forms) and containers that name themselves as navigation,
+header, footer, sidebar, notice, advert or reader comment go while parsing. Such a
+label counts if all of its words say so ("cookie-notice", not "related-work" or
+"no-sidebar"); ids inside an <article> or <main> name topics and count for comments
+only. A labelled container with most of the page's text, or with an article that
+isn't a comment, stays; so do headings and paragraphs. The count decides the rest.
 
 A page's content root is its <article> (outermost ones in page order), else <main>,
 else <body>, else everything. Inside an <article> or <main> plain paragraphs,
@@ -60,6 +64,10 @@ LABELS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "spo
           "aside", "complementary", "contentinfo", "cookie", "cookies", "consent", "gdpr", "notice", "alert", "popup",
           "modal", "newsletter", "subscribe", "signup", "login", "share", "sharing", "social", "related", "recommended",
           "comment", "comments", "disqus", "replies", "pagination", "pager", "search", "toolbar", "widget", "skip"}
+COMMENTS = {"comment", "comments", "disqus", "replies"}
+# Words that say no more than that a label's element is a box.
+FRAME = {"area", "bar", "block", "box", "container", "list", "section", "thread", "wrap", "wrapper"}
+CONTAINERS = {"ul", "ol", "li", "dl", "table"}  # of FLOW, those that a label can drop
 LABEL_WORD = re.compile(r"[a-z]+|[A-Z][a-z]*|[0-9]+")
 SPACE = re.compile(r"\s+")
 
@@ -68,11 +76,29 @@ def _hash(s: str) -> int:
     return xxhash.xxh64_intdigest(s.encode("utf-8", "replace"), 7) - (1 << 63)
 
 
+NOTHING: frozenset = frozenset()
+
+
+def _says(attrs, names: Sequence[str]) -> frozenset:
+    """The words of LABELS in those whole labels that hold no others."""
+    out: set[str] = set()
+    for k, v in attrs:
+        if k in names and v:
+            for label in v.split():
+                words = {w.lower() for w in LABEL_WORD.findall(label)}
+                if words <= LABELS | FRAME:
+                    out |= words & LABELS
+    return frozenset(out)
+
+
 class Node:
-    __slots__ = ("tag", "label", "children", "hash", "counted", "holds")
+    __slots__ = ("tag", "label", "children", "hash", "counted", "holds", "says", "says_inside", "off", "size")
 
-    def __init__(self, tag: str, label: str = ""):
+    def __init__(self, tag: str, label: str = "", says: frozenset = NOTHING, says_inside: frozenset = NOTHING, off: bool = False):
         self.tag, self.label, self.children, self.hash, self.counted, self.holds = tag, label, [], 0, False, False
+        self.says, self.says_inside = says, says_inside  # label words by class, id and role; those that count inside an article
+        self.off = off or tag in ("aside", "nav") or bool(says & COMMENTS)
+        self.size = 0  # characters of text without what goes by its element
 
 
 class Tree(HTMLParser):
@@ -96,9 +122,11 @@ class Tree(HTMLParser):
             if t in SCOPE:
                 break
             depth -= 1
-        node = Node(tag, " ".join(v for k, v in attrs if k in ("class", "id", "role") and v))
+        says = _says(attrs, ("class", "id", "role"))
+        node = Node(tag, " ".join(v for k, v in attrs if k in ("class", "id", "role") and v), says,
+                    says and _says(attrs, ("class", "role")) | (says & COMMENTS), self.open[-1].off)
         self.open[-1].children.append(node)
-        if tag in ("article", "main"):
+        if tag in ("article", "main") and not node.off:
             for n in self.open:
                 n.holds = True  # a label such as "with-sidebar" doesn't drop the content
         if tag not in VOID:
@@ -121,22 +149,47 @@ class Tree(HTMLParser):
         self.open[-1].children.append(data)
 
 
-def unwanted(node: Node) -> bool:
-    return node.tag in DROPPED or bool(node.label) and any(
-        w.lower() in LABELS for w in LABEL_WORD.findall(node.label))
+def dropped(node: Node) -> bool:
+    return node.tag in DROPPED and (not node.holds or node.tag in ("aside", "nav"))
+
+
+def sized(root: Node) -> None:
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo += [c for c in node.children if not isinstance(c, str)]
+    for node in reversed(order):
+        if not dropped(node):
+            node.size = sum(len(c.strip()) if isinstance(c, str) else c.size for c in node.children)
+
+
+def unwanted(node: Node, inside: bool, total: int) -> bool:
+    """Whether it goes from a page of ``total`` characters; ``inside`` an article or main."""
+    if dropped(node):
+        return True
+    if node.tag in FLOW and node.tag not in CONTAINERS or node.tag in ("html", "body", "main"):
+        return False
+    says = node.says_inside if inside else node.says
+    if says & COMMENTS:  # often longer than the article
+        return not node.holds and node.size < total
+    return bool(says) and not node.holds and node.tag != "article" and 2 * node.size <= total
 
 
 def prune(root: Node) -> list[Node]:
     """Drop what is unwanted; return the content roots: an iterative walk, as pages
     can nest deeper than Python's stack."""
-    todo, articles, mains, bodies = [(root, False)], [], [], []
+    sized(root)
+    # below an article; below an article or main
+    todo, articles, mains, bodies = [(root, False, False)], [], [], []
     while todo:
-        node, inside = todo.pop()
+        node, inside, text = todo.pop()
+        text = text or node.tag in ("article", "main")
         keep = []
         for c in node.children:
             if isinstance(c, str):
                 keep.append(c)
-            elif not unwanted(c) or c.holds or c.tag in ("html", "body", "article", "main"):
+            elif not unwanted(c, text, root.size):
                 keep.append(c)
         node.children = keep
         if node.tag == "article" and not inside:
@@ -146,7 +199,7 @@ def prune(root: Node) -> list[Node]:
         elif node.tag == "body":
             bodies.append(node)
         inside = inside or node.tag == "article"
-        todo += [(c, inside) for c in reversed(keep) if not isinstance(c, str)]
+        todo += [(c, inside, text) for c in reversed(keep) if not isinstance(c, str)]
     return articles or mains[:1] or bodies or [root]
 
 

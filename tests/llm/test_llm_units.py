@@ -297,6 +297,25 @@ def test_html_keeps_the_article_alone():
     assert text_of("<div>" * 5000 + "deep") == "deep"
 
 
+@pytest.mark.parametrize("part", ["<h2 id='related-work'>k</h2>", "<p id='notice-period'>k</p>", "<section id='search'><p>k</p></section>",
+                                  "<div class='share-price'>k</div>", "<p class='notice'>k</p>"])
+def test_html_keeps_parts_of_an_article_with_telling_names(part):
+    assert text_of(f"<article><p>a long first part</p>{part}<p>b</p></article>") == "a long first part k b"
+
+
+@pytest.mark.parametrize("wrapper", ["class='no-sidebar'", "class='has-header'", "id='page' class='with-menu'", "class='header'"])
+def test_html_keeps_a_wrapper_of_the_text(wrapper):
+    assert text_of(f"<body><div {wrapper}><p>the whole text</p><div class='cookie-notice'>c</div></div></body>") == "the whole text"
+
+
+@pytest.mark.parametrize("extra", ["<section class='comments'><article class='comment'><p>a reply longer than the story</p></article></section>",
+                                   "<aside><article>teaser</article></aside>", "<nav><article>teaser</article></nav>",
+                                   "<article class='comment'>c</article>", "<div id='comment-list'><article>c</article></div>"])
+def test_html_does_not_keep_comments_and_teasers_as_articles(extra):
+    assert text_of(f"<body><article><p>story</p></article>{extra}</body>") == "story"
+    assert text_of(f"<body><article><p>story</p>{extra}</article></body>") == "story"
+
+
 def test_html_hashes_only_what_may_be_a_template():
     plain, _ = html_text.blocks("<article><p>a</p><div><p>b</p></div><p class=x>c</p></article>")
     assert [(s, len(h)) for s, h in plain] == [("a", 0), ("b", 1), ("c", 1)]
