@@ -43,6 +43,39 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Stages:
+    """Written stages of one operator call, removed as soon as they are of no more use.
+
+    A stage may be removed only if nothing that is still to run reads it."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        path = stage_path(self.spark, name)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (out, path)
+        return out
+
+    def remove(self, df: DataFrame) -> None:
+        found = self.paths.pop(id(df), None)
+        if found:
+            remove_path(self.spark, found[1])
+
+    def remove_all_but(self, *kept: DataFrame) -> None:
+        for key, (df, _) in list(self.paths.items()):
+            if not any(df is k for k in kept):
+                self.remove(df)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this package wrote, by Hadoop's file systems as Spark does."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def text_of(column: str) -> Column:
     """The text; a null counts as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -14,8 +14,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit, byte_bpe, elias_fano, html_text, language_id, pii, quality_rules, simhash, top_k, url_rules
-from .common import prepare, stage_path
+from . import (best_fit, byte_bpe, elias_fano, html_text, language_id, neighbours, periodic_runs, pii, quality_rules, simhash,
+               spelling, top_k, url_rules)
+from .common import prepare, stage_path, words_of
 
 
 def tokenizer_path(name: str) -> str:
@@ -113,6 +114,46 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def misspelt(doc_id: str, run: str) -> str:
+    """The contract's misspelling: one run of a document in 97 lacks a code point."""
+    h = zlib.crc32(run.encode(), zlib.crc32(f"{doc_id}:".encode()))
+    i = h % len(run)
+    return run if h % 97 else run[:i] + run[i + 1:]
+
+
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(table(spark, sf_dir, "documents"), min_chars=5, min_count=3, respell=misspelt)
+    return spelling.variants(words, ratio=2)
+
+
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): the contract's repetition of a stretch of every tenth document."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, n = F.floor(h / 10), F.size("words")
+    a = F.col("g") % n
+    cut = docs.select("doc_id", "text", g.alias("g"), words_of(F.when(h % 10 == 0, F.col("text"))).alias("words"))
+    cut = cut.withColumns({"a": F.when(n > 0, a), "p": F.when(n > 0, 1 + F.floor((n - a) / (3 + F.col("g") % 8)))})
+    source = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(
+        "words", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    return cut.select("doc_id", F.when(F.col("p").isNotNull(), F.concat_ws(" ", source)).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(repeated_tails(table(spark, sf_dir, "documents"))).select("doc_id", "_found.*")
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    best = F.aggregate("runs", none, lambda top, r: F.when(  # the first of the greatest, as runs come by start and period
+        top.isNull() | (r["length"] * top["period"] > top["length"] * r["period"]), r).otherwise(top))
+    line = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.*",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.concat_ws("", line), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -120,7 +161,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [op1_quality_rules, op2_top_k, op3_language_id, op4_token_files, op5_byte_bpe, op6_best_fit, op7_html_text,
-           op8_pii, op9_url_rules, op10_simhash, pipeline]
+           op8_pii, op9_url_rules, op10_simhash, op11_spelling, op12_neighbours, op13_periodic_runs, pipeline]
     return {f.__name__: f for f in own}
 
 

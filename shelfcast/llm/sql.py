@@ -53,4 +53,52 @@ best AS (SELECT u.*, max_by(h || p, length(h || p)) AS rule, max_by(v, length(h
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM best
 """
 
-ORACLES = {"op1_quality_rules": OP1, "op2_top_k": OP2, "op9_url_rules": OP9}
+OP11 = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+         lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+per_doc AS (SELECT doc_id, run, count(*) AS c, hex(encode(concat(doc_id, ':', run))) AS x FROM runs GROUP BY doc_id, run HAVING length(run) >= 5),
+hashed AS (
+  SELECT run, c, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2),
+             lambda i: 16 * (strpos('0123456789ABCDEF', x[2 * i + 1]) - 1) + strpos('0123456789ABCDEF', x[2 * i + 2]) - 1)),
+             lambda s, b: xor(s >> 8, tab[xor(s & 255, b) + 1])), 4294967295) AS h
+  FROM per_doc, crc),
+spelt AS (SELECT c, CASE WHEN h % 97 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM hashed),
+words AS (SELECT word, sum(c)::BIGINT AS n FROM spelt WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+cut AS (SELECT word, i, word[:i - 1] || word[i + 1:] AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT cut.word, words.word AS other FROM cut JOIN words ON words.word = rest
+  UNION SELECT words.word, cut.word FROM cut JOIN words ON words.word = rest
+  UNION SELECT a.word, b.word FROM cut a JOIN cut b USING (i, rest) WHERE a.word <> b.word),
+judged AS (
+  SELECT word, w.n, coalesce(x.n_near, 0) AS n_near, CASE WHEN x.top >= 2 * w.n THEN x.form END AS form,
+         CASE WHEN x.top >= 2 * w.n THEN x.top END AS form_n
+  FROM words w LEFT JOIN (
+    SELECT near.word, count(*) AS n_near, max(o.n) AS top, min(other) FILTER (o.n = m.n) AS form
+    FROM near JOIN words o ON o.word = other
+    JOIN (SELECT near.word, max(n) AS n FROM near JOIN words ON words.word = other GROUP BY near.word) m ON m.word = near.word
+    GROUP BY near.word) x USING (word)),
+follow AS (
+  SELECT word, word AS at, form AS next FROM judged
+  UNION ALL SELECT follow.word, judged.word, judged.form FROM follow JOIN judged ON judged.word = follow.next)
+SELECT judged.word, form, follow.at AS root, n, n_near, form_n FROM judged JOIN follow ON follow.word = judged.word AND follow.next IS NULL
+"""
+
+OP12 = """
+WITH RECURSIVE r AS (SELECT row_number() OVER () AS k, vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+u AS (SELECT k, vec_id, v FROM r WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (SELECT a.k AS a, b.k AS b, b.vec_id AS id FROM u a JOIN u b ON a.k <> b.k AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reach AS (SELECT a, b, id FROM links UNION SELECT reach.a, links.b, links.id FROM reach JOIN links ON links.a = reach.b),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+c AS (SELECT a, min(id) AS id FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, coalesce(least(vec_id, c.id), c.id) AS component_id,
+       vec_id IS NOT DISTINCT FROM coalesce(least(vec_id, c.id), c.id) AS kept
+FROM r LEFT JOIN n ON n.a = r.k LEFT JOIN c ON c.a = r.k
+"""
+
+ORACLES = {"op1_quality_rules": OP1, "op2_top_k": OP2, "op9_url_rules": OP9, "op11_spelling": OP11,
+           "op12_neighbours": OP12}
