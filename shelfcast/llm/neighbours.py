@@ -16,9 +16,9 @@ that have nothing near take no part. Rounds go on until less than one in a hundr
 list entries changes.
 
 Saturation: a list full of threshold edges may lack some, so it is enlarged without
-limit: the node goes through one of its neighbours, the one that comes first in the
-round's random order, so that the nodes of a dense group choose the same few, and is
-compared with that neighbour's whole list and with all who chose it. The groups are
+limit: the node goes through ``CHOICES`` of its neighbours, those that come first in random
+orders of the round, so that the nodes of a dense group choose the same few, and is
+compared with their whole lists and with all who chose them. The groups are
 cut into tiles of bounded size. Rounds go on until they find less than one in a
 thousand edges more; every round doubles what a list reaches, so they are few.
 
@@ -55,6 +55,7 @@ TILE = 2048       # nodes of a side of a tile
 HUB = 256         # backward neighbours of a node that meet in one group
 BITS = 48         # projections of a starting sort
 SORTS = 6
+CHOICES = 4       # neighbours through which a saturated list is enlarged in a round
 EDGE = "a bigint, b bigint, sim double"
 
 
@@ -225,12 +226,12 @@ def _crossed(dtype: str, threshold: float):
 
 def _enlarged(edges: DataFrame, full: DataFrame, nodes: DataFrame, dtype: str, threshold: float, seed: int,
               stages: Stages) -> DataFrame:
-    """Edges between each node of ``full`` and what its chosen neighbour links to."""
+    """Edges between each node of ``full`` and what its chosen neighbours link to."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    order = F.xxhash64(F.lit(seed), "b")
     itself = full.select("a", F.col("a").alias("b"))
-    chosen = stages.written(both.join(full, "a", "left_semi").union(itself).groupBy("a")
-                            .agg(F.min(F.struct(order.alias("o"), "b")).alias("m")).select("a", F.col("m.b").alias("at")),
+    first = [F.min_by("b", F.xxhash64(F.lit(CHOICES * seed + i), "b")).alias(f"c{i}") for i in range(CHOICES)]
+    chosen = stages.written(both.join(full, "a", "left_semi").union(itself).groupBy("a").agg(*first)
+                            .select("a", F.explode(F.array_distinct(F.array(*[f"c{i}" for i in range(CHOICES)]))).alias("at")),
                             "neighbours-chosen")
     middle = chosen.groupBy("at").agg(F.count("*").alias("asking"))
     listed = both.select(F.col("a").alias("at"), F.col("b").alias("a")).join(middle.select("at"), "at", "left_semi")
