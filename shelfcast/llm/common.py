@@ -16,8 +16,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Arrow batches are bounded by rows and bytes: texts can be very long.
 BATCH_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
+# Row groups are buffered whole by every writing task, and rows may hold long texts.
+ROW_GROUP = 32 << 20
 
 
 def prepare(spark: SparkSession) -> None:
@@ -39,7 +41,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     executor costs no more than the tasks that ran on it, and the optimizer
     knows the size of what it joins."""
     path = stage_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -54,7 +56,7 @@ class Stages:
 
     def written(self, df: DataFrame, name: str) -> DataFrame:
         path = stage_path(self.spark, name)
-        df.write.parquet(path)
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = (out, path)
         return out

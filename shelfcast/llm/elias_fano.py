@@ -35,6 +35,7 @@ from .tokens import chunk_tokenizer
 MAGIC = 0x31304B5446453031
 SAMPLE = 64  # ones of the bit vector a directory entry
 FILE_TOKENS = 4_000_000
+READ_DOCS = 4096
 POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
@@ -75,17 +76,30 @@ class EliasFano:
         position = byte * 8 + (head & -head).bit_length() - 1
         return (position - i) << self.low_bits | self._low(i)
 
+    def select_range(self, first: int, last: int) -> np.ndarray:
+        """The values from the first-th to the one before the last-th: one select by the
+        directory, then a scan of the bit vector up to the range's end."""
+        if not 0 <= first <= last <= self.n:
+            raise IndexError((first, last))
+        start = int(self.directory[first // SAMPLE]) >> 3 if first < last else 0
+        after = -(-last // SAMPLE)
+        stop = (int(self.directory[after]) >> 3) + 1 if after < len(self.directory) else len(self.high)
+        ones = np.flatnonzero(np.unpackbits(self.high[start:stop], bitorder="little")) + start * 8
+        # ones before the sampled one may share its byte
+        skip = int(np.searchsorted(ones, int(self.directory[first // SAMPLE]))) + first % SAMPLE if first < last else 0
+        ones = ones[skip:skip + last - first]
+        at, width = first * self.low_bits, (last - first) * self.low_bits
+        bits = np.unpackbits(self.low[at >> 3:(at + width + 7) >> 3], bitorder="little")[at & 7:(at & 7) + width]
+        low = (bits.reshape(last - first, self.low_bits).astype(np.int64) << np.arange(self.low_bits)).sum(1)
+        return ((ones - np.arange(first, last)) << self.low_bits) | low
+
     def _low(self, i: int) -> int:
         first, bits = i * self.low_bits, self.low_bits
         chunk = self.low[first >> 3:(first + bits + 7) >> 3]
         return int.from_bytes(chunk.tobytes(), "little") >> (first & 7) & ((1 << bits) - 1)
 
     def all(self) -> np.ndarray:
-        """Every value, by one select over the whole bit vector."""
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:self.n]
-        bits = np.unpackbits(self.low, count=self.n * self.low_bits, bitorder="little").reshape(self.n, self.low_bits)
-        low = (bits.astype(np.int64) << np.arange(self.low_bits)).sum(1)
-        return ((ones - np.arange(self.n)) << self.low_bits) | low
+        return self.select_range(0, self.n)
 
 
 class TokenFile:
@@ -141,8 +155,16 @@ def write_files(docs: DataFrame, tokenizer_path: str, end_id: int, text: str = "
                .sortWithinPartitions(F.asc_nulls_first("doc_id"), "text"))
     manifest = written(ordered.mapInArrow(
         _writer(uri, tokenizer_path, end_id), "part int, seq int, path string, n_docs long, n_tokens long"), "token-manifest")
-    before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    return manifest.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).cast("long"))
+    # running sums in two steps: files within a part, and parts, of which there are as many as tasks wrote
+    before = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    totals = {r["part"]: r["n"] for r in manifest.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()}
+    offset, offsets = 0, []
+    for part in sorted(totals):
+        offsets.append((part, offset))
+        offset += totals[part]
+    parts = F.broadcast(docs.sparkSession.createDataFrame(offsets, "part int, _offset long"))
+    return manifest.join(parts, "part").withColumn(
+        "start", F.col("_offset") + F.coalesce(F.sum("n_tokens").over(before), F.lit(0))).drop("_offset")
 
 
 def _writer(uri: str, tokenizer_path: str, end_id: int):
@@ -186,11 +208,13 @@ def read_files(manifest: DataFrame, uri: str, per_document, schema: str) -> Data
             for path, start in zip(pdf["path"], pdf["start"]):
                 with _store(uri)[0].open_input_file(path) as f:
                     file = TokenFile(f.read())
-                ends = file.ends.all()
-                begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-                for i in range(0, file.n, 4096):
-                    out = [per_document(None if file.nulls[j] else int(file.doc_ids[j]), int(start) + int(begins[j]),
-                                        file.array[begins[j]:ends[j]]) for j in range(i, min(i + 4096, file.n))]
+                begin = 0
+                for i in range(0, file.n, READ_DOCS):  # offsets of a few documents at once, never a table of all
+                    ends = file.ends.select_range(i, min(i + READ_DOCS, file.n))
+                    begins = np.concatenate([[begin], ends[:-1]])
+                    begin = int(ends[-1])
+                    out = [per_document(None if file.nulls[i + j] else int(file.doc_ids[i + j]), int(start) + int(a),
+                                        file.array[a:b]) for j, (a, b) in enumerate(zip(begins.tolist(), ends.tolist()))]
                     yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
     n = shuffle_partitions(manifest.sparkSession)
     return manifest.select("path", "start").repartition(n).mapInPandas(run, schema)

@@ -1,12 +1,15 @@
 """Language identification by words first, backing off to character n-grams.
 
 Training counts words and the character n-grams (4 down to 1, words marked by a
-blank at both ends) of a bounded sample of labelled rows: ``sample_docs`` rows in
-expectation, taken by a hash of the id, so the sample doesn't depend on the order
-or the partitions of the table. Spark counts; the model keeps the ``max_words``
-most frequent (language, word) rows and as many n-gram rows, which bounds what
-reaches the driver and the tasks. The classifier alone is fitted on a sample;
-every row of the table is classified, over its whole text.
+blank at both ends) of a bounded sample of labelled rows of every language:
+``sample_docs`` rows a language in expectation, taken by a hash of the id, so the
+sample doesn't depend on the order or the partitions of the table, and a language
+with few rows keeps all of them. Spark counts. The model keeps each language's
+``max_words`` most frequent words and as many n-grams, with their counts in all
+languages, so a kept word has a true count in each; that bounds what reaches the
+driver and the tasks by the number of languages. Every language is kept. The
+classifier alone is fitted on a sample; every row of the table is classified, over
+its whole text.
 
 A known word scores its log frequency in every language. An unknown one scores
 the mean log frequency of its known n-grams of the greatest length that has any.
@@ -27,14 +30,15 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 LONGEST = 4
-MEMO_WORDS = 200_000
+MEMO_BYTES = 32 << 20
+MEMO_ENTRY = 250  # bytes of a word and its place, besides its numbers
 SMOOTHING = 0.5
 
 
@@ -62,7 +66,7 @@ class Model:
                 if known:
                     v = self.table[known].mean(0)
                     break
-            if len(self.memo) > MEMO_WORDS:
+            if len(self.memo) * (8 * len(v) + MEMO_ENTRY) > MEMO_BYTES:
                 self.memo.clear()
             self.memo[word] = v
         return v
@@ -87,21 +91,19 @@ class Model:
 
 
 def train(docs: DataFrame, usable: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
-          sample_docs: int = 20_000, max_words: int = 60_000, max_languages: int = 200) -> Model:
+          sample_docs: int = 5_000, max_words: int = 15_000) -> Model:
     """Fit on rows where ``usable`` holds and text and label aren't null."""
     rows = docs.where(usable & F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(doc_id).alias("doc_id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    n = sum(r["count"] for r in sizes)
-    step = max(1, -(-n // sample_docs))
-    sample = rows.where(F.col("lang").isin([r["lang"] for r in sizes])
-                        & (F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(step)) == 0)) if n else rows.limit(0)
+    sizes = rows.groupBy("lang").count().withColumn("step", F.ceil(F.col("count") / sample_docs)).select("lang", "step")
+    sample = rows.join(written(sizes, "language-sizes"), "lang").where(
+        F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.col("step")) == 0)
     counts = written(sample.select("lang", "text").mapInPandas(_counted, "lang string, n int, gram string, c long")
                      .groupBy("lang", "n", "gram").agg(F.sum("c").alias("c")), "language-counts")
     totals = counts.groupBy("lang", "n").agg(F.sum("c").alias("total"), F.count("*").alias("types"))
-    kept = (counts.where("n = 0").orderBy(F.desc("c"), "gram", "lang").limit(max_words)
-            .union(counts.where("n > 0").orderBy(F.desc("c"), "gram", "lang").limit(max_words)))
-    return _model(kept.collect(), totals.collect())
+    place = F.row_number().over(Window.partitionBy("lang", F.col("n") > 0).orderBy(F.desc("c"), "n", "gram"))
+    grams = counts.withColumn("place", place).where(F.col("place") <= max_words).select("n", "gram").distinct()
+    return _model(counts.join(grams, ["n", "gram"]).collect(), totals.collect())
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -122,7 +124,7 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _model(kept, totals) -> Model:
-    languages = sorted({r["lang"] for r in kept})
+    languages = sorted({r["lang"] for r in totals})
     at = {lang: i for i, lang in enumerate(languages)}
     words: dict[str, int] = {}
     by_length: dict[int, dict[str, int]] = defaultdict(dict)

@@ -16,6 +16,7 @@ column whose name is one of the result's is replaced by the result's.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -58,12 +59,14 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", keep: Sequence[str] = ("doc_id",),
-                  min_words: int = 50, max_repeat_pct: int = 50, max_host_rate: float = 0.9) -> DataFrame:
+                  min_words: int = 50, max_repeat_pct: int = 50, least_limit: float = 0.5, deviations: float = 3.0) -> DataFrame:
     """The ``keep`` columns, the five measures, ``base_failed`` (too few words, or
     too many in repeated windows), ``any_failed`` (that, or over 10 symbols per 100
     words, or over 30 repeated lines per 100 words, or a mean word length outside
     2 to 15), ``host_rate`` (the host's shrunk rate of ``any_failed``) and ``kept``:
-    false if ``base_failed`` or ``host_rate > max_host_rate``."""
+    false if ``base_failed`` or the host's rate is over the limit. The limit lies
+    ``deviations`` standard deviations of the prior above its mean, and at
+    ``least_limit`` or more: most documents of a rejected host fail a rule."""
     clash = {c.lower() for c in RESULT}
     carried = [c for c in keep if c.lower() not in clash]
     m = measured(docs.select(F.col(host).alias("_host"), F.col(text).alias("_text"),
@@ -78,10 +81,12 @@ def quality_rules(docs: DataFrame, text: str = "text", host: str = "source", kee
     hosts = written(rows.groupBy("_host").agg(
         F.count("*").alias("_n"), F.sum(F.col("any_failed").cast("long")).alias("_f")), "quality-hosts")
     alpha, beta = beta_prior(hosts)
+    mean = alpha / (alpha + beta)
+    limit = max(least_limit, mean + deviations * math.sqrt(mean * (1 - mean) / (alpha + beta + 1)))
     rates = hosts.select(F.col("_host").alias("_h"), ((F.col("_f") + alpha) / (F.col("_n") + alpha + beta)).alias("host_rate"))
     out = rows.join(rates, F.col("_host").eqNullSafe(F.col("_h")), "left")
     return out.select(*[F.col("_in")[c].alias(c) for c in carried], *MEASURES, "base_failed", "any_failed", "host_rate",
-                      (~F.col("base_failed") & (F.col("host_rate") <= max_host_rate)).alias("kept"))
+                      (~F.col("base_failed") & (F.col("host_rate") <= limit)).alias("kept"))
 
 
 def beta_prior(hosts: DataFrame) -> tuple[float, float]:

@@ -210,13 +210,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 4,
                 max_bits: int = 4) -> DataFrame:
     """One row of ``docs`` for each component: of its smallest doc_id (null if it has no
-    other), then of its smallest fingerprint, then by a hash of the row."""
-    rows = written(with_fingerprints(docs, text, doc_id, shingle), "simhash-fingerprints")
-    first = F.min(F.struct(F.col("least").isNull().alias("none"), F.coalesce("least", F.lit(0)).alias("id"), "fp"))
-    stay = written(_labelled(rows, max_bits).groupBy("label").agg(first.alias("_s")).select(
-        F.col("_s.fp").alias("_fp"), F.col("_s.none").alias("_none"), F.col("_s.id").alias("_id")), "simhash-stay")
-    keys = ["_fp", "_none", "_id"]
-    number = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*docs.columns)))
+    other), then by a hash of the row. Fingerprints are computed once and the texts
+    shuffled once, to the chosen (doc_id, hash of the row)."""
     own = F.col(doc_id).cast("long")
-    return (docs.withColumns({"_fp": _fingerprints(shingle)(F.col(text)), "_none": own.isNull(), "_id": F.coalesce(own, F.lit(0))})
-            .join(stay, keys).withColumn("_n", number).where("_n = 1").select(*docs.columns))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    row = F.xxhash64(*columns, *[c.isNull() for c in columns])  # a null leaves a hash as it is
+    key = [own.isNull().alias("none"), F.coalesce(own, F.lit(0)).alias("id"), row.alias("row")]
+    rows = written(docs.select(own.alias("doc_id"), *key, _fingerprints(shingle)(F.col(text)).alias("fp")), "simhash-fingerprints")
+    chosen = (rows.join(_labelled(rows, max_bits).select("fp", "label"), "fp").groupBy("label")
+              .agg(F.min(F.struct("none", "id", "row")).alias("k")).select("k.*").distinct())
+    stay = written(chosen, "simhash-stay")
+    found = docs.select(F.struct(*columns).alias("doc"), *key).join(stay, ["none", "id", "row"])
+    alike = F.row_number().over(Window.partitionBy("none", "id", "row").orderBy("row"))
+    return found.withColumn("alike", alike).where("alike = 1").select("doc.*")

@@ -25,9 +25,9 @@ judged AS (
 hosts AS (SELECT source, count(*) AS n, count(*) FILTER (any_failed) AS f FROM judged GROUP BY source),
 moments AS (SELECT avg(f / n) AS m, var_pop(f / n) AS v FROM hosts),
 prior AS (SELECT m, least(greatest(CASE WHEN v > 0 THEN m * (1 - m) / v - 1 ELSE 1e6 END, 1), 1e6) AS k FROM moments),
-rates AS (SELECT source, (f + m * k) / (n + k) AS rate FROM hosts, prior)
+rates AS (SELECT source, (f + m * k) / (n + k) AS rate, greatest(0.5, m + 3 * sqrt(m * (1 - m) / (k + 1))) AS most FROM hosts, prior)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND rate <= 0.9 AS kept
+       NOT base_failed AND rate <= most AS kept
 FROM judged JOIN rates ON judged.source IS NOT DISTINCT FROM rates.source
 """
 

@@ -3,7 +3,8 @@
 A chunk is a run of blanks and newlines with the letters or other characters
 that follow it. Both pre-tokenizers in use end a piece before such a run and
 between a Latin letter and a comma or full stop, so a text's ids are those of
-its chunks in order. A text with any other white space is encoded whole.
+its chunks in order. A text with any other white space, or with the string of a token
+that was added to the vocabulary, is encoded whole.
 """
 from __future__ import annotations
 
@@ -18,7 +19,8 @@ CHUNK = re.compile(r"[ \n]*[a-zA-ZÀ-ÖØ-öø-ÿ]++(?![^ \n,.])|[ \n]*[^ \n]+|[
 OTHER_SPACE = re.compile("[" + "".join(map(chr, [
     9, 11, 12, 13, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), *range(0x2028, 0x2030),
     *range(0x205F, 0x2065), 0x3000, 0xFEFF])) + "]")
-MEMO_CHUNKS = 600_000
+MEMO_BYTES = 80 << 20  # of chunks, their ids and the table itself
+ENTRY_BYTES = 150
 # A chunk of Latin letters after at most one blank is one piece. The memo asks the
 # library's model for its merges directly, which costs a fraction of a whole call;
 # the piece's characters are those by which a byte-level vocabulary writes bytes.
@@ -45,13 +47,23 @@ class Memo(dict):
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
+        self.size = 0
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self.encode(chunk)
         if len(chunk) <= 64:
             self[chunk] = ids
+            self.size += ENTRY_BYTES + len(chunk) + len(ids)
         return ids
 
+    def trim(self, limit: int) -> None:
+        """Over ``limit`` bytes, keep the shorter half, which recurs most."""
+        if self.size > limit:
+            half = sorted(map(len, self))[len(self) // 2]
+            for k in [k for k in self if len(k) >= half]:
+                del self[k]
+            self.size = sum(ENTRY_BYTES + len(k) + len(v) for k, v in self.items())
+
 
 class ChunkTokenizer:
     """Ids of whole texts as little-endian bytes of ``width`` bytes an id."""
@@ -60,7 +72,7 @@ class ChunkTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
         self.code = "H" if self.width == 2 else "I"
@@ -84,10 +96,7 @@ class ChunkTokenizer:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """A null text counts as empty; an empty text has no ids."""
-        if len(self.memo) > MEMO_CHUNKS:  # keep the shorter ones, which recur most
-            half = sorted(map(len, self.memo))[len(self.memo) // 2]
-            for k in [k for k in self.memo if len(k) >= half]:
-                del self.memo[k]
-        find, known = CHUNK.findall, self.memo.__getitem__
-        return [array(self.code, self._ids(t)).tobytes() if OTHER_SPACE.search(t) else b"".join(map(known, find(t)))
-                for t in (t or "" for t in texts)]
+        self.memo.trim(MEMO_BYTES)
+        find, known, added = CHUNK.findall, self.memo.__getitem__, self.added
+        return [array(self.code, self._ids(t)).tobytes() if OTHER_SPACE.search(t) or any(x in t for x in added)
+                else b"".join(map(known, find(t))) for t in (t or "" for t in texts)]

@@ -15,7 +15,8 @@ from shelfcast.llm.tokens import ChunkTokenizer
 ODD = ["", " ", "\n\n", "a", "don't  stop\t now", "x  y", "été́ naïve, l'été.", "a,b.c , d", "日本語 テキスト",
        "tab\t b\t\t c", "\xa0nbsp　wide", "😀😀 emoji😀", "x" * 3000, "1234 5678,90", "A'S 'll we'll", "end \n", "\x1c\x1d z",
        "<|endoftext|> <|startoftext|>", "İstanbul ΣΑΣ", ", ́x", "a ́b"]
-TEXTS = st.text(alphabet=st.sampled_from("abcéß ,.\n\t'19sltd́\xa0日😀-<|"), max_size=60)
+TEXTS = st.text(alphabet=st.sampled_from("abcéß ,.\n\t'19sltd́\xa0日😀-<|"), max_size=60) | st.lists(
+    st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|", " a word", "\n", "|>", "endoftext"]), max_size=8).map("".join)
 
 
 @pytest.fixture(scope="module")
@@ -56,15 +57,16 @@ def test_very_long_piece(bpe, tiktoken_bpe):
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_chunked_tokenizer_equals_whole_texts(name):
-    t = ChunkTokenizer(tokenizer_path(name))
+    from tokenizers import Tokenizer
+    t, library = ChunkTokenizer(tokenizer_path(name)), Tokenizer.from_file(tokenizer_path(name))
 
     @settings(max_examples=300, deadline=None)
     @given(TEXTS)
     def same(text):
-        assert np.frombuffer(t.encode([text])[0], t.dtype).tolist() == t.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(t.encode([text])[0], t.dtype).tolist() == library.encode(text, add_special_tokens=False).ids
     same()
     for text in ODD:
-        assert np.frombuffer(t.encode([text])[0], t.dtype).tolist() == t.tokenizer.encode(text, add_special_tokens=False).ids, text
+        assert np.frombuffer(t.encode([text])[0], t.dtype).tolist() == library.encode(text, add_special_tokens=False).ids, text
     assert t.encode([None, ""]) == [b"", b""]
 
 
@@ -75,6 +77,9 @@ def test_elias_fano_round_trip(steps):
     e = elias_fano.EliasFano.of(values, int(values[-1]) + 1 if len(values) else 1)
     assert e.all().tolist() == values.tolist()
     assert [e.select(i) for i in range(len(values))] == values.tolist()
+    for a in range(0, len(values) + 1, 37):
+        for b in range(a, len(values) + 1, 41):
+            assert e.select_range(a, b).tolist() == values[a:b].tolist()
     with pytest.raises(IndexError):
         e.select(len(values))
 
