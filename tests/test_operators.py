@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators import (box_summary, describe_by, exact_quantiles, fold_run, guarded_fold, histogram, latest_by, quantile_bins,
                                  skipped_changes, with_global_rank)
-from shelfcast.operators.fold import ewm_state
+from shelfcast.operators import fold
+from shelfcast.operators.fold import blocks_of, ewm_state, stock_function
 
 
 def py_fold(xs, s=0):
@@ -37,30 +38,60 @@ def test_fold_matches_loop(xs, s0):
             assert s >= 0
 
 
-@pytest.mark.parametrize("drift,chunks,step", [(-3, ("day", "minute"), 37), (0, ("day", "minute"), 1), (4, ("day",), 37),
-                                               (-3, ("hour", "minute"), 0), (0, ("month", "day", "hour"), 61)])
-def test_guarded_fold_distributed(spark, drift, chunks, step):
-    """The chunked fold equals a plain loop whatever the chunks; one key holds most
-    rows, over many days, on one day, or all at one time."""
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(-12, 12), max_size=120), st.integers(0, 40), st.integers(1, 60))
+def test_stock_function_equals_the_fold_for_every_entering_stock(xs, s0, most):
+    f = stock_function()
+    for x in xs:
+        f.add(x)
+    table = f.table()
+    assert [int(v) for v in table] == [py_fold(xs, s) for s in range(f.drawdown)]
+    assert all(py_fold(xs, s) == s + f.total for s in range(f.drawdown, f.drawdown + 5))
+    stock, rows = s0, 0
+    for n, total, drawdown, table in blocks_of(np.array(xs, dtype=np.int64), most):
+        assert drawdown <= most or n == 1
+        rows += n
+        stock = stock + total if stock >= drawdown else int(table[stock]) if len(table) else stock
+    assert (stock, rows) == (py_fold(xs, s0), len(xs))
+
+
+@pytest.mark.parametrize("drift,parts,block,step", [(-3, 8, 65_536, 37), (0, 8, 10, 1), (4, 3, 100, 37), (-3, 16, 7, 0), (0, 1, 9, 61)])
+def test_guarded_fold_distributed(spark, monkeypatch, drift, parts, block, step):
+    """The fold equals a plain loop; one key holds most rows and is spread over the
+    partitions, another is NULL."""
+    monkeypatch.setattr(fold, "BLOCK_ROWS", block)
     rng = np.random.default_rng(7 + drift)
     t0 = pd.Timestamp("2024-01-01")
     rows = []
     for t in range(2500):
         k = 0 if rng.random() < 0.6 else int(rng.integers(1, 6))
-        rows.append((k, t0 + pd.Timedelta(minutes=step * t), int(rng.integers(-20, 21)) + drift))
-    df = spark.createDataFrame(pd.DataFrame(rows, columns=["k", "timestamp", "d"]))
+        rows.append((None if k == 5 else k, (t0 + pd.Timedelta(minutes=step * t)).to_pydatetime(), int(rng.integers(-20, 21)) + drift, t))
+    df = spark.createDataFrame(rows, "k long, timestamp timestamp, d int, i int")
+    args = (["k"], ["timestamp", "i"], "d")
     got = {r["k"]: (r["current_stock"], r["skipped"], r["events"], r["last_event_at"])
-           for r in guarded_fold(df, ["k"], ["timestamp", "d"], "d", chunks=chunks).collect()}
-    pdf = pd.DataFrame(rows, columns=["k", "t", "d"]).sort_values(["k", "t", "d"], kind="stable")
-    want = {}
-    for k, g in pdf.groupby("k"):
-        st, applied = fold_run(g["d"].to_numpy(), 0)
-        assert st == py_fold(g["d"].tolist())
-        last = g["t"][applied].max()
-        want[k] = (st, int((~applied).sum()), len(g), None if pd.isna(last) else last.to_pydatetime())
+           for r in guarded_fold(df, *args, num_partitions=parts).collect()}
+    want, gone = {}, []
+    for k in {r[0] for r in rows}:
+        stock, skipped, last, n = 0, 0, None, 0
+        for r in (r for r in rows if r[0] == k):
+            n += 1
+            if stock + r[2] >= 0:
+                stock, last = stock + r[2], r[1]
+            else:
+                skipped += 1
+                gone.append(r)
+        want[k] = (stock, skipped, n, last)
     assert got == want
-    skipped = skipped_changes(df, ["k"], ["timestamp", "d"], "d", chunks=chunks).count()
-    assert skipped == sum(v[1] for v in want.values())
+    assert sorted(map(tuple, skipped_changes(df, *args, num_partitions=parts).collect()), key=str) == sorted(gone, key=str)
+
+
+def test_a_dominant_key_is_spread_over_tasks(spark):
+    df = spark.range(20_000).select(F.lit(1).alias("k"), F.col("id").cast("timestamp").alias("timestamp"),
+                                    F.when(F.col("id") % 3 == 0, 5).otherwise(-4).alias("d"))
+    first, _, _ = fold._folded(df, ["k"], ["timestamp"], "d", "timestamp", 8, None, "state")
+    assert first.where("_rows is not null").select("_part").distinct().count() >= 6
+    r = guarded_fold(df, ["k"], ["timestamp"], "d").first()
+    assert (r["current_stock"], r["events"]) == (py_fold([5 if i % 3 == 0 else -4 for i in range(20_000)]), 20_000)
 
 
 def test_guarded_fold_nulls_and_start(spark):
