@@ -50,6 +50,17 @@ SELECT time_bucket(INTERVAL '1 hour', timestamp) AS window_start,
        count(*) AS events, count(*) / 3600.0 AS events_per_sec
 FROM clickstream GROUP BY 1
 HAVING time_bucket(INTERVAL '1 hour', timestamp) + INTERVAL '1 hour' <= (SELECT t FROM ev_as_of) - INTERVAL '1 hour'""")
+ALL_STREAMS = " UNION ALL ".join(f"SELECT '{t}' AS s, timestamp FROM {v}" for t, v in (
+    ("clickstream_events", "clickstream"), ("inventory_events", "inventory_events"), ("competitor_prices", "competitor_prices")))
+# One watermark for the union: the newest time of all, less the delay.
+q("t8_throughput_by_stream", f"""
+SELECT s AS stream, date_trunc('day', timestamp)::TIMESTAMP AS window_start,
+       date_trunc('day', timestamp)::TIMESTAMP + INTERVAL '1 day' AS window_end, count(*) AS events, count(*) / 86400.0 AS events_per_sec
+FROM ({ALL_STREAMS}) GROUP BY ALL
+HAVING date_trunc('day', timestamp)::TIMESTAMP + INTERVAL '1 day' <=
+       (SELECT max(timestamp) FROM ({ALL_STREAMS})) - INTERVAL '1 day'""")
+q("t10_lake_archive_all", f"""
+SELECT s AS "table", CAST(timestamp AS DATE) AS date, count(*) AS n_rows FROM ({ALL_STREAMS}) GROUP BY ALL""")
 q("t10_stream_lake_archive", "SELECT event_id, event_type, CAST(timestamp AS DATE) AS date FROM clickstream")
 
 # The skipped-change log re-derived with a recursive walk over each key's

@@ -120,14 +120,15 @@ def _t1(d):
     return d.spark.read.parquet(base + "/sizes").drop("b")
 
 
-def _json_landing(d, base, files=4):
-    """``events`` as JSON lines in several files; every 97th line is cut short."""
+def _json_landing(d, base, batches=4):
+    """``events`` as JSON lines in as many files as there are shuffle partitions; every
+    97th line is cut short."""
     ev = load(d.spark, d.data_dir, "events")
+    files = max(batches, int(d.spark.conf.get("spark.sql.shuffle.partitions")))
     line = F.to_json(F.struct(*ev.columns))
     broken = F.when(F.col("event_id") % 97 == 0, F.substring(line, 1, 20)).otherwise(line)
-    ev.select(F.pmod("event_id", F.lit(files)).alias("_f"), broken.alias("value")).repartition(files, "_f") \
-        .drop("_f").write.text(base + "/landing")
-    return streams.parse_events(streams.json_lines_stream(d.spark, base + "/landing", max_files_per_trigger=1), ev.schema)
+    ev.select("event_id", broken.alias("value")).repartition(files, "event_id").drop("event_id").write.text(base + "/landing")
+    return streams.parse_events(streams.json_lines_stream(d.spark, base + "/landing", max_files_per_trigger=-(-files // batches)), ev.schema)
 
 
 @reg("t9_dead_letter_isolation", """
@@ -157,12 +158,12 @@ def _s1_json(d):
     return d.spark.read.parquet(base + "/out")
 
 
-@reg("t1_trigger_files", "SELECT count(DISTINCT event_id % 4) AS n_batches, count(*) AS n_rows FROM events")
+@reg("t1_trigger_files", "SELECT count(DISTINCT CAST(ts AS DATE)) AS n_batches, count(*) AS n_rows FROM events")
 def _t1_files(d):
     """One micro-batch a landed file: the number of batches that had rows, and rows."""
     base = _run_dir(d, "t1f")
-    ev = load(d.spark, d.data_dir, "events").withColumn("f", F.col("event_id") % 4)
-    ev.repartition(1, "f").write.partitionBy("f").parquet(base + "/landing")
+    ev = load(d.spark, d.data_dir, "events").withColumn("day", F.to_date("ts"))
+    ev.repartition("day").write.partitionBy("day").parquet(base + "/landing")  # a file a day
     s = d.spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(base + "/landing")
 
     def sink(batch, batch_id):

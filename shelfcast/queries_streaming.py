@@ -109,23 +109,27 @@ def _s12(d):
 
 
 # ---------------------------------------------------------------- streaming
-def _delivered_twice(d, base, table, files=2):
-    """``table`` as a landing folder of files that hold all of it, each read as a
-    micro-batch: every message of the later ones is a repetition."""
-    for _ in range(files):
-        fixtures.load(d.spark, d.data_dir, table).coalesce(1).write.mode("append").parquet(base + "/landing")
-    schema = fixtures.load(d.spark, d.data_dir, table).schema
-    return d.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(base + "/landing")
-
-
-def _replayed_events(d, base, files=3):
-    """``events`` as a landing folder in which every message lies twice, dealt over
-    files by hash: each micro-batch (one file) has late and repeated messages."""
+def _delivered_twice(d, base, table):
+    """``table`` as a landing folder that holds all of it twice, each delivery read as a
+    micro-batch: every message of the second is a repetition. A delivery keeps the
+    table's own partitions; the source takes files by age."""
+    data = fixtures.load(d.spark, d.data_dir, table)
+    data.write.parquet(base + "/landing")
+    files = len(d.spark.read.parquet(base + "/landing").inputFiles())
+    data.write.mode("append").parquet(base + "/landing")
+    return d.spark.readStream.schema(data.schema).option("maxFilesPerTrigger", files).parquet(base + "/landing")
+
+
+def _replayed_events(d, base, batches=3):
+    """``events`` as a landing folder in which every message lies twice, dealt by hash over
+    as many files as there are shuffle partitions: each micro-batch has late and repeated
+    messages."""
     ev = fixtures.load(d.spark, d.data_dir, "events")
+    files = max(batches, int(d.spark.conf.get("spark.sql.shuffle.partitions")))
     again = ev.withColumn("_f", F.pmod(F.xxhash64("event_id", F.lit(1)), F.lit(files)))
     both = ev.withColumn("_f", F.pmod(F.xxhash64("event_id"), F.lit(files))).unionByName(again)
     both.repartition(files, "_f").drop("_f").write.parquet(base + "/landing")
-    s = d.spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(base + "/landing")
+    s = d.spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", -(-files // batches)).parquet(base + "/landing")
     return fixtures.clickstream_from(s)
 
 
@@ -223,6 +227,36 @@ def _t10(d):
     return d.spark.read.parquet(base + "/lake").select("event_id", "event_type", "date")
 
 
+def _three_streams(d):
+    part = fixtures.load(d.spark, d.data_dir, "part")
+    lines = lambda: streams.table_stream(d.spark, d.data_dir, "lineitem")  # noqa: E731  (one source a stream)
+    return {"clickstream_events": fixtures.clickstream_from(streams.table_stream(d.spark, d.data_dir, "events")),
+            "inventory_events": fixtures.inventory_events_from(lines()),
+            "competitor_prices": fixtures.competitor_prices_from(lines(), part)}
+
+
+@register("t8_throughput_by_stream")
+def _t8_all(d):
+    """Throughput of all three streams, one query."""
+    base = _run_dir(d, "t8a")
+    out = jobs.throughput(jobs.named_streams(_three_streams(d)), window="1 day", seconds=86400.0, delay="1 day", by=["stream"])
+    _await(jobs.start(out, base + "/ckpt", trigger=AVAILABLE_NOW, fmt="parquet", path=base + "/out"))
+    return _ntz(d.spark.read.parquet(base + "/out"), "window_start", "window_end")
+
+
+@register("t10_lake_archive_all")
+def _t10_all(d):
+    """Each of the three streams into its own table of the lake, by date: rows a table and date."""
+    base = _run_dir(d, "t10a")
+    out = None
+    for name, s in _three_streams(d).items():
+        _await(jobs.start(s.withColumn("date", F.to_date("timestamp")).repartition("date"), f"{base}/ckpt/{name}", trigger=AVAILABLE_NOW,
+                          fmt="parquet", path=f"{base}/lake/{name}", partition_by=["date"]))
+        one = d.spark.read.parquet(f"{base}/lake/{name}").groupBy(F.lit(name).alias("table"), "date").agg(F.count("*").alias("n_rows"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @register("t11_skipped_stock_changes")
 def _t11(d):
     return skipped_stock_changes(d.inventory_events()).select(

@@ -9,11 +9,12 @@ replaces what it wrote before.
 """
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
@@ -60,54 +61,116 @@ def start(df: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None]
 # ---------------------------------------------------------------- snapshots
 
 class Snapshot:
-    """Versioned Parquet snapshot of a keyed table: ``<path>/snapshot_version=<batch_id>``.
+    """A keyed table kept by the batches of a stream, in ``buckets`` by a hash of its keys.
 
-    A version only becomes visible once its write job committed, so a batch
-    that failed half-way leaves nothing behind and is simply redone.
-    """
+    A batch rewrites the buckets that hold its keys and no others
+    (``<path>/data/v=<batch_id>/_bucket=<n>``) and then publishes, under its number and
+    as its last step, which version of each bucket counts
+    (``<path>/_versions/<batch_id>.json``). A batch that failed half-way leaves nothing
+    visible; a replayed one starts from the versions before it and replaces its own.
+    Versions that neither the newest nor the one before it names are removed, so the
+    table takes at most twice its size plus what a batch writes."""
+
+    BUCKET = "_bucket"
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 32):
+        self.spark, self.path, self.buckets = spark, path, buckets
 
-    VERSION = "snapshot_version"
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def _published(self) -> list[int]:
+        fs, p = self._fs(f"{self.path}/_versions")
+        names = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json"))
 
-    def _all(self) -> DataFrame | None:
+    def _pointer(self, version: int) -> dict:
+        fs, p = self._fs(f"{self.path}/_versions/{version:020d}.json")
+        stream = fs.open(p)
         try:
-            return self.spark.read.parquet(self.path)
-        except AnalysisException:
-            return None
+            return json.loads(bytes(stream.readAllBytes()))
+        finally:
+            stream.close()
+
+    def _before(self, batch_id: int | None) -> dict | None:
+        ids = [i for i in self._published() if batch_id is None or i < batch_id]
+        return self._pointer(ids[-1]) if ids else None
+
+    def _folder(self, bucket: str, version: int) -> str:
+        return f"{self.path}/data/v={version}/{self.BUCKET}={bucket}"
+
+    def _rows(self, pointer: dict, buckets: Sequence[str]) -> DataFrame | None:
+        folders = [self._folder(b, pointer["buckets"][b]) for b in buckets if b in pointer["buckets"]]
+        schema = StructType.fromJson(pointer["schema"])
+        return self.spark.read.schema(schema).parquet(*folders) if folders else None
 
     def read(self, before: int | None = None) -> DataFrame | None:
-        df = self._all()
-        if df is None:
-            return None
-        if before is not None:
-            df = df.filter(F.col(self.VERSION) < before)
-        last = df.agg(F.max(self.VERSION)).first()[0]  # one scalar: the newest committed version
-        if last is None:
-            return None
-        return df.filter(F.col(self.VERSION) == last).drop(self.VERSION)
+        """The whole table as of the newest batch (before batch ``before``), or None."""
+        pointer = self._before(before)
+        return None if pointer is None else self._rows(pointer, list(pointer["buckets"]))
+
+    def merge(self, batch: DataFrame, batch_id: int, keys: Sequence[str],
+              merged: Callable[[DataFrame | None, DataFrame], DataFrame]) -> list[str]:
+        """Replace the buckets of ``batch``'s keys by ``merged(kept rows of them, batch)``;
+        returns those buckets."""
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
+        touched = [str(r[0]) for r in batch.select(bucket).distinct().collect()]  # at most ``buckets`` numbers
+        before = self._before(batch_id)
+        new = merged(None if before is None else self._rows(before, touched), batch)
+        self._publish(new, bucket, touched, before, batch_id)
+        return touched
 
     def write(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(os.path.join(self.path, f"{self.VERSION}={batch_id}"))
+        """Replace the whole table."""
+        self._publish(df, F.lit(0), ["0"], None, batch_id)
+
+    def _publish(self, new: DataFrame, bucket: Column, touched: Sequence[str], before: dict | None, batch_id: int) -> None:
+        if touched:
+            out = new.withColumn(self.BUCKET, bucket)
+            # rows of a bucket meet in a task, but a whole table keeps its partitions
+            (out.repartition(self.BUCKET) if len(touched) > 1 else out).write.mode("overwrite") \
+                .partitionBy(self.BUCKET).parquet(f"{self.path}/data/v={batch_id}")
+        kept = {} if before is None else before["buckets"]
+        pointer = {"schema": new.schema.jsonValue(), "buckets": kept | {b: batch_id for b in touched}}
+        fs, target = self._fs(f"{self.path}/_versions/{batch_id:020d}.json")
+        _, draft = self._fs(f"{self.path}/_versions/{batch_id:020d}.draft")
+        stream = fs.create(draft, True)
+        stream.write(bytearray(json.dumps(pointer).encode()))
+        stream.close()
+        if fs.exists(target):
+            fs.delete(target, False)
+        fs.rename(draft, target)
+        self._forget(batch_id)
+
+    def _forget(self, batch_id: int) -> None:
+        ids = [i for i in self._published() if i <= batch_id]
+        stay = {(b, v) for i in ids[-2:] for b, v in self._pointer(i)["buckets"].items()}
+        for i in ids[:-2]:
+            for b, v in self._pointer(i)["buckets"].items():
+                if (b, v) not in stay:
+                    fs, p = self._fs(self._folder(b, v))
+                    fs.delete(p, True)
+            fs, p = self._fs(f"{self.path}/_versions/{i:020d}.json")
+            fs.delete(p, False)
 
 
 def upsert_sink(snapshot: Snapshot, keys: Sequence[str], order: Sequence[str]):
     """foreachBatch sink: merge the batch's updated rows into the snapshot."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        prev = snapshot.read(before=batch_id)
-        merged = batch if prev is None else latest_by(prev.unionByName(batch), keys, order)
-        snapshot.write(merged, batch_id)
+        snapshot.merge(batch, batch_id, keys, lambda kept, new: latest_by(
+            new if kept is None else kept.unionByName(new), keys, order))
     return run
 
 
 def additive_sink(snapshot: Snapshot, keys: Sequence[str], sums: Sequence[str], maxes: Sequence[str] = ()):
     """foreachBatch sink: add the batch's per-key partial counts to the snapshot."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        prev = snapshot.read(before=batch_id)
-        both = batch if prev is None else prev.unionByName(batch)
-        merged = both.groupBy(*keys).agg(*[F.sum(c).cast(batch.schema[c].dataType).alias(c) for c in sums], *[F.max(c).alias(c) for c in maxes])
-        snapshot.write(merged, batch_id)
+        def add(kept, new):
+            both = new if kept is None else kept.unionByName(new)
+            return both.groupBy(*keys).agg(*[F.sum(c).cast(batch.schema[c].dataType).alias(c) for c in sums],
+                                           *[F.max(c).alias(c) for c in maxes])
+        snapshot.merge(batch, batch_id, keys, add)
     return run
 
 
@@ -190,15 +253,17 @@ def stock_sink(snapshot: Snapshot, log_path: str | None = None):
     def run(batch: DataFrame, batch_id: int) -> None:
         if log_path is not None:
             batch = append_new(batch, log_path, batch_id, unit="month")
-        prev = snapshot.read(before=batch_id)
-        init = None if prev is None else prev.select(*STOCK_KEYS, F.col("current_stock").alias("stock"))
-        both = guarded_fold(batch, STOCK_KEYS, INVENTORY_ORDER, "quantity_change", init=init).select(
-            *STOCK_KEYS, "current_stock", F.col("skipped").alias("skipped_changes"), "events", F.lit(1).alias("_new"))
-        if prev is not None:
-            both = both.unionByName(prev.withColumn("_new", F.lit(0)))
-        snapshot.write(both.groupBy(*STOCK_KEYS).agg(
-            F.max_by("current_stock", "_new").alias("current_stock"),
-            F.sum("skipped_changes").alias("skipped_changes"), F.sum("events").alias("events")), batch_id)
+
+        def folded(kept, new):
+            init = None if kept is None else kept.select(*STOCK_KEYS, F.col("current_stock").alias("stock"))
+            both = guarded_fold(new, STOCK_KEYS, INVENTORY_ORDER, "quantity_change", init=init).select(
+                *STOCK_KEYS, "current_stock", F.col("skipped").alias("skipped_changes"), "events", F.lit(1).alias("_new"))
+            if kept is not None:
+                both = both.unionByName(kept.withColumn("_new", F.lit(0)))
+            return both.groupBy(*STOCK_KEYS).agg(
+                F.max_by("current_stock", "_new").alias("current_stock"),
+                F.sum("skipped_changes").alias("skipped_changes"), F.sum("events").alias("events"))
+        snapshot.merge(batch, batch_id, STOCK_KEYS, folded)
     return run
 
 
@@ -211,14 +276,24 @@ def latest_competitor_prices(cp_stream: DataFrame) -> DataFrame:
 
 
 def throughput(stream: DataFrame, window: str = "10 seconds", seconds: float = 10.0,
-               delay: str = "1 hour", ts: str = "timestamp") -> DataFrame:
-    """Events per second in tumbling windows (append: closed windows only)."""
+               delay: str = "1 hour", ts: str = "timestamp", by: Sequence[str] = ()) -> DataFrame:
+    """Events per second in tumbling windows (append: closed windows only), for each
+    value of the columns ``by``."""
     s = event_time(stream, ts).withWatermark(ts, delay)
-    return s.groupBy(F.window(ts, window).alias("w")).agg(F.count(F.lit(1)).alias("events")).select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "events",
+    return s.groupBy(*by, F.window(ts, window).alias("w")).agg(F.count(F.lit(1)).alias("events")).select(
+        *by, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "events",
         (F.col("events") / F.lit(seconds)).alias("events_per_sec"))
 
 
+def named_streams(streams: dict[str, DataFrame], ts: str = "timestamp") -> DataFrame:
+    """(stream, time) of several streams as one."""
+    out = None
+    for name, s in streams.items():
+        one = event_time(s, ts).select(F.lit(name).alias("stream"), ts)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def pricing_trigger(spark: SparkSession, recs: Snapshot, build: Callable[[DataFrame, int], DataFrame]):
     """On every trigger (``PRICING_TRIGGER`` in production) recompute the recommendations
     with the batch's latest event time as ``as_of`` and write a new version."""

@@ -3,6 +3,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.sources.streams import json_lines_stream, parse_events
@@ -55,6 +56,45 @@ def test_upsert_snapshot_is_idempotent(spark):
     assert got == {1: "a", 2: "c"}
 
 
+def _files(path):
+    return {os.path.join(r, f) for r, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+
+
+def test_a_batch_rewrites_only_its_buckets_and_old_versions_go(spark):
+    path = tempfile.mkdtemp() + "/s"
+    snap = jobs.Snapshot(spark, path, buckets=16)
+    sink = jobs.additive_sink(snap, ["k"], ["n"])
+    sink(spark.range(500).selectExpr("id AS k", "1L AS n"), 0)
+    first = _files(path)
+    assert len({os.path.basename(os.path.dirname(f)) for f in first}) == 16
+    sink(spark.createDataFrame([(7, 5)], "k long, n long"), 1)
+    second = _files(path) - first
+    assert len({os.path.dirname(f) for f in second}) == 1 and first <= _files(path)
+    sizes = []
+    for i in range(2, 12):
+        sink(spark.createDataFrame([(7, 5)], "k long, n long"), i)
+        sizes.append(len(_files(path)))
+    assert len(set(sizes)) == 1  # disk use stays flat
+    got = {r["k"]: r["n"] for r in snap.read().collect()}
+    assert got == {k: 1 + 55 * (k == 7) for k in range(500)}
+    before = {r["k"]: r["n"] for r in snap.read(before=11).collect()}
+    assert before[7] == 51
+
+
+def test_a_batch_that_failed_leaves_nothing_visible(spark):
+    path = tempfile.mkdtemp() + "/s"
+    snap = jobs.Snapshot(spark, path)
+    assert snap.read() is None
+    rows = spark.createDataFrame([(1, 1), (None, 2)], "k long, n long")
+    jobs.additive_sink(snap, ["k"], ["n"])(rows, 0)
+    with pytest.raises(ZeroDivisionError):
+        snap.merge(rows, 1, ["k"], lambda kept, new: 1 / 0)
+    os.makedirs(path + "/data/v=1/_bucket=3")  # what a lost driver may have left
+    assert sorted(map(tuple, snap.read().collect()), key=str) == [(1, 1), (None, 2)]
+    jobs.additive_sink(snap, ["k"], ["n"])(rows, 1)
+    assert sorted(map(tuple, snap.read().collect()), key=str) == [(1, 2), (None, 4)]
+
+
 def test_latest_price_ignores_late_older_observation(spark):
     land, out = tempfile.mkdtemp(), tempfile.mkdtemp()
     cols = "product_id long, competitor_name string, competitor_price decimal(10,2), our_price decimal(10,2), " \
