@@ -44,6 +44,7 @@ q("t6_stream_competitor_latest", """
 SELECT product_id, competitor_name, CAST(competitor_price AS DOUBLE) AS competitor_price, timestamp AS observed_at
 FROM latest_cp""")
 q("t7_stream_pricing", "SELECT * FROM recs")
+q("t7_pricing_from_state", "SELECT * FROM recs")
 q("t8_stream_throughput", """
 SELECT time_bucket(INTERVAL '1 hour', timestamp) AS window_start,
        time_bucket(INTERVAL '1 hour', timestamp) + INTERVAL '1 hour' AS window_end,
@@ -56,7 +57,7 @@ ALL_STREAMS = " UNION ALL ".join(f"SELECT '{t}' AS s, timestamp FROM {v}" for t,
 q("t8_throughput_by_stream", f"""
 SELECT s AS stream, date_trunc('day', timestamp)::TIMESTAMP AS window_start,
        date_trunc('day', timestamp)::TIMESTAMP + INTERVAL '1 day' AS window_end, count(*) AS events, count(*) / 86400.0 AS events_per_sec
-FROM ({ALL_STREAMS}) GROUP BY ALL
+FROM ({ALL_STREAMS}) GROUP BY 1, 2, 3
 HAVING date_trunc('day', timestamp)::TIMESTAMP + INTERVAL '1 day' <=
        (SELECT max(timestamp) FROM ({ALL_STREAMS})) - INTERVAL '1 day'""")
 q("t10_lake_archive_all", f"""

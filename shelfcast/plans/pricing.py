@@ -1,7 +1,7 @@
 """Pricing engine (E1-E4): one DataFrame plan instead of a driver-side loop."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import DEMAND_HIGH, DEMAND_LOW, recommend, rnd
@@ -19,8 +19,12 @@ def demand_velocity(ev: DataFrame, as_of=None, lookback: str = "1 hour") -> Data
 
 def avg_competitor_price(cp: DataFrame) -> DataFrame:
     """Mean of each competitor's latest price per product, rounded to 2."""
-    latest = latest_by(cp.select("product_id", "competitor_name", "competitor_price", *COMPETITOR_ORDER[:-1]),
-                       ["product_id", "competitor_name"], COMPETITOR_ORDER)
+    return avg_of_latest(latest_by(cp.select("product_id", "competitor_name", "competitor_price", *COMPETITOR_ORDER[:-1]),
+                                   ["product_id", "competitor_name"], COMPETITOR_ORDER))
+
+
+def avg_of_latest(latest: DataFrame) -> DataFrame:
+    """E2 from the latest row per (product, competitor), which a stream may keep."""
     return latest.groupBy("product_id").agg(
         rnd(F.avg(F.col("competitor_price").cast("double")), 2).alias("avg_competitor_price"))
 
@@ -33,8 +37,12 @@ def pricing_cycle(products: DataFrame, ev: DataFrame, cp: DataFrame, as_of=None,
     are skipped), left join with demand (missing -> 0), then the E3 rule.
     """
     at = as_of_col(ev, as_of)
-    demand = demand_velocity(ev, at, lookback)
-    comp = avg_competitor_price(cp)
+    return recommendations(products, avg_competitor_price(cp), demand_velocity(ev, at, lookback), at, high, low)
+
+
+def recommendations(products: DataFrame, comp: DataFrame, demand: DataFrame, at: Column,
+                    high: float = DEMAND_HIGH, low: float = DEMAND_LOW) -> DataFrame:
+    """The E4 rows from competitor averages and demand, wherever they come from."""
     j = (products.select("product_id", "product_name", "base_price")
          .join(comp, "product_id")
          .join(demand, "product_id", "left")

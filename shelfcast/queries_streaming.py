@@ -170,16 +170,20 @@ def _t5(d):
     return snap.read().select("product_id", "warehouse_id", "current_stock")
 
 
-@register("t6_stream_competitor_latest")
-def _t6(d):
-    base = _run_dir(d, "t6")
+def _latest_prices(d, base):
+    """T6 over the whole table of prices: the snapshot that it keeps."""
     part = fixtures.load(d.spark, d.data_dir, "part")
     s = fixtures.competitor_prices_from(streams.table_stream(d.spark, d.data_dir, "lineitem"), part)
     snap = jobs.Snapshot(d.spark, base + "/latest")
     up = jobs.upsert_sink(snap, ["product_id", "competitor_name"], ["_batch"])
     _await(jobs.start(jobs.latest_competitor_prices(s), base + "/ckpt", output_mode="update",
                       trigger=AVAILABLE_NOW, sink=lambda b, i: up(b.withColumn("_batch", F.lit(i)), i)))
-    return snap.read().select("product_id", "competitor_name",
+    return snap
+
+
+@register("t6_stream_competitor_latest")
+def _t6(d):
+    return _latest_prices(d, _run_dir(d, "t6")).read().select("product_id", "competitor_name",
                               F.col("competitor_price").cast("double").alias("competitor_price"),
                               F.col("timestamp").alias("observed_at"))
 
@@ -208,6 +212,18 @@ def _t7(d):
     return recs.read()
 
 
+@register("t7_pricing_from_state")
+def _t7_state(d):
+    """Every trigger prices from kept state: panes of purchases, the newest time, and the
+    latest price per (product, competitor) of the price stream."""
+    base = _run_dir(d, "t7s")
+    prices = _latest_prices(d, base + "/prices")
+    recs = jobs.Snapshot(d.spark, base + "/recs")
+    sink = jobs.pricing_from_state(jobs.Pricing(d.spark, base, DEMAND_LOOKBACK), prices, d.products(), recs)
+    _await(jobs.start(_replayed_events(d, base), base + "/ckpt", sink=sink, trigger=AVAILABLE_NOW))
+    return recs.read()
+
+
 @register("t8_stream_throughput")
 def _t8(d):
     base = _run_dir(d, "t8")

@@ -21,6 +21,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.fold import guarded_fold
 from ..operators.latest import latest_by
+from ..plans.pricing import avg_of_latest, recommendations
 from ..plans.staging import COMPETITOR_ORDER
 from ..plans.state import INVENTORY_ORDER
 
@@ -300,3 +301,70 @@ def pricing_trigger(spark: SparkSession, recs: Snapshot, build: Callable[[DataFr
     def run(batch: DataFrame, batch_id: int) -> None:
         recs.write(build(batch, batch_id), batch_id)
     return run
+
+
+# ---------------------------------------------------------------- pricing from kept state
+
+PANE = "hour"
+
+
+class Pricing:
+    """T7 without reading history: purchases are kept as counts by (product, pane), an
+    hour each, the newest event time as one row, prices as the latest row per (product,
+    competitor) that T6 keeps. A trigger adds its new events to the panes, takes whole
+    panes for the look-back and reads single events for the one pane that the look-back
+    cuts, from its date in the event log. Panes that have left the look-back go when
+    their bucket is next written."""
+
+    def __init__(self, spark: SparkSession, base: str, lookback: str, buckets: int = 32):
+        self.spark, self.lookback, self.log = spark, lookback, base + "/log"
+        self.panes = Snapshot(spark, base + "/panes", buckets)
+        self.clock = Snapshot(spark, base + "/clock", 1)
+
+    def _start(self, at: Column) -> Column:
+        return at - F.expr(f"INTERVAL '{self.lookback}'")
+
+    def add(self, batch: DataFrame, batch_id: int) -> Column:
+        """Take in a batch; returns the time as of which to price."""
+        new = append_new(batch, self.log, batch_id)
+        additive_sink(self.clock, ["one"], [], ["newest"])(
+            new.groupBy(F.lit(1).alias("one")).agg(F.max("timestamp").alias("newest")), batch_id)
+        newest = self.clock.read(before=batch_id + 1).first()["newest"]  # one row
+        at = F.lit(str(newest)).cast(new.schema["timestamp"].dataType)
+        counts = (purchases(new).groupBy("product_id", F.date_trunc(PANE, "timestamp").cast("timestamp_ntz").alias("pane"))
+                  .agg(F.count("*").alias("n")))
+
+        def merged(kept: DataFrame | None, added: DataFrame) -> DataFrame:
+            both = added if kept is None else kept.unionByName(added)
+            # a pane that the look-back has passed is not needed again: time only moves on
+            return (both.where(F.col("pane") >= F.date_trunc(PANE, self._start(at)).cast("timestamp_ntz"))
+                    .groupBy("product_id", "pane").agg(F.sum("n").alias("n")))
+        self.panes.merge(counts, batch_id, ["product_id"], merged)
+        return at
+
+    def demand(self, at: Column, batch_id: int) -> DataFrame:
+        """Purchases per product within the look-back before ``at``."""
+        cut = F.date_trunc(PANE, self._start(at)).cast("timestamp_ntz")
+        parts = None
+        panes = self.panes.read(before=batch_id + 1)
+        if panes is not None:
+            parts = panes.where(F.col("pane") > cut).select("product_id", "n")
+        schema = self.spark.read.parquet(f"{self.log}/batch={batch_id}").schema
+        events = event_log(self.spark, self.log, schema)
+        edge = purchases(events.where((F.col("batch") <= batch_id) & (F.col("date") == F.to_date(cut)))).where(
+            (F.col("timestamp") > self._start(at)) & (F.date_trunc(PANE, "timestamp").cast("timestamp_ntz") == cut)).select(
+            "product_id", F.lit(1).cast("long").alias("n"))
+        rows = edge if parts is None else parts.unionByName(edge)
+        return rows.groupBy("product_id").agg(F.sum("n").cast("double").alias("demand_velocity"))
+
+
+def purchases(events: DataFrame) -> DataFrame:
+    return events.where((F.col("event_type") == "purchase") & F.col("product_id").isNotNull())
+
+
+def pricing_from_state(state: Pricing, prices: Snapshot, products: DataFrame, recs: Snapshot):
+    """foreachBatch sink that prices every product from kept state alone."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        at = state.add(batch, batch_id)
+        recs.write(recommendations(products, avg_of_latest(prices.read()), state.demand(at, batch_id), at), batch_id)
+    return run

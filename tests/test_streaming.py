@@ -193,3 +193,29 @@ def test_parse_events_splits_on_the_parser(spark):
     good, bad = parse_events(spark.createDataFrame([(x,) for x in lines], "value string"), spark.createDataFrame([], "event_id long").schema)
     assert sorted(r["event_id"] for r in good.collect()) == [3, 4]
     assert sorted(r["raw_message"] for r in bad.collect()) == ["", "[1]", '{"event_id": "x"}', '{"event_id": 2, bad}']
+
+
+def test_pricing_from_state_equals_the_cycle_over_all_events(spark):
+    from conftest import SF_SMALL
+    from shelfcast.plans.pricing import pricing_cycle
+    from shelfcast.sources.fixtures import Domain
+    base = tempfile.mkdtemp()
+    d = Domain(spark, SF_SMALL)
+    prices = jobs.Snapshot(spark, base + "/prices")
+    jobs.upsert_sink(prices, ["product_id", "competitor_name"], ["timestamp", "src_order", "src_line"])(
+        jobs.latest_competitor_prices(d.competitor_prices()), 0)
+    recs = jobs.Snapshot(spark, base + "/recs")
+    sink = jobs.pricing_from_state(jobs.Pricing(spark, base, "3 days 90 minutes", buckets=4), prices, d.products(), recs)
+    ev = d.clickstream().orderBy("timestamp").cache()
+    cuts = [r[0] for r in ev.select("timestamp").where("timestamp is not null").collect()]
+    seen = None
+    for i, part in enumerate((0.3, 0.31, 0.7, 1.0)):
+        upto = ev.where(F.col("timestamp") <= F.lit(cuts[int(part * (len(cuts) - 1))]))
+        batch = upto if seen is None else upto.where(F.col("timestamp") > F.lit(seen))
+        sink(batch, i)
+        if i == 1:
+            sink(batch, i)  # replay
+        seen = upto.agg(F.max("timestamp")).first()[0]
+        want = pricing_cycle(d.products(), upto, d.competitor_prices(), lookback="3 days 90 minutes")
+        key = lambda df: sorted(map(tuple, df.drop("timestamp").collect()))
+        assert key(recs.read()) == key(want)
