@@ -19,7 +19,7 @@ CHUNK = re.compile(r"[ \n]*[a-zA-ZÀ-ÖØ-öø-ÿ]++(?![^ \n,.])|[ \n]*[^ \n]+|[
 OTHER_SPACE = re.compile("[" + "".join(map(chr, [
     9, 11, 12, 13, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), *range(0x2028, 0x2030),
     *range(0x205F, 0x2065), 0x3000, 0xFEFF])) + "]")
-MEMO_BYTES = 80 << 20  # of chunks, their ids and the table itself
+MEMO_BYTES = 160 << 20  # of chunks, their ids and the table itself
 ENTRY_BYTES = 150
 # A chunk of Latin letters after at most one blank is one piece. The memo asks the
 # library's model for its merges directly, which costs a fraction of a whole call;
