@@ -37,7 +37,7 @@ from .common import written
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 LONGEST = 4
-MEMO_BYTES = 32 << 20
+MEMO_BYTES = 64 << 20
 MEMO_ENTRY = 250  # bytes of a word and its place, besides its numbers
 SMOOTHING = 0.5
 
