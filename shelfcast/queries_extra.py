@@ -14,7 +14,7 @@ from .plans import demand, marts, staging
 from .plans.pricing import avg_competitor_price, demand_velocity
 from .registry import DEMAND_LOOKBACK, recs_of, register
 from .session import scratch_path
-from .sources import lake, streams
+from .sources import lake, streams, topics
 from .sources.tables import load
 from .streaming import jobs
 
@@ -172,6 +172,64 @@ def _t1_files(d):
     return d.spark.read.parquet(base + "/sizes").agg(F.count_if(F.col("n") > 0).alias("n_batches"), F.sum("n").alias("n_rows"))
 
 
+def _messages(rows):
+    """Rows as JSON messages; those of every 97th product are cut short."""
+    line = F.to_json(F.struct(*rows.columns), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+    return rows.select(F.when(F.col("product_id") % 97 == 0, F.substring(line, 1, 20)).otherwise(line).alias("value"))
+
+
+def _feeds(d):
+    """The rows of the three topics; a price observation is identified by what tells two apart."""
+    cp = d.competitor_prices()
+    seen = F.concat_ws("|", "product_id", "competitor_name", "src_order", "src_line", "competitor_price", "timestamp")
+    return {"clickstream_events": (d.clickstream(), "day"), "inventory_events": (d.inventory_events(), "month"),
+            "competitor_prices": (cp.select(seen.alias("event_id"), *cp.columns), "month")}
+
+
+_RECEIVED = """
+  SELECT 'clickstream_events' AS topic, CAST(event_id AS VARCHAR) AS id, product_id FROM clickstream
+  UNION ALL SELECT 'inventory_events', CAST(event_id AS VARCHAR), product_id FROM inventory_events
+  UNION ALL SELECT 'competitor_prices', concat_ws('|', product_id, competitor_name, src_order, src_line, competitor_price, timestamp),
+                   product_id FROM competitor_prices"""
+
+
+@reg("t1_three_topic_ingest", f"""
+SELECT topic, 2 * count(*) AS received, count(DISTINCT CASE WHEN ok THEN id END) AS kept,
+       2 * count(*) FILTER (WHERE ok) - count(DISTINCT CASE WHEN ok THEN id END) AS duplicates,
+       2 * count(*) FILTER (WHERE NOT ok) AS errors
+FROM (SELECT *, coalesce(product_id % 97 <> 0, true) AS ok FROM ({_RECEIVED})) GROUP BY topic""")
+def _t1_ingest(d):
+    """Three topics from one entry, every message delivered twice: counters of each stream."""
+    base, feeds = _run_dir(d, "t1i"), _feeds(d)
+    n = 0
+    for name, (rows, _) in feeds.items():
+        for delivery in ("0", "1"):
+            topics.land(_messages(rows), base + "/landing", name, delivery)
+        n += 2 * d.spark.read.parquet(f"{base}/landing/{name}/0").count()
+    s = topics.topic_stream(d.spark, base + "/landing", list(feeds), base + "/admitted", starting="earliest", max_records=-(-n // 4))
+    sink = jobs.ingest_sink(base, {name: jobs.Feed(rows.schema, unit=unit) for name, (rows, unit) in feeds.items()})
+    jobs.drain(jobs.start(s, base + "/ckpt", sink=sink, trigger={"processingTime": "0 seconds"}), topics.MAX_DELAY)
+    return jobs.stream_counters(d.spark, base)
+
+
+@reg("t1_size_or_time", """
+SELECT CAST(ceil(n / ceil(n / 7.0)) AS BIGINT) AS n_batches, CAST(ceil(n / 7.0) AS BIGINT) AS largest, n AS n_rows
+FROM (SELECT count(*) AS n FROM events)""")
+def _t1_size(d):
+    """Batches by count of messages: all events in batches of a seventh, the rest after the delay."""
+    base, ev = _run_dir(d, "t1z"), load(d.spark, d.data_dir, "events")
+    topics.land(ev.select(F.to_json(F.struct(*ev.columns)).alias("value")), base + "/landing", "events", "0")
+    size = -(-d.spark.read.parquet(base + "/landing/events/0").count() // 7)
+    s = topics.topic_stream(d.spark, base + "/landing", ["events"], base + "/admitted", starting="earliest",
+                            min_records=max(size, 1), max_records=max(size, 1))
+
+    def sink(batch, batch_id):
+        batch.agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{base}/sizes/b={batch_id}")
+    jobs.drain(jobs.start(s, base + "/ckpt", sink=sink, trigger={"processingTime": "0 seconds"}), topics.MAX_DELAY)
+    return d.spark.read.parquet(base + "/sizes").where("n > 0").agg(
+        F.count("*").alias("n_batches"), F.max("n").alias("largest"), F.sum("n").alias("n_rows"))
+
+
 def _forecast_ctes():
     from . import oracle_analytics
     from .oracle import BODIES

@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import json
 import os
+import time
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +26,7 @@ from ..operators.latest import latest_by
 from ..plans.pricing import avg_of_latest, recommendations
 from ..plans.staging import COMPETITOR_ORDER
 from ..plans.state import INVENTORY_ORDER
+from ..sources.streams import parse_events
 
 
 def event_time(df: DataFrame, ts: str = "timestamp") -> DataFrame:
@@ -206,7 +209,8 @@ def append_new(batch: DataFrame, log_path: str, batch_id: int, key: str = "event
         rows = rows.join(seen, key, "left_anti")
     path = os.path.join(log_path, f"batch={batch_id}")
     schema = rows.schema
-    rows.write.mode("overwrite").partitionBy("date").parquet(path)
+    # a date's rows meet in a task, but a large date is split over several
+    rows.hint("rebalance", "date").write.mode("overwrite").partitionBy("date").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -368,3 +372,64 @@ def pricing_from_state(state: Pricing, prices: Snapshot, products: DataFrame, re
         at = state.add(batch, batch_id)
         recs.write(recommendations(products, avg_of_latest(prices.read()), state.demand(at, batch_id), at), batch_id)
     return run
+
+
+# ---------------------------------------------------------------- three topics from one entry
+
+@dataclass(frozen=True)
+class Feed:
+    """What the messages of a topic hold: columns, the column that identifies a message and
+    its time, and how wide the folders of the topic's event log are."""
+    schema: StructType
+    key: str = "event_id"
+    ts: str = "timestamp"
+    unit: str = "day"
+
+
+def ingest_sink(base: str, feeds: dict[str, Feed]):
+    """foreachBatch sink for rows (topic, value) of several topics.
+
+    A batch is read once. Of each topic, messages not seen before go to
+    ``<base>/<topic>/log``, undecodable ones and those without their key to
+    ``<base>/<topic>/dead_letter/batch=N``, and the batch's counts (received, kept,
+    duplicates, errors) to ``<base>/counters/batch=N``. All are written under the batch id,
+    so a replayed batch replaces what it wrote. Other topics' messages are left out."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.select("topic", "value").persist()
+        try:
+            counts = None
+            for topic, feed in feeds.items():
+                good, bad = parse_events(batch.where(F.col("topic") == topic), feed.schema)
+                keyed = F.col(feed.key).isNotNull() & F.col(feed.ts).isNotNull()
+                lost = bad.unionByName(good.where(~keyed).select(F.to_json(F.struct(*good.columns)).alias("raw_message")))
+                dead = f"{base}/{topic}/dead_letter/batch={batch_id}"
+                lost.write.mode("overwrite").parquet(dead)
+                new = append_new(good.where(keyed), f"{base}/{topic}/log", batch_id, feed.key, feed.ts, feed.unit)
+                for df, name in ((batch.where(F.col("topic") == topic), "received"), (new, "kept"),
+                                 (spark.read.schema(lost.schema).parquet(dead), "errors")):
+                    one = df.agg(F.count("*").alias("n")).select(F.lit(topic).alias("topic"), F.lit(name).alias("what"), "n")
+                    counts = one if counts is None else counts.unionByName(one)
+            wide = counts.groupBy("topic").pivot("what", ["received", "kept", "errors"]).sum("n")
+            (wide.withColumn("duplicates", F.col("received") - F.col("kept") - F.col("errors"))
+             .coalesce(1).write.mode("overwrite").parquet(f"{base}/counters/batch={batch_id}"))  # a row a topic
+        finally:
+            batch.unpersist()
+    return run
+
+
+def stream_counters(spark: SparkSession, base: str) -> DataFrame:
+    """Totals of every stream over the batches so far."""
+    return spark.read.parquet(base + "/counters").groupBy("topic").agg(
+        *[F.sum(c).alias(c) for c in ("received", "kept", "duplicates", "errors")])
+
+
+def drain(query: StreamingQuery, delay: float) -> None:
+    """Let a query over topics take all that has landed, the last messages after ``delay``
+    seconds included, and stop it."""
+    try:
+        query.processAllAvailable()
+        time.sleep(delay)
+        query.processAllAvailable()
+    finally:
+        query.stop()
