@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import DEVICES, SEGMENT_ORDER, in_list_position, rfm_segment, rnd, seconds_between
-from ..operators.rank import quantile_bins
+from ..operators.rank import quantile_scores
 from ..operators.stats import describe_by, histogram
 from ..session import materialize
 from .common import as_of_col
@@ -65,9 +65,8 @@ def rfm_describe(raw: DataFrame) -> DataFrame:
 def rfm_scores(raw: DataFrame, n_bins: int = 5) -> DataFrame:
     """Quintile scores on exact global ranks (ties broken by user_id);
     recency is inverted (recent buyers score high). Adds segment (R5)."""
-    s = quantile_bins(materialize(raw, "rfm"), "recency_days", "user_id", "R", n_bins, descending_labels=True)
-    s = quantile_bins(s, "frequency", "user_id", "F", n_bins)
-    s = quantile_bins(s, "monetary", "user_id", "M", n_bins)
+    s = quantile_scores(materialize(raw, "rfm"), "user_id", {
+        "R": ("recency_days", True), "F": ("frequency", False), "M": ("monetary", False)}, n_bins)
     return s.withColumn("RFM_sum", F.col("R") + F.col("F") + F.col("M")) \
             .withColumn("segment", rfm_segment(F.col("R"), F.col("F"), F.col("M")))
 

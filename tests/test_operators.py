@@ -176,3 +176,40 @@ def test_quantile_bins_leave_nulls_and_other_columns(spark):
     got = {r["uid"]: (r["q"], r["z"]) for r in quantile_bins(df, "v", "uid", "q", n_bins=2, descending_labels=True).collect()}
     assert got == {"a": (2, 1), "b": (2, 2), "c": (1, 3), "d": (1, 4)}
     assert quantile_bins(df.limit(0), "v", "uid", "q").count() == 0
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 20])
+def test_rows_at_ranks_equal_a_full_sort(spark, accuracy, monkeypatch):
+    """Heavy ties, NULL values and ties, repeated rows; ranges as wide as they get with poor percentiles."""
+    from shelfcast.operators import rank
+    monkeypatch.setattr(rank, "ACCURACY", accuracy)
+    rng = np.random.default_rng(5)
+    rows = [(int(rng.integers(0, 900)) if rng.random() > 0.02 else None, float(rng.choice([0.0, 1.5, 1.5, 1.5, rng.random()])),
+             int(rng.integers(0, 3)) if rng.random() > 0.1 else None, str(rng.integers(0, 40))) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "id long, a double, b int, s string").repartition(5)
+    ranks = [1, 2, 150, 700, 1001, 1999, 2000]
+    first = lambda t: (t[0] is not None, t[0] if t[0] is not None else 0, t[1] is not None, t[1] if t[1] is not None else 0)
+    for tie, k in (("id", 0), ("s", 3)):
+        got = rank.rows_at(df, ["a", "b"], tie, ranks)
+        for c, col in (("a", 1), ("b", 2)):
+            want = sorted(((r[col], r[k]) for r in rows), key=first)
+            assert got[c] == [want[r - 1] for r in ranks], (tie, c)
+
+
+def test_selection_ranks_few_rows(spark, monkeypatch):
+    """All rows but the few around the cuts are only read, though one value holds a third of them."""
+    from shelfcast.operators import rank
+    seen = []
+    monkeypatch.setattr(rank, "materialize", lambda df, name: _kept(seen, df, name))
+    df = spark.range(200_000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS v")
+    want = sorted((1 if i % 3 == 0 else i, i) for i in range(200_000))
+    got = rank.rows_at(df, ["v"], "id", [1, 40_000, 120_000])
+    assert got["v"] == [want[r - 1] for r in (1, 40_000, 120_000)]
+    assert seen and max(n for _, n in seen) < 2_000
+
+
+def _kept(seen, df, name):
+    from shelfcast.session import materialize
+    out = materialize(df, name)
+    seen.append((name, out.count()))
+    return out
