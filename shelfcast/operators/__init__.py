@@ -5,3 +5,4 @@ from .stats import describe_by, exact_quantiles, histogram, box_summary  # noqa:
 from .fold import guarded_fold, skipped_changes, fold_run, ewm_state  # noqa: F401
 from .upsert import append_dedup, upsert  # noqa: F401
 from .grid import densify, int_axis  # noqa: F401
+from .smoothing import ewm_levels  # noqa: F401

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions.columns import DOW_LABELS, iso_dow, rnd, safe_div, seconds_between
-from ..operators.fold import ewm_state
 from ..operators.grid import densify, int_axis
+from ..operators.smoothing import ewm_levels
+from ..session import materialize
 
 
 def _purchases(ev: DataFrame) -> DataFrame:
@@ -124,25 +125,16 @@ def demand_forecast(hourly: DataFrame, hours: int = 6, span: int = 4, decay: flo
     category over the hours seen in any category (zero filled), then
     f(n) = max(0, level + trend * n * decay**n) for n = 1..hours.
 
-    The series per category has one element per observed hour, so collecting
-    it is bounded by the time span, not by event volume.
+    The hourly table (a row an hour and category) is written once; levels are weighted
+    sums over it. Purchases without a time take no part.
     """
     alpha = 2.0 / (span + 1)
-    hrs = hourly.select("hour_bucket").distinct()
-    cats = hourly.select("category").distinct()
-    dense = densify(hourly.select("hour_bucket", "category", "purchases"), [hrs, cats],
-                    ["hour_bucket", "category"], ["purchases"])
-    series = dense.groupBy("category").agg(
-        F.array_sort(F.collect_list(F.struct("hour_bucket", F.col("purchases").cast("double").alias("x"))))
-        .alias("s"),
-        F.max("hour_bucket").alias("last_hour"))
-    st = series.select("category", "last_hour",
-                       ewm_state(F.transform("s", lambda e: e["x"]), alpha).alias("e"))
-    k = F.least(F.col("e.n") - 1, F.lit(4))
-    back = (F.when(k == 1, F.col("e.p1")).when(k == 2, F.col("e.p2"))
-             .when(k == 3, F.col("e.p3")).when(k == 4, F.col("e.p4")))
-    trend = F.when(k >= 1, (F.col("e.y") - back) / k)
-    st = st.select("category", "last_hour", F.col("e.y").alias("level"), trend.alias("trend"))
+    e = ewm_levels(materialize(hourly.select("hour_bucket", "category", "purchases"), "hourly"),
+                   ["category"], "hour_bucket", "purchases", alpha)
+    k = F.least(F.col("n") - 1, F.lit(4))
+    back = F.when(k == 1, F.col("p1")).when(k == 2, F.col("p2")).when(k == 3, F.col("p3")).when(k == 4, F.col("p4"))
+    trend = F.when(k >= 1, (F.col("y") - back) / k)
+    st = e.select("category", F.col("last").alias("last_hour"), F.col("y").alias("level"), trend.alias("trend"))
     steps = F.sequence(F.lit(1), F.lit(hours))
     out = st.select("category", "last_hour", "level", "trend", F.explode(steps).alias("step"))
     val = F.when(F.col("trend").isNull(), F.lit(0.0)).otherwise(

@@ -213,3 +213,18 @@ def _kept(seen, df, name):
     out = materialize(df, name)
     seen.append((name, out.count()))
     return out
+
+
+@pytest.mark.parametrize("hours", [1, 2, 4, 5, 6, 60])
+def test_ewm_levels_equal_pandas_over_the_zero_filled_series(spark, hours):
+    from shelfcast.operators import ewm_levels
+    rng = np.random.default_rng(hours)
+    rows = [(h * 3, c, int(rng.integers(1, 9))) for h in range(hours) for c in ("a", "b", None) if c == "a" or rng.random() < 0.5]
+    df = spark.createDataFrame([*rows, (None, "a", 100), (0, "z", None)], "h int, c string, x int")
+    got = {r["c"]: r for r in ewm_levels(df, ["c"], "h", "x", 0.4).collect()}
+    assert set(got) == {c for _, c, _ in rows}
+    for c, r in got.items():
+        series = pd.Series([sum(x for h, k, x in rows if k == c and h == t * 3) for t in range(hours)], dtype=float)
+        want = list(series.ewm(alpha=0.4, adjust=False).mean())[::-1] + [None] * 4
+        assert (r["n"], r["last"]) == (hours, (hours - 1) * 3)
+        assert [r["y"], r["p1"], r["p2"], r["p3"], r["p4"]] == [None if w is None else pytest.approx(w, abs=1e-12) for w in want[:5]]
