@@ -6,3 +6,4 @@ from .fold import guarded_fold, skipped_changes, fold_run, ewm_state  # noqa: F4
 from .upsert import append_dedup, upsert  # noqa: F401
 from .grid import densify, int_axis  # noqa: F401
 from .smoothing import ewm_levels  # noqa: F401
+from .lookup import lookup  # noqa: F401

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import price_position, rnd, safe_div
 from ..operators.funnel import count_flags, stage_flags
 from ..operators.latest import latest_by
+from ..operators.lookup import lookup
 from .common import within_lookback
 
 DEMAND_TYPES = ["purchase", "product_view", "add_to_cart"]
@@ -35,18 +36,13 @@ def daily_funnel_metrics(ev: DataFrame, products: DataFrame) -> DataFrame:
     conversion = purchases / page_views * 100 (NULL without page views).
 
     Events are read once and first reduced to (day, product, session) stage flags. Rows
-    without a product (every page view) meet no product in the left join; a second join
-    column, 0 for all products, spreads them over the tasks by their session in place of
-    piling them onto one NULL key. The rows are then reduced per (day, category, session)
+    without a product (every page view) meet no product in the left join and are spread
+    over its tasks by their session. The rows are then reduced per (day, category, session)
     and summed. Rows without a session keep their group alive and reach no stage.
     """
     names = ["page_views", "product_views", "cart_adds", "purchases"]
     flags = stage_flags(ev.withColumn("day", F.to_date("timestamp")), ["day", "product_id"], names=names)
-    flags = flags.withColumn("_s", F.when(F.col("product_id").isNull(), F.pmod(F.xxhash64("session_id", "day"), F.lit(4096)))
-                             .otherwise(F.lit(0)).cast("bigint"))
-    # a number modulo 1 is 0: a plain literal would be taken out of the join's columns
-    known = products.select("product_id", "category", F.pmod(F.xxhash64("product_id"), F.lit(1)).cast("bigint").alias("_s"))
-    linked = flags.join(known, ["product_id", "_s"], "left")
+    linked = lookup(flags, products.select("product_id", "category"), "product_id", ["session_id", "day"])
     cols = ["day", F.coalesce("category", F.lit("unknown")).alias("category"), "session_id", *names]
     f = count_flags(linked.select(*cols), ["day", "category"], names)
     return f.withColumn("conversion_rate", rnd(safe_div(F.col("purchases"), F.col("page_views")) * 100, 2))

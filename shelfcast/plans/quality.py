@@ -3,8 +3,8 @@
 A rule is (group, name, table, metric, comparison, expected). ``run_rules``
 evaluates all rules that read the same table in ONE aggregation over it (every
 metric is a column of a single ``agg``), then turns the one-row results into
-rule rows with ``inline``. Rules about orphans or duplicate keys read a derived
-table (an anti join, a keyed count) and are batched the same way.
+rule rows with ``inline``. A staged view and the orphans of a table are ``Part``s of
+it and are counted in its scan; rules about duplicate keys read a keyed count.
 """
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import COMPETITORS, DEVICES, EVENT_TYPES, PRICE_POSITIONS, RECOMMENDATIONS, WAREHOUSES
+from ..operators.lookup import lookup
 
 # Fixed limits from the reference rules.
 MAX_STOCK_PER_SLOT = 100_000
@@ -32,6 +33,14 @@ class Rule:
     expected: Callable[[], Column] | int
 
 
+@dataclass(frozen=True)
+class Part:
+    """A table that is all rows of the table ``of``, or those ``where`` a condition holds
+    (rules on it can only count rows then): its rules are evaluated in the scan of ``of``."""
+    of: str
+    where: Callable[[], Column] | None = None
+
+
 # What ``detail`` writes between the value found and the one expected.
 SIGNS = {"eq": "against exactly", "le": "against at most", "ge": "against at least"}
 
@@ -44,10 +53,22 @@ def run_rules(tables: dict, rules: Sequence[Rule]) -> DataFrame:
     """Evaluate ``rules`` (tables may be DataFrames or zero-argument builders,
     so only the tables a rule set reads are planned); one row per rule:
     (rule_group, rule_name, value, expected, comparison, passed, detail)."""
+    def home(r: Rule) -> str:
+        t = tables[r.table]
+        return t.of if isinstance(t, Part) else r.table
+
+    def metric(r: Rule) -> Column:
+        t = tables[r.table]
+        if not isinstance(t, Part) or t.where is None:
+            return r.metric()
+        if r.metric is not _count:
+            raise ValueError(f"rule {r.name}: only rows of {r.table} can be counted")
+        return F.count_if(t.where())
+
     out = None
-    for tname in dict.fromkeys(r.table for r in rules):
-        rs = [r for r in rules if r.table == tname]
-        metrics = [r.metric().cast("bigint").alias(f"m{i}") for i, r in enumerate(rs)]
+    for tname in dict.fromkeys(map(home, rules)):
+        rs = [r for r in rules if home(r) == tname]
+        metrics = [metric(r).cast("bigint").alias(f"m{i}") for i, r in enumerate(rs)]
         t = tables[tname]
         one = (t() if callable(t) else t).agg(*metrics)
         rows = []
@@ -102,22 +123,38 @@ def orphans(df: DataFrame, products: DataFrame, key: str = "product_id") -> Data
     return df.filter(F.col(key).isNotNull()).join(products.select(key), key, "left_anti")
 
 
-def quality_tables(products, stock, ev, cp, recs, stg_clickstream, stg_inventory, stg_cp,
+def known_products(df: DataFrame, products: DataFrame, key: str = "product_id") -> DataFrame:
+    """``df`` and whether a row's product reference is unknown (``_orphan``; a NULL one is not)."""
+    known = products.where(F.col(key).isNotNull()).select(key).distinct().withColumn("_known", F.lit(True))
+    return lookup(df, known, key, [c for c in df.columns if c != key]).withColumn(
+        "_orphan", F.col(key).isNotNull() & F.col("_known").isNull()).drop("_known")
+
+
+def quality_tables(products, stock, ev, inv, cp, recs, stg_clickstream, stg_inventory, stg_cp,
                    daily_funnel, product_perf, pricing, hourly) -> dict:
-    """Name -> zero-argument builder; every argument is itself a builder."""
+    """Name -> table; every argument is a zero-argument builder. ``ev``, ``inv`` (inventory
+    events), ``cp``, ``stock`` and ``recs`` are scanned once for their own rules, those of
+    their staged view and their orphans, and once more where a key must be unique."""
+    orphan = lambda: F.col("_orphan")
     return {
-        "products": products, "inventory_state": stock, "clickstream_events": ev,
-        "competitor_prices": cp, "pricing_recommendations": recs,
-        "orphan_events": lambda: orphans(ev(), products()),
-        "orphan_recommendations": lambda: orphans(recs(), products()),
-        "orphan_stock": lambda: orphans(stock(), products()),
-        "orphan_inventory": lambda: orphans(stg_inventory(), products()),
-        "orphan_competitor_prices": lambda: orphans(cp(), products()),
-        "stg_clickstream": stg_clickstream, "stg_inventory": stg_inventory, "stg_competitor_prices": stg_cp,
+        "products": products,
+        "inventory_state": lambda: known_products(stock(), products()),
+        "clickstream_events": lambda: known_products(
+            stg_clickstream(ev()).withColumn("timestamp", F.col("event_timestamp")), products()),
+        "inventory_events": lambda: known_products(stg_inventory(inv()), products()),
+        "competitor_prices": lambda: known_products(cp(), products()),
+        "pricing_recommendations": lambda: known_products(recs(), products()),
+        "stg_clickstream": Part("clickstream_events"), "stg_inventory": Part("inventory_events"),
+        "orphan_events": Part("clickstream_events", orphan),
+        "orphan_recommendations": Part("pricing_recommendations", orphan),
+        "orphan_stock": Part("inventory_state", orphan),
+        "orphan_inventory": Part("inventory_events", orphan),
+        "orphan_competitor_prices": Part("competitor_prices", orphan),
+        "stg_competitor_prices": lambda: stg_cp(cp()),
         "daily_funnel_metrics": daily_funnel, "product_performance": product_perf,
         "pricing_analysis": pricing, "hourly_demand": hourly,
-        "dup_stg_clickstream": lambda: unique_table(stg_clickstream(), ["event_id"]),
-        "dup_stg_inventory": lambda: unique_table(stg_inventory(), ["event_id"]),
+        "dup_stg_clickstream": lambda: unique_table(ev(), ["event_id"]),
+        "dup_stg_inventory": lambda: unique_table(inv(), ["event_id"]),
         "dup_product_performance": lambda: unique_table(product_perf(), ["product_id"]),
         "dup_pricing_analysis": lambda: unique_table(pricing(), ["product_id"]),
     }

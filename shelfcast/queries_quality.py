@@ -12,18 +12,17 @@ from .session import materialize
 
 
 def _tables(d):
-    """The stock and the recommendations cost a fold and a pricing cycle and are read by
-    several rules and marts: they are written once for a report."""
+    """The stock, the recommendations and the marts of products are read by several rules
+    and marts: they are written once for a report."""
     stock = cache(lambda: materialize(stock_of(d), "quality-stock"))
     recs = cache(lambda: materialize(recs_of(d), "quality-recs"))
+    performance = cache(lambda: materialize(marts.product_performance(d.products(), metrics_of(d), stock()), "quality-performance"))
+    pricing = cache(lambda: materialize(marts.pricing_analysis(
+        d.products(), d.competitor_prices(), recs(), lookback=COMPETITOR_LOOKBACK), "quality-pricing"))
     return quality.quality_tables(
-        d.products, stock, d.clickstream, d.competitor_prices, recs,
-        lambda: staging.stg_clickstream(d.clickstream()),
-        lambda: staging.stg_inventory(d.inventory_events()),
-        lambda: staging.stg_competitor_prices(d.competitor_prices()),
-        lambda: marts.daily_funnel_metrics(d.clickstream(), d.products()),
-        lambda: marts.product_performance(d.products(), metrics_of(d), stock()),
-        lambda: marts.pricing_analysis(d.products(), d.competitor_prices(), recs(), lookback=COMPETITOR_LOOKBACK),
+        d.products, stock, d.clickstream, d.inventory_events, d.competitor_prices, recs,
+        staging.stg_clickstream, staging.stg_inventory, staging.stg_competitor_prices,
+        lambda: marts.daily_funnel_metrics(d.clickstream(), d.products()), performance, pricing,
         lambda: marts.hourly_demand(d.clickstream(), d.products()))
 
 

@@ -87,3 +87,22 @@ def test_approx_distinct_close_to_exact(spark):
     approx = funnel.clickstream_overview(ev, approx=True).first()
     for c in ["unique_users", "unique_sessions"]:
         assert abs(approx[c] - exact[c]) <= 0.03 * exact[c]
+
+
+def test_parts_are_counted_in_the_scan_of_their_table(spark):
+    """Orphans and staged views through ``quality_tables``: one aggregation a table, NULL references are no orphans."""
+    products = spark.createDataFrame([(1,), (1,), (None,)], "product_id long")
+    stock = spark.createDataFrame([(1, 5), (99, 5), (None, 5), (None, 6), (98, 1)], "product_id long, current_stock long")
+    builders = [lambda: products, lambda: stock] + [lambda: stock] * 11
+    tables = quality.quality_tables(*builders)
+    rules = [quality.Rule("g", "orphans", "orphan_stock", quality._count, "eq", 0),
+             quality.Rule("g", "rows", "inventory_state", quality._count, "eq", 5),
+             quality.Rule("g", "sum", "inventory_state", lambda: F.sum("current_stock"), "eq", 22)]
+    report = quality.run_rules(tables, rules)
+    assert [(r["rule_name"], r["value"]) for r in report.collect()] == [("orphans", 2), ("rows", 5), ("sum", 22)]
+    assert quality.run_rules(tables, rules[:2]).count() == 2
+    try:
+        quality.run_rules(tables, [quality.Rule("g", "bad", "orphan_stock", lambda: F.max("current_stock"), "eq", 0)])
+        raise AssertionError("a metric of a part must be a count")
+    except ValueError:
+        pass
