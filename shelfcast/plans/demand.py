@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions.columns import DOW_LABELS, iso_dow, rnd, safe_div, seconds_between
+from ..operators.distinct import distinct_counts
 from ..operators.grid import densify, int_axis
 from ..operators.smoothing import ewm_levels
 from ..session import materialize
@@ -22,15 +23,13 @@ def _per_hour_rate(n, first, last):
 def demand_overview(ev: DataFrame, approx: bool = False) -> DataFrame:
     """Purchases, buyers, products, first/last, purchases per hour
     (``approx`` = HyperLogLog++ distinct counts for very large inputs)."""
-    d = (lambda c: F.approx_count_distinct(c, 0.01)) if approx else F.count_distinct
-    return _purchases(ev).agg(
+    return distinct_counts(
+        _purchases(ev), {"unique_buyers": "user_id", "distinct_products_bought": "product_id"},
         F.count(F.lit(1)).alias("total_purchases"),
-        d("user_id").alias("unique_buyers"),
-        d("product_id").alias("distinct_products_bought"),
         F.min("timestamp").alias("first_purchase"),
         F.max("timestamp").alias("last_purchase"),
         rnd(_per_hour_rate(F.count(F.lit(1)), F.min("timestamp"), F.max("timestamp")), 2).alias("purchases_per_hour"),
-    )
+        approx=approx)
 
 
 def daily_purchases(ev: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import COMPETITORS, rnd, safe_div
+from ..operators.distinct import distinct_counts
 from ..operators.latest import latest_by
 from ..operators.stats import box_summary, describe_by, histogram
 
@@ -16,11 +17,10 @@ def latest_recs(recs: DataFrame) -> DataFrame:
 
 def price_overview(cp: DataFrame, recs: DataFrame) -> DataFrame:
     """Seven scalar facts from two one-row aggregates."""
-    a = cp.agg(F.count_distinct("product_id").alias("products_tracked"),
-               F.count_distinct("competitor_name").alias("competitors"),
-               F.count(F.lit(1)).alias("total_price_obs"),
-               F.to_date(F.min("timestamp")).alias("earliest_obs"),
-               F.to_date(F.max("timestamp")).alias("latest_obs"))
+    a = distinct_counts(cp, {"products_tracked": "product_id", "competitors": "competitor_name"},
+                        F.count(F.lit(1)).alias("total_price_obs"),
+                        F.to_date(F.min("timestamp")).alias("earliest_obs"),
+                        F.to_date(F.max("timestamp")).alias("latest_obs"))
     b = recs.agg(F.count_distinct("product_id").alias("products_with_rec"),
                  F.count(F.lit(1)).alias("total_recs"))
     return a.crossJoin(b)

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import FUNNEL_LABELS, FUNNEL_STAGES, rnd, safe_div, seconds_between, title_words
+from ..operators.distinct import distinct_counts
 from ..operators.funnel import count_flags, stage_flags, stage_sessions
 from ..operators.stats import histogram
 
@@ -14,22 +15,16 @@ def _or_one(c):
     return F.when(c == 0, F.lit(1)).otherwise(c)
 
 
-def _distinct(col: str, approx: bool):
-    """Exact COUNT(DISTINCT) or, opt-in for very large inputs, a HyperLogLog++
-    estimate (one small sketch per task instead of a shuffle of distinct values)."""
-    return F.approx_count_distinct(col, 0.01) if approx else F.count_distinct(col)
-
-
 def clickstream_overview(ev: DataFrame, approx: bool = False) -> DataFrame:
-    """Totals, distinct users / sessions, first and last date, span in seconds."""
-    return ev.agg(
+    """Totals, distinct users / sessions, first and last date, span in seconds
+    (``approx`` = HyperLogLog++ distinct counts for very large inputs)."""
+    return distinct_counts(
+        ev, {"unique_users": "user_id", "unique_sessions": "session_id"},
         F.count(F.lit(1)).alias("total_events"),
-        _distinct("user_id", approx).alias("unique_users"),
-        _distinct("session_id", approx).alias("unique_sessions"),
         F.to_date(F.min("timestamp")).alias("earliest_date"),
         F.to_date(F.max("timestamp")).alias("latest_date"),
         seconds_between(F.max("timestamp"), F.min("timestamp")).alias("data_span_seconds"),
-    )
+        approx=approx)
 
 
 def event_distribution(ev: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import DEVICES, SEGMENT_ORDER, in_list_position, rfm_segment, rnd, seconds_between
+from ..operators.distinct import distinct_counts
 from ..operators.rank import quantile_scores
 from ..operators.stats import describe_by, histogram
 from ..session import materialize
@@ -19,16 +20,14 @@ def purchase_overview(ev: DataFrame, approx: bool = False) -> DataFrame:
     """Purchase events, buyers, sessions, first/last date, AOV and GMV
     (``approx`` = HyperLogLog++ distinct counts for very large inputs)."""
     p = F.coalesce(F.col("product_price"), F.lit(0)).cast("double")
-    d = (lambda c: F.approx_count_distinct(c, 0.01)) if approx else F.count_distinct
-    return _purchases(ev).agg(
+    return distinct_counts(
+        _purchases(ev), {"unique_buyers": "user_id", "unique_purchase_sessions": "session_id"},
         F.count(F.lit(1)).alias("total_purchase_events"),
-        d("user_id").alias("unique_buyers"),
-        d("session_id").alias("unique_purchase_sessions"),
         F.to_date(F.min("timestamp")).alias("first_purchase"),
         F.to_date(F.max("timestamp")).alias("last_purchase"),
         rnd(F.avg(p), 2).alias("avg_order_value"),
         rnd(F.sum(F.coalesce(F.col("product_price"), F.lit(0))), 2).alias("total_gmv"),
-    )
+        approx=approx)
 
 
 def purchases_per_user(ev: DataFrame) -> DataFrame:

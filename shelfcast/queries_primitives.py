@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .functions.columns import (DEVICES, DOW_LABELS, EVENT_TYPES, FUNNEL_STAGES, WAREHOUSES, in_list_position,
                                 iso_dow, rnd, safe_div, seconds_between, stock_band, title_words)
 from .operators import describe_by, histogram, box_summary, latest_by, quantile_bins, stage_sessions
+from .operators.distinct import distinct_counts
 from .operators.grid import densify, int_axis
 from .oracle import R, q, staged
 from .plans import demand as G
@@ -214,9 +215,8 @@ def _a2(d):
 SELECT count(DISTINCT user_id) AS users, count(DISTINCT session_id) AS sessions,
        count(DISTINCT (user_id, device_type)) AS user_devices FROM clickstream""")
 def _a3(d):
-    return d.clickstream().agg(F.count_distinct("user_id").alias("users"),
-                               F.count_distinct("session_id").alias("sessions"),
-                               F.count_distinct("user_id", "device_type").alias("user_devices"))
+    return distinct_counts(d.clickstream(), {"users": "user_id", "sessions": "session_id",
+                                             "user_devices": ["user_id", "device_type"]})
 
 
 @reg("a4_conditional_distinct", staged("day", "(SELECT *, CAST(timestamp AS DATE) AS day FROM clickstream)"))

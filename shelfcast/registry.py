@@ -51,3 +51,4 @@ from . import queries_quality  # noqa: E402,F401
 from . import queries_streaming  # noqa: E402,F401
 from . import queries_primitives  # noqa: E402,F401
 from . import queries_extra  # noqa: E402,F401
+from . import queries_lake  # noqa: E402,F401
