@@ -14,9 +14,12 @@ its whole text.
 A known word scores its log frequency in every language. An unknown one scores
 the mean log frequency of its known n-grams of the greatest length that has any.
 The prediction is the language with the highest sum (ties: the smallest name),
-its score the posterior under equal priors.
+its score the posterior under equal priors. A posterior over a whole text comes near 1
+for some language whatever the text is in, so there is a certainty a word besides:
+``known``, the mean over the words of 1 for a known word and else of the share of its
+longest n-grams that any language knows. It falls where a text is in no learned language.
 
-Defined results: a null text or one without a letter gives ``und`` and score 0; so
+Defined results: a null text or one without a letter gives ``und``, score 0 and known 0; so
 does every text if there is no labelled row to learn from. A text whose words say
 nothing gets equal posteriors. Repeated rows are classified alike; an empty table
 gives an empty result. Only the named columns are read.
@@ -57,14 +60,18 @@ class Model:
     memo: dict[str, np.ndarray] = field(default_factory=dict, repr=False)
 
     def unknown(self, word: str) -> np.ndarray:
+        """Log frequency by language and, last, the known share of the longest n-grams."""
         v = self.memo.get(word)
         if v is None:
-            v = np.zeros(len(self.languages))
+            v = np.zeros(len(self.languages) + 1)
+            longest = min(LONGEST, len(word) + 2)
             for n in range(LONGEST, 0, -1):
                 rows = self.by_length.get(n, {})
-                known = [rows[g] for g in grams(word, n) if g in rows]
+                found = grams(word, n)
+                known = [rows[g] for g in found if g in rows]
                 if known:
-                    v = self.table[known].mean(0)
+                    v[:-1] = self.table[known].mean(0)
+                    v[-1] = len(known) / len(found) if n == longest else 0
                     break
             if len(self.memo) * (8 * len(v) + MEMO_ENTRY) > MEMO_BYTES:
                 self.memo.clear()
@@ -72,10 +79,14 @@ class Model:
         return v
 
     def predict(self, text: str | None) -> tuple[str, float]:
+        return self.judged(text)[:2]
+
+    def judged(self, text: str | None) -> tuple[str, float, float]:
+        """(lang, score, known)"""
         counts = Counter(WORD.findall((text or "").lower()))
         if not counts or not self.languages:
-            return "und", 0.0
-        known, times, total = [], [], np.zeros(len(self.languages))
+            return "und", 0.0, 0.0
+        known, times, total = [], [], np.zeros(len(self.languages) + 1)
         words = self.words
         for w, c in counts.items():
             row = words.get(w)
@@ -84,10 +95,12 @@ class Model:
             else:
                 known.append(row)
                 times.append(c)
+        share = float(total[-1] + sum(times)) / sum(counts.values())
+        total = total[:-1]
         if known:
-            total += np.array(times, float) @ self.table[known]
+            total = total + np.array(times, float) @ self.table[known]
         best = int(total.argmax())
-        return self.languages[best], float(1 / np.exp(total - total[best]).sum())
+        return self.languages[best], float(1 / np.exp(total - total[best]).sum()), share
 
 
 def train(docs: DataFrame, usable: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
@@ -145,12 +158,12 @@ def _model(kept, totals) -> Model:
 
 
 def predictor(docs: DataFrame, model: Model):
-    """A column function: text -> struct(lang string, score double)."""
+    """A column function: text -> struct(lang string, score double, known double)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double, known double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = shared.value
         for texts in batches:
-            yield pd.DataFrame([m.predict(t) for t in texts], columns=["lang", "score"], index=texts.index)
+            yield pd.DataFrame([m.judged(t) for t in texts], columns=["lang", "score", "known"], index=texts.index)
     return predict.asNondeterministic()  # so that a filter on the result does not run it again

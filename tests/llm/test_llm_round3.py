@@ -238,3 +238,34 @@ def test_periodic_query_equals_brute_force(spark):
         assert r["exponent_milli"] == (1000 * best[1] // best[2] if runs else None)
         assert r["runs_sha256"] == hashlib.sha256("".join(f"{s},{m},{q}\n" for s, m, q in runs).encode()).hexdigest()
         assert r["collapsed_sha256"] == hashlib.sha256(left).hexdigest()
+
+
+# ---------------------------------------------------------------- language ID: certainty a word
+def test_known_share_equals_a_plain_count(spark):
+    from shelfcast.llm import language_id
+    rows = [(1, "the dog and the cat", "en"), (2, "der hund und die katze", "de")]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    trained = {w for _, t, _ in rows for w in t.split()}
+    seen = {(n, g) for w in trained for n in range(1, 5) for g in language_id.grams(w, n)}
+    for text in ("the dog", "dogs und cats", "a", "é", "собака the", "hunde kätzchen x the the", "katze " * 50 + "qqqq"):
+        shares = []
+        for w in text.split():
+            found = language_id.grams(w, min(4, len(w) + 2))
+            shares.append(1.0 if w in trained else sum((len(g), g) in seen for g in found) / len(found))
+        assert abs(model.judged(text)[2] - sum(shares) / len(shares)) < 1e-12, text
+        assert model.judged(text)[:2] == model.predict(text)
+    assert [model.judged(t) for t in (None, "", "12 %")] == [("und", 0.0, 0.0)] * 3
+
+
+def test_language_stage_rejects_unlearned_languages_and_keeps_clean_documents(spark):
+    import corpus_pipeline
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    foreign = ["Это русский текст о собаке и кошке, которые живут в большом доме у реки. " * 20,
+               "Ten tekst jest napisany po polsku i mówi o psie oraz kocie, którzy mieszkają w dużym domu. " * 20,
+               "Tämä on suomenkielinen teksti joka kertoo koirasta ja kissasta isossa talossa joen rannalla. " * 20]
+    # without a label they teach nothing
+    added = spark.createDataFrame([(10**9 + i, t) for i, t in enumerate(foreign)], "doc_id long, text string")
+    whole = docs.unionByName(added, allowMissingColumns=True)
+    kept = {r["doc_id"] for r in corpus_pipeline.language_stage(spark, whole, SF).select("doc_id").collect()}
+    assert not kept & {10**9 + i for i in range(3)}
+    assert kept == {r["doc_id"] for r in docs.where(F.col("text").rlike(r"\p{L}")).select("doc_id").collect()}
