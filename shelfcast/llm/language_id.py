@@ -17,9 +17,10 @@ The prediction is the language with the highest sum (ties: the smallest name),
 its score the posterior under equal priors. A posterior over a whole text comes near 1
 for some language whatever the text is in, so there is a certainty a word besides:
 ``known``, the mean over the words of 1 for a known word and else of the share of its
-longest n-grams that any language knows. It falls where a text is in no learned language.
+longest n-grams that any language knows. It falls where a text is in no learned language;
+``unlearned`` tells how low is low, from labelled rows that were not learned from.
 
-Defined results: a null text or one without a letter gives ``und``, score 0 and known 0; so
+Defined results: a null text or one without a letter gives ``und``, score 0, known 0 and words 0; so
 does every text if there is no labelled row to learn from. A text whose words say
 nothing gets equal posteriors. Repeated rows are classified alike; an empty table
 gives an empty result. Only the named columns are read.
@@ -81,11 +82,11 @@ class Model:
     def predict(self, text: str | None) -> tuple[str, float]:
         return self.judged(text)[:2]
 
-    def judged(self, text: str | None) -> tuple[str, float, float]:
-        """(lang, score, known)"""
+    def judged(self, text: str | None) -> tuple[str, float, float, int]:
+        """(lang, score, known, words)"""
         counts = Counter(WORD.findall((text or "").lower()))
         if not counts or not self.languages:
-            return "und", 0.0, 0.0
+            return "und", 0.0, 0.0, 0
         known, times, total = [], [], np.zeros(len(self.languages) + 1)
         words = self.words
         for w, c in counts.items():
@@ -95,12 +96,13 @@ class Model:
             else:
                 known.append(row)
                 times.append(c)
-        share = float(total[-1] + sum(times)) / sum(counts.values())
+        n = sum(counts.values())
+        share = float(total[-1] + sum(times)) / n
         total = total[:-1]
         if known:
             total = total + np.array(times, float) @ self.table[known]
         best = int(total.argmax())
-        return self.languages[best], float(1 / np.exp(total - total[best]).sum()), share
+        return self.languages[best], float(1 / np.exp(total - total[best]).sum()), share, n
 
 
 def train(docs: DataFrame, usable: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
@@ -158,12 +160,28 @@ def _model(kept, totals) -> Model:
 
 
 def predictor(docs: DataFrame, model: Model):
-    """A column function: text -> struct(lang string, score double, known double)."""
+    """A column function: text -> struct(lang string, score double, known double, words long)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang string, score double, known double")
+    @F.pandas_udf("lang string, score double, known double, words long")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = shared.value
         for texts in batches:
-            yield pd.DataFrame([m.judged(t) for t in texts], columns=["lang", "score", "known"], index=texts.index)
+            yield pd.DataFrame([m.judged(t) for t in texts], columns=["lang", "score", "known", "words"], index=texts.index)
     return predict.asNondeterministic()  # so that a filter on the result does not run it again
+
+
+def unlearned(docs: DataFrame, model: Model, tests: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
+              sample_docs: int = 5_000) -> Column:
+    """Whether a prediction ``p`` is of a text that is in none of the learned languages, as
+    far as its words can tell: its known share lies below half of what all but a hundredth of
+    the labelled rows reach that ``tests`` names (rows that the model did not learn from; a
+    sample of ``sample_docs`` in expectation, by a hash of the id). A share of few words says
+    little, so 1 / sqrt(words) is allowed for chance. Without such rows nothing is rejected,
+    and a model that learned from too little to know even those rejects little."""
+    rows = docs.where(tests & F.col(text).isNotNull() & F.col(lang).cast("string").isin(model.languages))
+    step = -(-rows.count() // sample_docs) or 1
+    sample = rows.where(F.pmod(F.xxhash64(F.col(doc_id).cast("string")), F.lit(step)) == 0)
+    low = (sample.select(predictor(docs, model)(F.col(text)).alias("p")).where("p.words > 0")
+           .agg(F.percentile("p.known", 0.01)).first()[0]) or 0.0
+    return F.col("p.known") + 1 / F.sqrt(F.greatest("p.words", F.lit(1))) < low / 2
