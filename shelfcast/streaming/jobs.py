@@ -386,17 +386,23 @@ class Feed:
     unit: str = "day"
 
 
+STAGED_GROUP = 32 << 20  # bytes of a row group, which each writing task buffers
+
+
 def ingest_sink(base: str, feeds: dict[str, Feed]):
     """foreachBatch sink for rows (topic, value) of several topics.
 
-    A batch is read once. Of each topic, messages not seen before go to
+    A batch is read from its source once and staged as Parquet: one held in the executors'
+    storage would grow with the batch. Of each topic, messages not seen before go to
     ``<base>/<topic>/log``, undecodable ones and those without their key to
     ``<base>/<topic>/dead_letter/batch=N``, and the batch's counts (received, kept,
     duplicates, errors) to ``<base>/counters/batch=N``. All are written under the batch id,
     so a replayed batch replaces what it wrote. Other topics' messages are left out."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.select("topic", "value").persist()
+        staged = f"{base}/staged/batch={batch_id}"
+        batch.select("topic", "value").write.mode("overwrite").option("parquet.block.size", STAGED_GROUP).parquet(staged)
+        batch = spark.read.schema("topic string, value string").parquet(staged)
         try:
             counts = None
             for topic, feed in feeds.items():
@@ -414,7 +420,8 @@ def ingest_sink(base: str, feeds: dict[str, Feed]):
             (wide.withColumn("duplicates", F.col("received") - F.col("kept") - F.col("errors"))
              .coalesce(1).write.mode("overwrite").parquet(f"{base}/counters/batch={batch_id}"))  # a row a topic
         finally:
-            batch.unpersist()
+            target = spark._jvm.org.apache.hadoop.fs.Path(staged)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
     return run
 
 

@@ -112,3 +112,19 @@ def test_three_topics_through_a_query_that_restarts(spark):
     assert sorted(r["event_id"] for r in log.collect()) == ["1", "2", "3"]
     dead = spark.read.parquet(base + "/o/a/dead_letter").select(F.col("raw_message")).collect()
     assert len(dead) == 3
+
+
+def test_an_ingested_batch_is_not_held_in_the_executors_storage(spark, monkeypatch):
+    base = tempfile.mkdtemp()
+    batch = spark.createDataFrame([("a", json.dumps({"event_id": str(i % 5), "timestamp": "2024-01-02T03:04:05"})) for i in range(9)]
+                                  + [("b", None)], "topic string, value string")
+
+    def held(*_):
+        raise AssertionError("the batch is cached")
+    for name in ("persist", "cache"):
+        monkeypatch.setattr(type(batch), name, held)
+    schema = spark.createDataFrame([], "event_id string, timestamp timestamp_ntz").schema
+    jobs.ingest_sink(base, {t: jobs.Feed(schema) for t in ("a", "b")})(batch, 0)
+    got = {r["topic"]: (r["received"], r["kept"], r["duplicates"], r["errors"]) for r in jobs.stream_counters(spark, base).collect()}
+    assert got == {"a": (9, 5, 4, 0), "b": (1, 0, 0, 1)}
+    assert not os.path.exists(base + "/staged/batch=0")
