@@ -298,13 +298,13 @@ def _folded(df: DataFrame, keys: list[str], order: Sequence[str], delta: str, ts
     rows = df
     if init is not None:
         rows = _join_groups(rows, init.select(*keys, F.greatest(F.col("stock").cast("long"), F.lit(0)).alias("_s0")), keys, "left")
-    else:
-        rows = rows.withColumn("_s0", F.lit(0).cast("long"))
+    # only the columns themselves are shuffled
+    needed = [*dict.fromkeys([*keys, *columns]), *(["_s0"] if init is not None else [])]
+    rows = rows.select(*[(F.coalesce(F.col(c).cast("long"), F.lit(0)) if c == delta else F.col(c)).alias(c) for c in needed])
+    rows = rows.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order)
     # one string a key, NULLs included, to tell keys apart in the workers
     rows = rows.select(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias("_key"), F.struct(*keys).alias("_k"),
-                       F.coalesce("_s0", F.lit(0)).alias("_s0"),
-                       *[(F.coalesce(F.col(c).cast("long"), F.lit(0)) if c == delta else F.col(c)).alias(c) for c in columns])
-    rows = rows.repartitionByRange(n, "_key", *order).sortWithinPartitions("_key", *order)
+                       (F.lit(0).cast("long") if init is None else F.coalesce("_s0", F.lit(0))).alias("_s0"), *columns)
     own = [f for f in rows.schema.fields if f.name in columns] if emit == "skipped" else []
     state = STATE.format(ts=rows.schema[ts].dataType.simpleString())
     ident = f"_key string, _k {rows.schema['_k'].dataType.simpleString()}, _s0 bigint"

@@ -114,9 +114,9 @@ def _delivered_twice(d, base, table):
     micro-batch: every message of the second is a repetition. A delivery keeps the
     table's own partitions; the source takes files by age."""
     data = fixtures.load(d.spark, d.data_dir, table)
-    data.write.parquet(base + "/landing")
+    data.write.option("compression", "zstd").parquet(base + "/landing")
     files = len(d.spark.read.parquet(base + "/landing").inputFiles())
-    data.write.mode("append").parquet(base + "/landing")
+    data.write.mode("append").option("compression", "zstd").parquet(base + "/landing")
     return d.spark.readStream.schema(data.schema).option("maxFilesPerTrigger", files).parquet(base + "/landing")
 
 

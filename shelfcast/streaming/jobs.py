@@ -199,18 +199,23 @@ def append_new(batch: DataFrame, log_path: str, batch_id: int, key: str = "event
 
     A repeated message finds itself in the log however late it comes (a repetition
     has the same time, so only the batch's dates are read), a late message is a row
-    like any other, and a replayed batch replaces its own files."""
+    like any other, and a replayed batch replaces its own files.
+
+    Whole rows are shuffled twice, by key and by date. The shuffle by key comes first:
+    dropping repetitions before it would sort (and spill) every row on both sides."""
     spark = batch.sparkSession
-    rows = batch.withColumn("date", F.to_date(F.date_trunc(unit, ts))).dropDuplicates([key])
-    lo, hi = rows.agg(F.min("date"), F.max("date")).first()
+    date = F.to_date(F.date_trunc(unit, ts))
+    lo, hi = batch.agg(F.min(date), F.max(date)).first()
+    rows = batch.repartition(key).withColumn("date", date)
     seen = event_log(spark, log_path, rows.schema)
     if seen is not None and lo is not None:
         seen = seen.filter((F.col("batch") < batch_id) & F.col("date").between(lo, hi)).select(key)
         rows = rows.join(seen, key, "left_anti")
+    rows = rows.dropDuplicates([key])
     path = os.path.join(log_path, f"batch={batch_id}")
     schema = rows.schema
     # a date's rows meet in a task, but a large date is split over several
-    rows.hint("rebalance", "date").write.mode("overwrite").partitionBy("date").parquet(path)
+    rows.hint("rebalance", "date").write.mode("overwrite").option("compression", "zstd").partitionBy("date").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -228,3 +228,24 @@ def test_ewm_levels_equal_pandas_over_the_zero_filled_series(spark, hours):
         want = list(series.ewm(alpha=0.4, adjust=False).mean())[::-1] + [None] * 4
         assert (r["n"], r["last"]) == (hours, (hours - 1) * 3)
         assert [r["y"], r["p1"], r["p2"], r["p3"], r["p4"]] == [None if w is None else pytest.approx(w, abs=1e-12) for w in want[:5]]
+
+
+def test_guarded_fold_shuffles_the_columns_alone(spark, monkeypatch):
+    from shelfcast.operators import fold
+    plans, write = [], fold.materialize
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+    monkeypatch.setattr(fold, "materialize", seen)
+    rows = [(None if i % 7 == 0 else i % 5, f"w{i % 2}", i, None if i % 11 == 0 else (-1) ** i * (i % 4)) for i in range(200)]
+    df = spark.createDataFrame(rows, "p int, w string, timestamp int, x int")
+    got = {(r["p"], r["w"]): (r["current_stock"], r["events"]) for r in
+           fold.guarded_fold(df, ["p", "w"], ["timestamp", "x"], "x", num_partitions=4).collect()}
+    want = {}
+    for p, w, _, x in rows:
+        stock, n = want.get((p, w), (0, 0))
+        want[p, w] = (stock + (x or 0) if stock + (x or 0) >= 0 else stock, n + 1)
+    assert got == want
+    below = plans[0][plans[0].index("rangepartitioning"):]
+    assert "to_json" not in below and "_key" not in below
