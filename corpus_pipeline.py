@@ -29,15 +29,17 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the predictor names with some certainty: the posterior
     says which language, the share of known words whether it is any (a text in a learned
-    language's close relative may pass)."""
+    language's close relative may pass). All labelled rows count: two thirds are learned
+    from, the rest say how low a share is low. Rows are predicted once and written."""
     prepare(spark)
-    learned = F.crc32(F.col("doc_id").cast("string")) % 3 != 1
-    model = language_id.train(docs, learned)
+    learned = lambda doc_id: F.crc32(F.col(doc_id).cast("string")) % 3 != 1
+    model = language_id.train(docs, learned("doc_id"))
     if not model.languages:  # nothing to learn from, so no ground to reject anything
         return docs
     predict = language_id.predictor(docs, model)
-    unlearned = language_id.unlearned(docs, model, ~learned)
-    return (docs.select(F.struct("*").alias("doc"), predict("text").alias("p"))
+    judged = written(docs.select(F.struct("*").alias("doc"), predict("text").alias("p")), "language-judged")
+    unlearned = language_id.unlearned(judged, model, ~learned("doc.doc_id"), F.col("doc.lang"))
+    return (judged
             .where((F.col("p.lang") != "und") & (F.col("p.score") >= MIN_LANGUAGE_SCORE) & ~unlearned)
             .select("doc.*"))
 

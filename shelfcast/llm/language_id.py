@@ -1,15 +1,13 @@
 """Language identification by words first, backing off to character n-grams.
 
 Training counts words and the character n-grams (4 down to 1, words marked by a
-blank at both ends) of a bounded sample of labelled rows of every language:
-``sample_docs`` rows a language in expectation, taken by a hash of the id, so the
-sample doesn't depend on the order or the partitions of the table, and a language
-with few rows keeps all of them. Spark counts. The model keeps each language's
+blank at both ends) of all labelled rows of every language. Spark counts: words
+first, then the n-grams of the distinct words, so a word is cut into n-grams once a
+language however often it occurs. The model keeps each language's
 ``max_words`` most frequent words and as many n-grams, with their counts in all
 languages, so a kept word has a true count in each; that bounds what reaches the
-driver and the tasks by the number of languages. Every language is kept. The
-classifier alone is fitted on a sample; every row of the table is classified, over
-its whole text.
+driver and the tasks by the number of languages. Every language is kept. Every row of
+the table is classified, over its whole text.
 
 A known word scores its log frequency in every language. An unknown one scores
 the mean log frequency of its known n-grams of the greatest length that has any.
@@ -106,36 +104,52 @@ class Model:
 
 
 def train(docs: DataFrame, usable: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
-          sample_docs: int = 5_000, max_words: int = 15_000) -> Model:
-    """Fit on rows where ``usable`` holds and text and label aren't null."""
+          sample_docs: int | None = None, max_words: int = 15_000) -> Model:
+    """Fit on all rows where ``usable`` holds and text and label aren't null, or if asked for on
+    ``sample_docs`` a language in expectation, taken by a hash of the id."""
     rows = docs.where(usable & F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(doc_id).alias("doc_id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    sizes = rows.groupBy("lang").count().withColumn("step", F.ceil(F.col("count") / sample_docs)).select("lang", "step")
-    sample = rows.join(written(sizes, "language-sizes"), "lang").where(
-        F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.col("step")) == 0)
-    counts = written(sample.select("lang", "text").mapInPandas(_counted, "lang string, n int, gram string, c long")
-                     .groupBy("lang", "n", "gram").agg(F.sum("c").alias("c")), "language-counts")
+    if sample_docs is not None:
+        sizes = rows.groupBy("lang").count().withColumn("step", F.ceil(F.col("count") / sample_docs)).select("lang", "step")
+        rows = rows.join(written(sizes, "language-sizes"), "lang").where(
+            F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.col("step")) == 0)
+    counted = "lang string, n int, gram string, c long"
+    summed = lambda df: df.groupBy("lang", "n", "gram").agg(F.sum("c").alias("c"))
+    # no word holds a blank: what stands between blanks is counted, and words are looked for in distinct ones
+    tokens = rows.select("lang", F.explode(F.split("text", " ")).alias("token")).groupBy("lang", "token").agg(F.count("*").alias("c"))
+    found = F.explode(F.regexp_extract_all(F.lower("token"), F.lit(f"({WORD.pattern})"), F.lit(1))).alias("gram")
+    words = written(summed(tokens.select("lang", F.lit(0).alias("n"), found, "c")), "language-words")
+    counts = written(words.unionByName(summed(words.mapInPandas(_gram_counts, counted))), "language-counts")
     totals = counts.groupBy("lang", "n").agg(F.sum("c").alias("total"), F.count("*").alias("types"))
     place = F.row_number().over(Window.partitionBy("lang", F.col("n") > 0).orderBy(F.desc("c"), "n", "gram"))
     grams = counts.withColumn("place", place).where(F.col("place") <= max_words).select("n", "gram").distinct()
     return _model(counts.join(grams, ["n", "gram"]).collect(), totals.collect())
 
 
-def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+HELD_COUNTS = 1 << 17  # counts that a counting task holds before it gives them out
+
+
+def _given_out(held: dict[tuple[str, int], Counter]) -> Iterator[pd.DataFrame]:
+    """The counts held by (lang, n), in frames of bounded size; none are held then."""
+    for (lang, n), counts in held.items():
+        found = list(counts.items())
+        for at in range(0, len(found), HELD_COUNTS):
+            some = found[at:at + HELD_COUNTS]
+            yield pd.DataFrame({"lang": lang, "n": n, "gram": [g for g, _ in some], "c": [c for _, c in some]})
+    held.clear()
+
+
+def _gram_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    held: dict[tuple[str, int], Counter] = defaultdict(Counter)
     for pdf in batches:
-        words: dict[str, Counter] = defaultdict(Counter)
-        for lang, text in zip(pdf["lang"], pdf["text"]):
-            words[lang].update(WORD.findall(text.lower()))
-        out = []
-        for lang, counts in words.items():
-            ngrams: Counter = Counter()
-            for w, c in counts.items():
-                for n in range(1, LONGEST + 1):
-                    for g in grams(w, n):
-                        ngrams[n, g] += c
-            out += [(lang, 0, w, c) for w, c in counts.items()]
-            out += [(lang, n, g, c) for (n, g), c in ngrams.items()]
-        yield pd.DataFrame(out, columns=["lang", "n", "gram", "c"])
+        for lang, word, c in zip(pdf["lang"], pdf["gram"], pdf["c"]):
+            for n in range(1, LONGEST + 1):
+                counts = held[lang, n]
+                for g in grams(word, n):
+                    counts[g] += c
+        if sum(map(len, held.values())) > HELD_COUNTS:
+            yield from _given_out(held)
+    yield from _given_out(held)
 
 
 def _model(kept, totals) -> Model:
@@ -171,17 +185,15 @@ def predictor(docs: DataFrame, model: Model):
     return predict.asNondeterministic()  # so that a filter on the result does not run it again
 
 
-def unlearned(docs: DataFrame, model: Model, tests: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
-              sample_docs: int = 5_000) -> Column:
+def unlearned(judged: DataFrame, model: Model, tests: Column, lang: Column, p: str = "p") -> Column:
     """Whether a prediction ``p`` is of a text that is in none of the learned languages, as
     far as its words can tell: its known share lies below half of what all but a hundredth of
-    the labelled rows reach that ``tests`` names (rows that the model did not learn from; a
-    sample of ``sample_docs`` in expectation, by a hash of the id). A share of few words says
-    little, so 1 / sqrt(words) is allowed for chance. Without such rows nothing is rejected,
-    and a model that learned from too little to know even those rejects little."""
-    rows = docs.where(tests & F.col(text).isNotNull() & F.col(lang).cast("string").isin(model.languages))
-    step = -(-rows.count() // sample_docs) or 1
-    sample = rows.where(F.pmod(F.xxhash64(F.col(doc_id).cast("string")), F.lit(step)) == 0)
-    low = (sample.select(predictor(docs, model)(F.col(text)).alias("p")).where("p.words > 0")
-           .agg(F.percentile("p.known", 0.01)).first()[0]) or 0.0
-    return F.col("p.known") + 1 / F.sqrt(F.greatest("p.words", F.lit(1))) < low / 2
+    the labelled rows of ``judged`` reach that ``tests`` names (rows that the model did not learn
+    from; all of them count). Shares are rounded to four decimals for that, which bounds the
+    values counted. A share of few words says little, so 1 / sqrt(words) is allowed for chance.
+    Without such rows nothing is rejected, and a model that learned from too little to know
+    even those rejects little. ``judged`` is read for it, so it should be written."""
+    known = F.col(f"{p}.known")
+    low = (judged.where(tests & lang.cast("string").isin(model.languages) & (F.col(f"{p}.words") > 0))
+           .agg(F.percentile(F.round(known, 4), 0.01)).first()[0]) or 0.0
+    return known + 1 / F.sqrt(F.greatest(f"{p}.words", F.lit(1))) < low / 2
