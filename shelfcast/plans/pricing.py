@@ -29,15 +29,18 @@ def avg_of_latest(latest: DataFrame) -> DataFrame:
         rnd(F.avg(F.col("competitor_price").cast("double")), 2).alias("avg_competitor_price"))
 
 
-def pricing_cycle(products: DataFrame, ev: DataFrame, cp: DataFrame, as_of=None,
-                  lookback: str = "1 hour", high: float = DEMAND_HIGH, low: float = DEMAND_LOW) -> DataFrame:
+def pricing_cycle(products: DataFrame, ev: DataFrame, cp: DataFrame | None, as_of=None,
+                  lookback: str = "1 hour", high: float = DEMAND_HIGH, low: float = DEMAND_LOW,
+                  latest: DataFrame | None = None) -> DataFrame:
     """One recommendation per product that has competitor prices.
 
     Inner join with the competitor averages (products without competitor data
-    are skipped), left join with demand (missing -> 0), then the E3 rule.
+    are skipped), left join with demand (missing -> 0), then the E3 rule. ``latest``: the
+    latest row per (product, competitor) of ``cp``, where it is at hand.
     """
     at = as_of_col(ev, as_of)
-    return recommendations(products, avg_competitor_price(cp), demand_velocity(ev, at, lookback), at, high, low)
+    comp = avg_competitor_price(cp) if latest is None else avg_of_latest(latest)
+    return recommendations(products, comp, demand_velocity(ev, at, lookback), at, high, low)
 
 
 def recommendations(products: DataFrame, comp: DataFrame, demand: DataFrame, at: Column,

@@ -33,7 +33,11 @@ def stg_inventory(inv: DataFrame) -> DataFrame:
 
 def stg_competitor_prices(cp: DataFrame) -> DataFrame:
     """Latest observation per (product, competitor), typed."""
-    latest = latest_by(cp, ["product_id", "competitor_name"], COMPETITOR_ORDER)
+    return typed_prices(latest_by(cp, ["product_id", "competitor_name"], COMPETITOR_ORDER))
+
+
+def typed_prices(latest: DataFrame) -> DataFrame:
+    """X1 from the latest row per (product, competitor)."""
     return latest.select(
         "product_id", "competitor_name",
         F.col("competitor_price").cast("decimal(10,2)").alias("competitor_price"),

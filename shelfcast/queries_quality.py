@@ -5,6 +5,7 @@ from functools import cache
 
 from pyspark.sql import functions as F
 
+from .operators.latest import latest_by
 from .plans import marts, quality, staging
 from .plans.common import as_of_col
 from .registry import COMPETITOR_LOOKBACK, QUALITY_AS_OF, metrics_of, recs_of, register, stock_of
@@ -12,16 +13,18 @@ from .session import materialize
 
 
 def _tables(d):
-    """The stock, the recommendations and the marts of products are read by several rules
-    and marts: they are written once for a report."""
+    """The stock, the latest prices, the recommendations and the marts of products are read
+    by several rules and marts: they are written once for a report."""
     stock = cache(lambda: materialize(stock_of(d), "quality-stock"))
-    recs = cache(lambda: materialize(recs_of(d), "quality-recs"))
+    latest = cache(lambda: materialize(latest_by(d.competitor_prices(), ["product_id", "competitor_name"], staging.COMPETITOR_ORDER),
+                                       "quality-latest"))
+    recs = cache(lambda: materialize(recs_of(d, latest()), "quality-recs"))
     performance = cache(lambda: materialize(marts.product_performance(d.products(), metrics_of(d), stock()), "quality-performance"))
     pricing = cache(lambda: materialize(marts.pricing_analysis(
         d.products(), d.competitor_prices(), recs(), lookback=COMPETITOR_LOOKBACK), "quality-pricing"))
     return quality.quality_tables(
         d.products, stock, d.clickstream, d.inventory_events, d.competitor_prices, recs,
-        staging.stg_clickstream, staging.stg_inventory, staging.stg_competitor_prices,
+        staging.stg_clickstream, staging.stg_inventory, lambda _: staging.typed_prices(latest()),
         lambda: marts.daily_funnel_metrics(d.clickstream(), d.products()), performance, pricing,
         lambda: marts.hourly_demand(d.clickstream(), d.products()))
 

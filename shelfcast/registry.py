@@ -30,9 +30,9 @@ def register(key: str):
     return deco
 
 
-def recs_of(d: Domain) -> DataFrame:
+def recs_of(d: Domain, latest: DataFrame | None = None) -> DataFrame:
     from .plans.pricing import pricing_cycle
-    return pricing_cycle(d.products(), d.clickstream(), d.competitor_prices(), lookback=DEMAND_LOOKBACK)
+    return pricing_cycle(d.products(), d.clickstream(), d.competitor_prices(), lookback=DEMAND_LOOKBACK, latest=latest)
 
 
 def metrics_of(d: Domain) -> DataFrame:

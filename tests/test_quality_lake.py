@@ -106,3 +106,26 @@ def test_parts_are_counted_in_the_scan_of_their_table(spark):
         raise AssertionError("a metric of a part must be a count")
     except ValueError:
         pass
+
+
+def test_a_summary_evaluates_the_report_once(spark):
+    rows = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for pdf in batches:
+            rows.add(len(pdf))
+            yield pdf
+    report = spark.createDataFrame([("a", True), ("a", False), ("b", True)], "rule_group string, passed boolean").mapInPandas(
+        counted, "rule_group string, passed boolean")
+    got = {r["rule_group"]: (r["rules"], r["passed"], r["failed"]) for r in quality.summarize(report).collect()}
+    assert got == {"a": (2, 1, 1), "b": (1, 1, 0), "ALL": (3, 2, 1)} and rows.value == 3
+
+
+def test_a_report_takes_the_latest_prices_from_one_written_table(spark):
+    from conftest import SF_SMALL
+    from shelfcast import queries_quality
+    from shelfcast.sources.fixtures import Domain
+    tables = queries_quality._tables(Domain(spark, SF_SMALL))
+    found = tables["stg_competitor_prices"]()
+    assert {f.split("/")[-2].rsplit("-", 1)[0] for f in found.inputFiles()} == {"quality-latest"}
+    assert found.count() > 0
