@@ -18,6 +18,10 @@ for some language whatever the text is in, so there is a certainty a word beside
 longest n-grams that any language knows. It falls where a text is in no learned language;
 ``unlearned`` tells how low is low, from labelled rows that were not learned from.
 
+All of that is summed over words, so a text is cut at white space and frequent stops, and each
+distinct token costs a look-up, among the known words or those that the task remembers, within
+``MEMO_BYTES``. Only other tokens are searched for words and cut into n-grams.
+
 Defined results: a null text or one without a letter gives ``und``, score 0, known 0 and words 0; so
 does every text if there is no labelled row to learn from. A text whose words say
 nothing gets equal posteriors. Repeated rows are classified alike; an empty table
@@ -39,8 +43,11 @@ from .common import written
 
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 LONGEST = 4
+STOPS = ".,;:!?\"'()-%&*#$|<>"  # frequent characters that no word holds
+LONG_TOKEN = 64  # code points of the longest token that is remembered
+BLOCK = 4096  # tokens added up at once
 MEMO_BYTES = 64 << 20
-MEMO_ENTRY = 250  # bytes of a word and its place, besides its numbers
+MEMO_ENTRY = 250  # bytes of a token and its place, besides its numbers
 SMOOTHING = 0.5
 
 
@@ -56,49 +63,99 @@ class Model:
     words: dict[str, int]
     by_length: dict[int, dict[str, int]]
     table: np.ndarray
-    memo: dict[str, np.ndarray] = field(default_factory=dict, repr=False)
-
-    def unknown(self, word: str) -> np.ndarray:
-        """Log frequency by language and, last, the known share of the longest n-grams."""
-        v = self.memo.get(word)
-        if v is None:
-            v = np.zeros(len(self.languages) + 1)
-            longest = min(LONGEST, len(word) + 2)
-            for n in range(LONGEST, 0, -1):
-                rows = self.by_length.get(n, {})
-                found = grams(word, n)
-                known = [rows[g] for g in found if g in rows]
-                if known:
-                    v[:-1] = self.table[known].mean(0)
-                    v[-1] = len(known) / len(found) if n == longest else 0
-                    break
-            if len(self.memo) * (8 * len(v) + MEMO_ENTRY) > MEMO_BYTES:
-                self.memo.clear()
-            self.memo[word] = v
-        return v
+    memo: dict[str, int] = field(default_factory=dict, repr=False)  # token -> its row of ``scores``
+    scores: np.ndarray | None = field(default=None, repr=False)
+
+    def backed_off(self, word: str) -> tuple[list[int], float]:
+        """The rows that an unknown word scores the mean of, and the known share of its longest n-grams."""
+        longest = min(LONGEST, len(word) + 2)
+        for n in range(LONGEST, 0, -1):
+            rows = self.by_length.get(n, {})
+            found = list(map(rows.get, grams(word, n)))
+            known = [row for row in found if row is not None]
+            if known:
+                return known, len(known) / len(found) if n == longest else 0.0
+        return [], 0.0
+
+    def scored(self, tokens: list[str]) -> np.ndarray:
+        """Of each token (in small letters), summed over its words: log frequency by language, known shares, words."""
+        out = np.zeros((len(tokens), len(self.languages) + 2))
+        at, rows, sizes, shares, times = [], [], [], [], []
+        for i, token in enumerate(tokens):
+            words, share = [token] if token.isalpha() else WORD.findall(token), 0.0
+            for w in words:
+                row = self.words.get(w)
+                found, part = ([row], 1.0) if row is not None else self.backed_off(w)
+                share += part
+                if found:
+                    at.append(i)
+                    rows += found
+                    sizes.append(len(found))
+            shares.append(share)
+            times.append(len(words))
+        if rows:
+            ends = np.cumsum(sizes)
+            means = np.add.reduceat(self.table[rows], ends - sizes) / np.array(sizes)[:, None]
+            np.add.at(out[:, :-2], at, means)
+        out[:, -2], out[:, -1] = shares, times
+        return out
+
+    def remembered(self, tokens: list[str]) -> np.ndarray:
+        """As ``scored``, for at most ``BLOCK`` tokens that aren't long; each is scored once while it is held."""
+        if self.scores is None:
+            width = len(self.languages) + 2
+            self.scores = np.empty((max(BLOCK, MEMO_BYTES // (8 * width + MEMO_ENTRY)), width))
+        memo = self.memo
+        places = list(map(memo.get, tokens))
+        if None in places:
+            new = [t for t, place in zip(tokens, places) if place is None]
+            if len(memo) + len(new) > len(self.scores):
+                memo.clear()
+                new = tokens
+            first = len(memo)
+            self.scores[first:first + len(new)] = self.scored(new)
+            memo.update(zip(new, range(first, first + len(new))))
+            places = list(map(memo.get, tokens))
+        return self.scores[places]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         return self.judged(text)[:2]
 
     def judged(self, text: str | None) -> tuple[str, float, float, int]:
         """(lang, score, known, words)"""
-        counts = Counter(WORD.findall((text or "").lower()))
+        # no word holds white space or a stop, so a text is the sum of its tokens
+        lowered = (text or "").lower()
+        for c in STOPS:
+            lowered = lowered.replace(c, " ")
+        counts = Counter(lowered.split())
         if not counts or not self.languages:
             return "und", 0.0, 0.0, 0
-        known, times, total = [], [], np.zeros(len(self.languages) + 1)
+        for token in [t for t in counts if len(t) > LONG_TOKEN]:
+            c = counts.pop(token)
+            for w, k in Counter(WORD.findall(token)).items():
+                counts[w] += c * k
+        total = np.zeros(len(self.languages) + 2)
+        known, times, others = [], [], {}
         words = self.words
         for w, c in counts.items():
             row = words.get(w)
-            if row is None:
-                total += c * self.unknown(w)
-            else:
+            if row is not None:
                 known.append(row)
                 times.append(c)
-        n = sum(counts.values())
-        share = float(total[-1] + sum(times)) / n
-        total = total[:-1]
+            elif len(w) > LONG_TOKEN:
+                total += c * self.scored([w])[0]
+            else:
+                others[w] = c
         if known:
-            total = total + np.array(times, float) @ self.table[known]
+            total[:-2] += np.array(times, float) @ self.table[known]
+            total[-2:] += sum(times)
+        tokens, times = list(others), np.fromiter(others.values(), float, len(others))
+        for i in range(0, len(tokens), BLOCK):
+            total += times[i:i + BLOCK] @ self.remembered(tokens[i:i + BLOCK])
+        n = int(total[-1])
+        if not n:
+            return "und", 0.0, 0.0, 0
+        share, total = float(total[-2]) / n, total[:-2]
         best = int(total.argmax())
         return self.languages[best], float(1 / np.exp(total - total[best]).sum()), share, n
 
