@@ -178,6 +178,12 @@ def _messages(rows):
     return rows.select(F.when(F.col("product_id") % 97 == 0, F.substring(line, 1, 20)).otherwise(line).alias("value"))
 
 
+def _land_twice(rows, path, name):
+    """Deliver messages twice: the second delivery repeats the first as it was written."""
+    topics.land(rows, path, name, "0")
+    topics.land(rows.sparkSession.read.schema("value string").parquet(f"{path}/{name}/0"), path, name, "1")
+
+
 def _feeds(d):
     """The rows of the three topics; a price observation is identified by what tells two apart."""
     cp = d.competitor_prices()
@@ -203,8 +209,7 @@ def _t1_ingest(d):
     base, feeds = _run_dir(d, "t1i"), _feeds(d)
     n = 0
     for name, (rows, _) in feeds.items():
-        for delivery in ("0", "1"):
-            topics.land(_messages(rows), base + "/landing", name, delivery)
+        _land_twice(_messages(rows), base + "/landing", name)
         n += 2 * d.spark.read.parquet(f"{base}/landing/{name}/0").count()
     s = topics.topic_stream(d.spark, base + "/landing", list(feeds), base + "/admitted", starting="earliest", max_records=-(-n // 4))
     sink = jobs.ingest_sink(base, {name: jobs.Feed(rows.schema, unit=unit) for name, (rows, unit) in feeds.items()})

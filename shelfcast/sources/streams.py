@@ -1,7 +1,7 @@
 """Stream sources."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -39,6 +39,19 @@ def json_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     return r.load(path)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def message(value: Column, schema: StructType) -> Column:
+    """A JSON message as a struct of ``schema``'s columns and ``CORRUPT``; see ``decodable``."""
+    return F.from_json(value, StructType([*schema.fields, StructField(CORRUPT, StringType())]),
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+
+
+def decodable(message: Column) -> Column:
+    return message.isNotNull() & message.getField(CORRUPT).isNull()
+
+
 def parse_events(raw: DataFrame, schema: StructType, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """Decode JSON messages into typed columns.
 
@@ -46,11 +59,8 @@ def parse_events(raw: DataFrame, schema: StructType, value_col: str = "value") -
     JSON object, or has a value of another type than its column, goes to the
     second (dead-letter) frame with its raw text instead of failing the batch.
     """
-    corrupt = "_corrupt_record"
-    parsed = raw.select(F.col(value_col).alias("_raw"), F.from_json(
-        F.col(value_col), StructType([*schema.fields, StructField(corrupt, StringType())]),
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}).alias("_m"))
-    ok = F.col("_m").isNotNull() & F.col(f"_m.{corrupt}").isNull()
-    good = parsed.filter(ok).select("_m.*").drop(corrupt)
+    parsed = raw.select(F.col(value_col).alias("_raw"), message(F.col(value_col), schema).alias("_m"))
+    ok = decodable(F.col("_m"))
+    good = parsed.filter(ok).select("_m.*").drop(CORRUPT)
     bad = parsed.filter(~ok).select(F.col("_raw").alias("raw_message"))
     return good, bad

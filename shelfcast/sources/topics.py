@@ -21,6 +21,7 @@ import json
 import time
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -34,6 +35,9 @@ MIN_RECORDS = 100
 MAX_DELAY = 2.0
 MAX_RECORDS = 1_000_000
 
+PIECE = 250_000           # a task reads whole row groups up to so many rows or more
+LANDED_GROUP = 32 << 20   # bytes of a row group that ``land`` writes
+
 SCHEMA = "topic string, delivery string, value string"
 START = ("", "", 0)    # delivery, file, rows of it that are read
 
@@ -60,7 +64,7 @@ class TopicReader(DataSourceStreamReader):
         self.least = int(options.get("minRecords", MIN_RECORDS))
         self.most = int(options.get("maxRecords", MAX_RECORDS))
         self.delay = float(options.get("maxDelay", MAX_DELAY))
-        self.counts: dict[str, int] = {}     # rows of files not yet read through
+        self.counts: dict[str, list[int]] = {}    # rows by row group of files not yet read through
         self.waiting: float | None = None    # since when messages wait
         self.at: dict | None = None
         self.told = True                     # False: the kept position must be given again
@@ -127,13 +131,17 @@ class TopicReader(DataSourceStreamReader):
             if "_SUCCESS" in names:
                 yield from ((d, n) for n in names if n.endswith(".parquet"))
 
-    def _rows(self, topic: str, delivery: str, name: str) -> int:
+    def _groups(self, topic: str, delivery: str, name: str) -> list[int]:
         key = f"{topic}/{delivery}/{name}"
         if key not in self.counts:
             fs, root = _files(self.path)
-            self.counts[key] = pq.read_metadata(f"{root}/{key}", filesystem=fs).num_rows
+            footer = pq.read_metadata(f"{root}/{key}", filesystem=fs)
+            self.counts[key] = [footer.row_group(g).num_rows for g in range(footer.num_row_groups)]
         return self.counts[key]
 
+    def _rows(self, topic: str, delivery: str, name: str) -> int:
+        return sum(self._groups(topic, delivery, name))
+
     def _pending(self, topic: str) -> tuple[list[tuple[str, str, int, int]], int]:
         """Files with unread rows as (delivery, file, rows read, rows) until ``maxRecords``
         are found, and how many were found (``maxRecords`` at most)."""
@@ -166,9 +174,12 @@ class TopicReader(DataSourceStreamReader):
                 if (d, name) > (d1, n1):
                     break
                 lo = r0 if (d, name) == (d0, n0) else 0
-                hi = r1 if (d, name) == (d1, n1) else self._rows(t, d, name)
-                if hi > lo:
-                    out.append(Piece(t, d, f"{self.path}/{t}/{d}/{name}", lo, hi))
+                groups = list(accumulate(self._groups(t, d, name)))
+                hi = r1 if (d, name) == (d1, n1) else sum(groups[-1:])
+                for cut in [*groups, hi]:    # a row group is no two tasks' work
+                    if lo < hi and (cut >= hi or cut - lo >= PIECE):
+                        out.append(Piece(t, d, f"{self.path}/{t}/{d}/{name}", lo, min(cut, hi)))
+                        lo = min(cut, hi)
         return out
 
     def read(self, partition: Piece) -> Iterator[pa.RecordBatch]:
@@ -219,4 +230,5 @@ def topic_stream(spark: SparkSession, path: str, topics: Sequence[str], state: s
 
 def land(rows: DataFrame, path: str, topic: str, delivery: str) -> None:
     """Write ``rows`` (a string column ``value``) as a delivery of ``topic``."""
-    rows.select(F.col("value").cast("string").alias("value")).write.parquet(f"{path}/{topic}/{delivery}")
+    (rows.select(F.col("value").cast("string").alias("value")).write.option("parquet.block.size", LANDED_GROUP)
+     .parquet(f"{path}/{topic}/{delivery}"))

@@ -26,7 +26,7 @@ from ..operators.latest import latest_by
 from ..plans.pricing import avg_of_latest, recommendations
 from ..plans.staging import COMPETITOR_ORDER
 from ..plans.state import INVENTORY_ORDER
-from ..sources.streams import parse_events
+from ..sources.streams import decodable, message
 
 
 def event_time(df: DataFrame, ts: str = "timestamp") -> DataFrame:
@@ -211,7 +211,9 @@ def append_new(batch: DataFrame, log_path: str, batch_id: int, key: str = "event
     if seen is not None and lo is not None:
         seen = seen.filter((F.col("batch") < batch_id) & F.col("date").between(lo, hi)).select(key)
         rows = rows.join(seen, key, "left_anti")
-    rows = rows.dropDuplicates([key])
+    # as dropDuplicates, which takes the first value of each column one by one
+    one = rows.groupBy(key).agg(F.first(F.struct(*[c for c in rows.columns if c != key])).alias("_row"))
+    rows = one.select(key, "_row.*").select(*rows.columns)
     path = os.path.join(log_path, f"batch={batch_id}")
     schema = rows.schema
     # a date's rows meet in a task, but a large date is split over several
@@ -394,31 +396,53 @@ class Feed:
 STAGED_GROUP = 32 << 20  # bytes of a row group, which each writing task buffers
 
 
+def decoded(batch: DataFrame, feeds: dict[str, Feed]) -> DataFrame:
+    """(topic, lost, raw_message, ``<k>_<column>`` of the k-th feed) of the feeds' messages.
+
+    ``lost`` are the undecodable ones, with their text, and those without their key, written
+    anew. Each message is decoded once, by its topic's schema: a filter on a parsed frame
+    would be pushed below the parsing and parse it again."""
+    parsed = batch.where(F.col("topic").isin(*feeds)).select("topic", "value", *[
+        F.when(F.col("topic") == topic, message(F.col("value"), feed.schema)).alias(f"_{k}")
+        for k, (topic, feed) in enumerate(feeds.items())])
+    bad, raw, columns = F.lit(True), F.col("value"), []
+    for k, (topic, feed) in enumerate(feeds.items()):
+        m, mine = F.col(f"_{k}"), F.col("topic") == topic
+        keyed = m.getField(feed.key).isNotNull() & m.getField(feed.ts).isNotNull()
+        bad = F.when(mine, ~(decodable(m) & keyed)).otherwise(bad)
+        again = F.to_json(F.struct(*[m.getField(c).alias(c) for c in feed.schema.names]))
+        raw = F.when(mine & decodable(m), F.when(~keyed, again)).otherwise(raw)
+        columns += [m.getField(c).alias(f"{k}_{c}") for c in feed.schema.names]
+    return parsed.select("topic", bad.alias("lost"), raw.alias("raw_message"), *columns)
+
+
 def ingest_sink(base: str, feeds: dict[str, Feed]):
     """foreachBatch sink for rows (topic, value) of several topics.
 
-    A batch is read from its source once and staged as Parquet: one held in the executors'
-    storage would grow with the batch. Of each topic, messages not seen before go to
-    ``<base>/<topic>/log``, undecodable ones and those without their key to
+    A batch is read from its source and decoded once, and staged as Parquet in typed columns:
+    one held in the executors' storage would grow with the batch. Of each topic, messages not
+    seen before go to ``<base>/<topic>/log``, undecodable ones and those without their key to
     ``<base>/<topic>/dead_letter/batch=N``, and the batch's counts (received, kept,
     duplicates, errors) to ``<base>/counters/batch=N``. All are written under the batch id,
     so a replayed batch replaces what it wrote. Other topics' messages are left out."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         staged = f"{base}/staged/batch={batch_id}"
-        batch.select("topic", "value").write.mode("overwrite").option("parquet.block.size", STAGED_GROUP).parquet(staged)
-        batch = spark.read.schema("topic string, value string").parquet(staged)
+        rows = decoded(batch, feeds)
+        # ids and texts differ from row to row: a dictionary is built in vain
+        (rows.write.mode("overwrite").option("parquet.block.size", STAGED_GROUP)
+         .option("parquet.enable.dictionary", "false").parquet(staged))
+        rows = spark.read.schema(rows.schema).parquet(staged)
         try:
             counts = None
-            for topic, feed in feeds.items():
-                good, bad = parse_events(batch.where(F.col("topic") == topic), feed.schema)
-                keyed = F.col(feed.key).isNotNull() & F.col(feed.ts).isNotNull()
-                lost = bad.unionByName(good.where(~keyed).select(F.to_json(F.struct(*good.columns)).alias("raw_message")))
+            for k, (topic, feed) in enumerate(feeds.items()):
+                mine = rows.where(F.col("topic") == topic)
+                lost = mine.where("lost").select("raw_message")
                 dead = f"{base}/{topic}/dead_letter/batch={batch_id}"
                 lost.write.mode("overwrite").parquet(dead)
-                new = append_new(good.where(keyed), f"{base}/{topic}/log", batch_id, feed.key, feed.ts, feed.unit)
-                for df, name in ((batch.where(F.col("topic") == topic), "received"), (new, "kept"),
-                                 (spark.read.schema(lost.schema).parquet(dead), "errors")):
+                good = mine.where("NOT lost").select(*[F.col(f"`{k}_{c}`").alias(c) for c in feed.schema.names])
+                new = append_new(good, f"{base}/{topic}/log", batch_id, feed.key, feed.ts, feed.unit)
+                for df, name in ((mine, "received"), (new, "kept"), (spark.read.schema(lost.schema).parquet(dead), "errors")):
                     one = df.agg(F.count("*").alias("n")).select(F.lit(topic).alias("topic"), F.lit(name).alias("what"), "n")
                     counts = one if counts is None else counts.unionByName(one)
             wide = counts.groupBy("topic").pivot("what", ["received", "kept", "errors"]).sum("n")

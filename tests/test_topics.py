@@ -92,6 +92,25 @@ def test_rows_of_a_file_are_cut_across_row_groups(row_group):
             assert got == [str(i) if i % 4 else None for i in range(lo, hi)]
 
 
+def test_a_large_file_is_read_by_several_tasks_a_row_group_by_one(monkeypatch):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    base = tempfile.mkdtemp()
+    os.makedirs(base + "/l/a/0")
+    pq.write_table(pa.table({"value": [str(i) for i in range(20)]}), base + "/l/a/0/p.parquet", row_group_size=3)
+    pq.write_table(pa.table({"value": pa.array([], pa.string())}), base + "/l/a/0/q.parquet")
+    open(base + "/l/a/0/_SUCCESS", "w").close()
+    monkeypatch.setattr(topics, "PIECE", 5)
+    r = _reader(base, ["a"])
+
+    def cuts(lo, hi):
+        return [(p.start, p.end) for p in r.partitions({"a": ["0", "p.parquet", lo]}, {"a": ["0", *hi]})]
+    assert cuts(0, ("q.parquet", 0)) == [(0, 6), (6, 12), (12, 18), (18, 20)]
+    assert cuts(4, ("p.parquet", 17)) == [(4, 9), (9, 15), (15, 17)]
+    assert cuts(4, ("p.parquet", 5)) == [(4, 5)] and cuts(20, ("q.parquet", 0)) == []
+    assert [v for _, v in _values(r, {"a": ["", "", 0]}, {"a": ["0", "p.parquet", 20]})] == [str(i) for i in range(20)]
+
+
 def test_three_topics_through_a_query_that_restarts(spark):
     base = tempfile.mkdtemp()
     schema = spark.createDataFrame([], "event_id string, timestamp timestamp_ntz, n int").schema
@@ -128,3 +147,38 @@ def test_an_ingested_batch_is_not_held_in_the_executors_storage(spark, monkeypat
     got = {r["topic"]: (r["received"], r["kept"], r["duplicates"], r["errors"]) for r in jobs.stream_counters(spark, base).collect()}
     assert got == {"a": (9, 5, 4, 0), "b": (1, 0, 0, 1)}
     assert not os.path.exists(base + "/staged/batch=0")
+
+
+def test_an_ingested_message_is_decoded_once(spark, monkeypatch):
+    base = tempfile.mkdtemp()
+    schema = spark.createDataFrame([], "event_id string, timestamp timestamp_ntz, n int").schema
+    good = json.dumps({"event_id": "1", "timestamp": "2024-01-02T03:04:05", "n": 1})
+    lost = ["{cut", None, "", json.dumps({"n": 4}), json.dumps({"event_id": "2", "timestamp": "2024-01-02T03:04:05", "n": "x"})]
+    batch = spark.createDataFrame([(t, v) for t in ("a", "b", "other") for v in [good, good, *lost]] + [(None, good)], "topic string, value string")
+    ran, writer = [], type(batch.write)
+
+    def counted(action, frame):
+        def run(self, *args, **options):
+            ran.append(frame(self)._jdf.queryExecution().optimizedPlan().toString().count("from_json("))
+            return action(self, *args, **options)
+        return run
+    monkeypatch.setattr(writer, "parquet", counted(writer.parquet, lambda w: w._df))
+    monkeypatch.setattr(type(batch), "collect", counted(type(batch).collect, lambda df: df))
+    jobs.ingest_sink(base, {t: jobs.Feed(schema) for t in ("a", "b")})(batch, 0)
+    monkeypatch.undo()
+    assert sum(ran) == 2    # one a topic
+    got = {r["topic"]: (r["received"], r["kept"], r["duplicates"], r["errors"]) for r in jobs.stream_counters(spark, base).collect()}
+    assert got == {t: (7, 1, 1, 5) for t in ("a", "b")}
+    for t in ("a", "b"):
+        dead = [r[0] for r in spark.read.parquet(f"{base}/{t}/dead_letter").select("raw_message").collect()]
+        assert sorted(dead, key=str) == sorted([*lost[:3], '{"n":4}', lost[4]], key=str)
+        assert [tuple(r) for r in spark.read.parquet(f"{base}/{t}/log").select("event_id", "n").collect()] == [("1", 1)]
+
+
+def test_a_second_delivery_repeats_the_messages_of_the_first(spark):
+    from shelfcast import registry  # noqa: F401
+    from shelfcast.queries_extra import _land_twice
+    base = tempfile.mkdtemp()
+    _land_twice(spark.range(50).select(F.expr("uuid()").alias("value")), base, "a")
+    first, second = (sorted(r[0] for r in spark.read.parquet(f"{base}/a/{d}").collect()) for d in "01")
+    assert first == second and len(set(first)) == 50
